@@ -33,7 +33,10 @@ SYSTEM_WORDS = {
 }
 
 # A heat pump's own electricity is not a second system.
-PUMP_POWER = r"heat pumps?,? (?:[a-z ]+,? )?electric(?:ity)?\b"
+PUMP_POWER = (
+    r"heat pumps? (?:(?:radiators|underfloor heating|underfloor|warm air|fan coil units?) )?"
+    r"electric(?:ity)?\b"
+)
 
 
 def _text(description: ColumnLike) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CELLS = "workbook string, sheet string, row int, col int, value string"
+CELLS = "workbook string, sheet string, row bigint, col int, value string"
 
 
 def a1_bounds(a1: str) -> tuple[int, int, int, int]:
