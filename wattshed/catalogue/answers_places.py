@@ -1 +1,122 @@
-"""Pending."""
+"""Boundaries, grid connections, future scenarios."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..plans import places as pl
+from ..session import scratch_folder
+from ..sources import records as rc
+from .base import query, rounded
+from .inputs import REGION, with_ctes
+
+
+@query(
+    "boundaries_from_features", "P07", "SRC-09",
+    sql=with_ctes("customers")
+    + """SELECT c_custkey, ladnm AS lad_name, c_acctbal AS first_x,
+                CAST(c_nationkey AS DOUBLE) AS first_y, CAST(4 AS INTEGER) AS corners
+         FROM customers""",
+)
+def _(t):
+    """A small triangle for each customer, landed as features and read back."""
+    x, y = F.col("c_acctbal"), F.col("c_nationkey").cast("double")
+    ring = F.array(F.array(x, y), F.array(x + 1, y), F.array(x, y + 1), F.array(x, y))
+    features = t.inputs.customers.select(
+        F.to_json(
+            F.struct(
+                F.lit("Feature").alias("type"),
+                F.struct("c_custkey", F.col("ladnm").alias("lad_name")).alias("properties"),
+                F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias(
+                    "geometry"
+                ),
+            )
+        ).alias("value")
+    )
+    path = scratch_folder(t.spark, "boundaries")
+    features.write.text(path)
+    found = rc.read_features(
+        t.spark, path, "c_custkey bigint, lad_name string", "Polygon", collection=False
+    )
+    placed = pl.boundaries(found)
+    return placed.select(
+        "c_custkey",
+        "lad_name",
+        F.col("rings")[0][0][0].alias("first_x"),
+        F.col("rings")[0][0][1].alias("first_y"),
+        F.size(F.col("rings")[0]).alias("corners"),
+    )
+
+
+@query(
+    "connections_at_substations", "P20", "JN-02", "SC-32",
+    sql="""SELECT o_orderkey, c_name AS substation_name, c_acctbal AS x,
+                  CAST(c_nationkey AS DOUBLE) AS y
+           FROM orders JOIN customer ON 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
+                = c_name""",
+)
+def _(t):
+    site = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    register = t.orders.select("o_orderkey", site.alias("connection_site"))
+    substations = t.customer.select(
+        F.col("c_name").alias("substation_name"),
+        F.col("c_acctbal").alias("longitude"),
+        F.col("c_nationkey").cast("double").alias("latitude"),
+    )
+    joined = pl.connections_at_substations(register, substations)
+    return joined.select(
+        "o_orderkey",
+        "substation_name",
+        F.col("geo_point_2d.x").alias("x"),
+        F.col("geo_point_2d.y").alias("y"),
+    )
+
+
+def _scenarios(t):
+    value = F.when(F.col("o_totalprice") < 100000, "n/a").otherwise(
+        F.col("o_totalprice").cast("string")
+    )
+    year = F.when(F.col("yr") == 1995, 0).otherwise(F.col("yr"))
+    raw = t.inputs.order_sites.select(
+        "o_orderkey",
+        F.col("ladnm").alias("local_authority"),
+        F.col("o_orderpriority").alias("technology"),
+        F.col("c_mktsegment").alias("subtechnology"),
+        F.col("o_orderstatus").alias("scenario"),
+        value.alias("value"),
+        year.cast("string").alias("year"),
+    )
+    named = t.inputs.ca_la.select(
+        F.col("ladnm").alias("lad_name"), F.array("ladcd", "cauthcd").alias("lad_code")
+    )
+    return pl.scenarios_with_codes(raw, named)
+
+
+_CODED = """SELECT o_orderkey, ladnm AS lad_name, ladcd AS lad_code, o_orderpriority AS technology,
+                   c_mktsegment AS subtechnology, o_orderstatus AS scenario,
+                   CASE WHEN o_totalprice >= 100000 THEN o_totalprice END AS value,
+                   CASE WHEN yr = 1995 THEN 2024 ELSE yr END AS year, cauthnm FROM order_sites"""
+
+
+@query(
+    "scenarios_with_codes", "P38", "JN-06", "SC-29", "SC-30",
+    sql=with_ctes("order_sites", c=_CODED)
+    + """SELECT lad_name, lad_code, year, count(*) AS n, count(value) AS given FROM c
+         GROUP BY 1, 2, 3""",
+)
+def _(t):
+    given = F.count_if(F.col("value") != "n/a")
+    return _scenarios(t).groupBy("lad_name", "lad_code", "year").agg(
+        F.count(F.lit(1)).alias("n"), given.alias("given")
+    )
+
+
+@query(
+    "scenario_slice_in_region", "P38", "FLT-11", "SC-12",
+    sql=with_ctes("order_sites", c=_CODED)
+    + f"""SELECT o_orderkey, lad_name, lad_code, technology, subtechnology, scenario, value, year
+          FROM c WHERE cauthnm = '{REGION}' AND scenario = 'F' AND technology = '1-URGENT'""",
+)
+def _(t):
+    rows = pl.scenario_slice(_scenarios(t), t.inputs.authorities, "F", "1-URGENT")
+    return rounded(rows, 2)

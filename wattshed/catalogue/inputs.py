@@ -157,7 +157,7 @@ class Inputs:
             "Gas: Total": F.when(priority == "3-MEDIUM", half).otherwise("[x]"),
             "Petroleum: Total": F.when(priority == "4-NOT SPECIFIED", half).otherwise("[c]"),
             "Coal: Total": F.when(priority == "5-LOW", half).otherwise("[c]"),
-            "Manufactured fuels: Unlisted": price * 0.125,
+            "Manufactured fuels: Unlisted": price * 0.25,
         }
         return stage(
             self.order_sites, F.col("yr").cast("string"), F.col("o_orderkey") + 7, 6, cells
@@ -194,7 +194,7 @@ class Inputs:
             "Hydro": F.when(priority == "3-MEDIUM", mw),
             "Anaerobic Digestion [note 5] [note 6]": F.when(priority == "4-NOT SPECIFIED", mw),
             "Offshore Wind": zero,
-            "Wave/Tidal": zero,
+            "Wave Tidal": zero,
             "Sewage Gas": zero,
             "Landfill Gas": F.when(priority == "5-LOW", mw),
             "Municipal Solid Waste": zero,
@@ -204,12 +204,7 @@ class Inputs:
             "Total": mw,
         }
         header = F.when(F.col("sheet").contains("Generation"), 5).otherwise(4)
-        staged = stage(self.order_sites, sheet, F.col("o_orderkey") + 7, header, cells)
-        # The one technology whose header has a slash is spelt with an underscore downstream.
-        return staged.withColumn(
-            "value",
-            F.when(F.col("value") == "Wave/Tidal", "Wave Tidal").otherwise(F.col("value")),
-        )
+        return stage(self.order_sites, sheet, F.col("o_orderkey") + 7, header, cells)
 
     @cached_property
     def certificates(self) -> DataFrame:
@@ -354,7 +349,7 @@ CTES = {
                CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_totalprice * 0.5 END
                    AS petroleum_total,
                CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice * 0.5 END AS coal_total,
-               o_totalprice * 0.125 AS manufactured_fuels_unlisted
+               o_totalprice * 0.25 AS manufactured_fuels_unlisted
         FROM order_sites""",
     # Suppressed cells stay as NULL rows; absent cells are no rows.
     "energy_long": """

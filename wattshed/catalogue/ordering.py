@@ -93,7 +93,7 @@ def _(t):
     values = shared.select(
         "o_orderpriority", F.bround("value", 0).alias("value"), place.alias("place")
     )
-    out = od.running_midpoint(values, ["place", "o_orderpriority"], "value")
+    out = od.display_midpoint(values, ["place", "o_orderpriority"], "value")
     return out.drop("place")
 
 

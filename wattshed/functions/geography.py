@@ -132,5 +132,9 @@ def grid_to_lonlat(
         df = df.withColumn(
             "_lat", F.atan2(z + WGS_E2 * WGS_A * s / F.sqrt(1 - WGS_E2 * s * s), p)
         )
-    df = df.withColumns({lon: F.degrees(F.atan2(y, x)), lat: F.degrees("_lat")})
-    return df.drop("_lat", "_lon", "_x", "_y", "_z")
+    # Each step above uses the one before several times. A filter or join on the
+    # result would be pushed down through all of them and grow at every step;
+    # it cannot be pushed below a generator, so the steps stay as they are.
+    placed = F.struct(F.degrees(F.atan2(y, x)).alias(lon), F.degrees("_lat").alias(lat))
+    kept = [c for c in df.columns if c not in ("_lat", "_lon", "_x", "_y", "_z")]
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(placed)))

@@ -9,6 +9,10 @@ The sample decides only how even the buckets are; results are exact for any
 split. It holds the keys with the least hashes, so it does not depend on the
 partitioning, and a task that runs again sees the same splits. Keys must be
 unique, as they are after a distinct or a grouping; add a tie-breaker if not.
+
+The input is read three times: for the sample, the carried rows and the result.
+A shuffle that ends the input is run once and reused; an input that costs more
+than that should be checkpointed or written first.
 """
 
 from __future__ import annotations
@@ -86,30 +90,32 @@ def previous_value(
     return lagged.select(*df.columns, out)
 
 
-def running_midpoint(
-    df: DataFrame, keys: list[str], value: str, out: str = "midpoint", buckets: int = BUCKETS
-) -> DataFrame:
-    """Running sum less half the row's own value: where a stacked bar's label goes."""
-    summed = running_total(df, keys, value, "_run", buckets)
-    return summed.withColumn(out, F.col("_run") - F.col(value) * 0.5).drop("_run")
+def display_midpoint(df: DataFrame, keys: list[str], value: str, out: str = "midpoint") -> DataFrame:
+    """Running sum less half the row's own value: where a stacked bar's label goes.
+
+    For the handful of rows of one chart, so a plain window does.
+    """
+    w = W.orderBy(*keys).rowsBetween(W.unboundedPreceding, 0)
+    return df.withColumn(out, F.sum(value).over(w) - F.col(value) * 0.5)
 
 
 def with_change(
-    df: DataFrame, period: str, value: str, by: list[str] | None = None, buckets: int = BUCKETS
+    df: DataFrame, period: str, value: str, by: list[str] | None = None
 ) -> DataFrame:
     """Change and percent change on the period before.
 
-    With ``by``, each group holds one row for each period, so its window stays small.
+    For totals with one row for each period, or each group and period: a window
+    then holds no more rows than the calendar has periods. For a change from row
+    to row of a large table, use ``previous_value``.
     """
-    if by:
-        w = W.partitionBy(*by).orderBy(period)
-        out = df.withColumn("_p", F.lag(value).over(w))
-    else:
-        out = previous_value(df, [period], value, "_p", buckets)
-    change = F.col(value) - F.col("_p")
-    return out.withColumns(
-        {"change": change, "pct_change": F.try_divide(change * 100, F.col("_p"))}
-    ).drop("_p")
+    w = W.partitionBy(*by).orderBy(period) if by else W.orderBy(period)
+    before = F.lag(value).over(w)
+    return df.withColumns(
+        {
+            "change": F.col(value) - before,
+            "pct_change": F.try_divide((F.col(value) - before) * 100, before),
+        }
+    )
 
 
 def batches(

@@ -1,0 +1,23 @@
+"""Broadcast a join side only after checking that it is small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_ROWS = 100_000
+
+
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Whether the table has no more than this many rows; stops counting just past that."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def broadcast_if_small(df: DataFrame, rows: int = MAX_ROWS) -> DataFrame:
+    """The side marked for broadcast when checked to be small, else as it is.
+
+    For joins on a handful of keys, where a shuffle would pile the large side
+    onto a few tasks. Past the limit the join is an ordinary one: it shuffles,
+    and adaptive execution splits the heavy keys.
+    """
+    return F.broadcast(df) if at_most(df, rows) else df

@@ -23,7 +23,7 @@ from ..operators.filters import (
     trailing_slice,
 )
 from ..operators.joins import lookup
-from ..operators.ordered import running_midpoint, with_change
+from ..operators.ordered import display_midpoint, with_change
 from ..operators.ranking import list_position
 from ..operators.reshape import pivot_sum, to_long
 from ..sources.sheets import long_table, wide_table
@@ -140,13 +140,24 @@ def electricity_change(wide: DataFrame, old: int, new: int, base: str = "old") -
     )
 
 
+def _or(years: DataFrame | None, view: DataFrame) -> DataFrame:
+    """Where the latest year is looked up.
+
+    A view that is computed on the fly would be computed once more for it; any
+    cheaper table with the same years in ``calendar_year`` may be given instead.
+    """
+    return view if years is None else years
+
+
 def _in_authorities(view: DataFrame, authorities: DataFrame) -> DataFrame:
     return members_of(view, "ladcd", authorities)
 
 
-def energy_by_sector(view: DataFrame, authorities: DataFrame) -> DataFrame:
+def energy_by_sector(
+    view: DataFrame, authorities: DataFrame, years: DataFrame | None = None
+) -> DataFrame:
     """Latest year, all fuels: each sector's energy, share and GWh."""
-    rows = latest_slice(_in_authorities(view, authorities), "calendar_year", view).where(
+    rows = latest_slice(_in_authorities(view, authorities), "calendar_year", _or(years, view)).where(
         (F.col("fuel") == "All fuels") & (F.col("sector") != "Total")
     )
     sums = rows.groupBy("sector").agg(total("ktoe", "zero").alias("energy_ktoe"))
@@ -161,9 +172,12 @@ def with_sector_icons(sectors: DataFrame) -> DataFrame:
     return sectors.join(F.broadcast(icons), "sector", "left")
 
 
-def energy_change(view: DataFrame, authorities: DataFrame) -> DataFrame:
+def energy_change(
+    view: DataFrame, authorities: DataFrame, years: DataFrame | None = None
+) -> DataFrame:
     """First and last year's total energy, with the change; a missing value poisons its year."""
-    rows = first_and_last_slice(_in_authorities(view, authorities), "calendar_year", view).where(
+    chosen = _in_authorities(view, authorities)
+    rows = first_and_last_slice(chosen, "calendar_year", _or(years, view)).where(
         (F.col("fuel") == "All fuels") & (F.col("sector") == "Total")
     )
     sums = rows.groupBy("calendar_year").agg(
@@ -172,9 +186,11 @@ def energy_change(view: DataFrame, authorities: DataFrame) -> DataFrame:
     return with_change(sums, "calendar_year", "total_energy_gwh")
 
 
-def energy_by_main_fuel(view: DataFrame, authorities: DataFrame) -> DataFrame:
+def energy_by_main_fuel(
+    view: DataFrame, authorities: DataFrame, years: DataFrame | None = None
+) -> DataFrame:
     """Latest year, all sectors: three fuels and the rest, with percent shares."""
-    rows = latest_slice(_in_authorities(view, authorities), "calendar_year", view).where(
+    rows = latest_slice(_in_authorities(view, authorities), "calendar_year", _or(years, view)).where(
         (F.col("sector") == "Total") & (F.col("fuel") != "All fuels")
     )
     sums = rows.groupBy(main_or_other("fuel", MAIN_FUELS).alias("fuel_type")).agg(
@@ -192,14 +208,17 @@ def sector_label_positions(sectors: DataFrame, order: list[str] | None = None) -
     values = sectors.select(
         "sector", round_half_even(F.col("pct_sector") * 100).alias("value"), place.alias("place")
     )
-    return running_midpoint(values, ["place", "sector"], "value", "y_pos").withColumn(
+    return display_midpoint(values, ["place", "sector"], "value", "y_pos").withColumn(
         "label_text", F.concat(F.col("value").cast("int").cast("string"), F.lit("%"))
     )
 
 
-def energy_by_authority_recent(view: DataFrame, authorities: DataFrame, back: int = 9) -> DataFrame:
+def energy_by_authority_recent(
+    view: DataFrame, authorities: DataFrame, back: int = 9, years: DataFrame | None = None
+) -> DataFrame:
     """Total GWh of each authority over the last ``back + 1`` years."""
-    rows = trailing_slice(_in_authorities(view, authorities), "calendar_year", back, view)
+    chosen = _in_authorities(view, authorities)
+    rows = trailing_slice(chosen, "calendar_year", back, _or(years, view))
     return rows.where((F.col("fuel") == "All fuels") & (F.col("sector") == "Total")).select(
         "calendar_year", "ladnm", ktoe_to_gwh("ktoe").alias("gwh")
     )

@@ -194,16 +194,18 @@ def planning_sites(raw: DataFrame) -> DataFrame:
     return placed.withColumn("geometry", point("lon", "lat")).drop("lon", "lat")
 
 
-def operational_sites(raw: DataFrame, counties: list[str]) -> DataFrame:
-    """Operational sites with a capacity in the named counties, with date and year."""
+def operational_sites(raw: DataFrame, counties: list[str], located: bool = True) -> DataFrame:
+    """Operational sites with a capacity in the named counties, with date and year.
+
+    ``located`` adds the longitude-latitude point, which totals do without.
+    """
     kept = raw.where(
         F.col("county").isin(counties)
         & F.col("installed_capacity_mwelec").isNotNull()
         & (F.col("development_status_short") == "Operational")
     )
-    placed = grid_to_lonlat(kept, "xcoordinate", "ycoordinate")
     day = parse_dmy("operational")
-    return placed.select(
+    sites = kept.select(
         "site_name",
         day.alias("operational_date"),
         F.year(day).alias("year"),
@@ -212,8 +214,11 @@ def operational_sites(raw: DataFrame, counties: list[str]) -> DataFrame:
         "county",
         F.col("xcoordinate").alias("bng_x"),
         F.col("ycoordinate").alias("bng_y"),
-        point("lon", "lat").alias("geo_point_2d"),
     )
+    if not located:
+        return sites
+    placed = grid_to_lonlat(sites, "bng_x", "bng_y")
+    return placed.withColumn("geo_point_2d", point("lon", "lat")).drop("lon", "lat")
 
 
 def capacity_added(sites: DataFrame, back: int = 5) -> DataFrame:

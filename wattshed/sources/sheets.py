@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.sizes import broadcast_if_small
+
+# Row number first: rows then sort on a number rather than on equal text.
+ROW_KEYS = ["row", "sheet", "workbook"]
 CELLS = "workbook string, sheet string, row bigint, col int, value string"
 
 
@@ -57,16 +61,28 @@ def header_name(c: Column, style: str = "plain") -> Column:
     raise ValueError(f"unknown style {style}")
 
 
-def named_cells(cells: DataFrame, header_row: int | Column, style: str = "plain") -> DataFrame:
+def named_cells(
+    cells: DataFrame,
+    header_row: int | Column,
+    style: str = "plain",
+    clean: Callable[[Column], Column] | None = None,
+    drop: list[str] | None = None,
+) -> DataFrame:
     """(workbook, sheet, row, name, value) for the rows under the header.
 
-    The header side is one row for each column of each sheet.
+    The header side is one row for each column of each sheet, and few distinct
+    keys face all cells: it is broadcast when checked to be small. Names are
+    cleaned and unwanted columns dropped there, before they meet any cell.
     """
     at = F.lit(header_row) if isinstance(header_row, int) else header_row
+    name = header_name(F.col("value"), style)
     header = cells.where(F.col("row") == at).select(
-        "workbook", "sheet", "col", header_name(F.col("value"), style).alias("name")
+        "workbook", "sheet", "col", (clean(name) if clean else name).alias("name")
     )
-    return cells.where(F.col("row") > at).join(header, ["workbook", "sheet", "col"]).drop("col")
+    if drop:
+        header = header.where(~F.col("name").isin(drop))
+    body = cells.where((F.col("row") > at) & F.col("value").isNotNull())
+    return body.join(broadcast_if_small(header), ["workbook", "sheet", "col"]).drop("col")
 
 
 def long_table(
@@ -78,49 +94,42 @@ def long_table(
     drop: list[str] | None = None,
     style: str = "plain",
     clean: Callable[[Column], Column] | None = None,
-    carry: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Staged cells straight to long rows: ids, ``name``, ``value``, plus sheet.
+    """Staged cells straight to long rows: workbook, sheet, ids, ``name``, ``value``.
 
     A worksheet row is one small group (its cells), so the ids spread to its
     values in a single shuffle by row. An empty cell is absent, which is what
-    dropping NULLs on unpivot means. ``carry`` adds columns derived from the
-    sheet before the shuffle.
+    dropping NULLs on unpivot means.
     """
-    named = named_cells(cells, header_row, style)
-    if clean:
-        named = named.withColumn("name", clean(F.col("name")))
-    if carry:
-        named = named.withColumns(carry)
-    row = W.partitionBy("workbook", "sheet", "row")
+    named = named_cells(cells, header_row, style, clean, drop)
+    row = W.partitionBy(*ROW_KEYS)
     spread = named.withColumns(
         {f"_{c}": F.max(F.when(F.col("name") == c, F.col("value"))).over(row) for c in ids}
     )
-    skip = [*ids, *(drop or [])]
-    return spread.where(~F.col("name").isin(skip) & F.col("value").isNotNull()).select(
+    return spread.where(~F.col("name").isin(ids)).select(
         "workbook",
         "sheet",
         *[F.col(f"_{c}").alias(c) for c in ids],
-        *(carry or {}),
         F.col("name").alias(name),
         F.col("value").alias(value),
     )
 
 
 def wide_table(
-    cells: DataFrame, header_row: int | Column, columns: list[str], style: str = "plain",
+    cells: DataFrame,
+    header_row: int | Column,
+    columns: list[str],
+    style: str = "plain",
     clean: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """One row for each worksheet row, all text, with the named columns.
 
     A name that a sheet lacks is NULL there, so sheets of several years unite by
-    name in the one pass.
+    name in the one pass. Cells are shuffled by row before they are grouped:
+    text maxima group by sorting, and sorting on both sides of the shuffle costs
+    more than the few repeated keys it would save.
     """
-    named = named_cells(cells, header_row, style)
-    if clean:
-        named = named.withColumn("name", clean(F.col("name")))
-    return (
-        named.groupBy("workbook", "sheet", "row")
-        .pivot("name", columns)
-        .agg(F.max("value"))
+    named = named_cells(cells, header_row, style, clean).repartition(*ROW_KEYS)
+    return named.groupBy(*ROW_KEYS).agg(
+        *[F.max(F.when(F.col("name") == c, F.col("value"))).alias(c) for c in columns]
     )
