@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import struct
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dates as d
 from ..functions import geography as geo
@@ -453,6 +457,31 @@ def _(t):
     return rounded(placed.select("o_orderkey", "lon", "lat"), 7)
 
 
+@F.pandas_udf(T.BinaryType())
+def _triangle_wkb(x: pd.Series, y: pd.Series) -> pd.Series:
+    def one(a, b):
+        ring = [a, b, a + 1, b, a, b + 1, a, b]
+        return struct.pack("<BIII8d", 1, geo.WKB_POLYGON, 1, 4, *ring)
+
+    return pd.Series([one(a, b) for a, b in zip(x, y)])
+
+
+@query(
+    "geo_wkb_rings", "SC-35", "P07",
+    sql="""SELECT c_custkey, CAST(4 AS INTEGER) AS corners, c_acctbal + 1 AS second_x,
+                  CAST(c_nationkey AS DOUBLE) + 1 AS third_y FROM customer""",
+)
+def _(t):
+    shape = _triangle_wkb("c_acctbal", F.col("c_nationkey").cast("double"))
+    rings = t.customer.select("c_custkey", geo.wkb_rings(shape).alias("rings"))
+    return rings.select(
+        "c_custkey",
+        F.size(F.col("rings")[0]).alias("corners"),
+        F.col("rings")[0][1][0].alias("second_x"),
+        F.col("rings")[0][2][1].alias("third_y"),
+    )
+
+
 # The classifier's rules again, as SQL over text that has been lowered and cleaned.
 def category_sql(text: str) -> str:
     names = list(SYSTEM_WORDS)

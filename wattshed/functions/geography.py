@@ -1,14 +1,18 @@
 """Points, axis order and the national grid to longitude and latitude.
 
-Everything is plain column arithmetic, so it stays inside generated code.
+All but WKB decoding is plain column arithmetic, so it stays in generated code.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import ColumnLike, col
 
@@ -32,6 +36,8 @@ ARC = (
     1.875 * (AIRY_N**2 + AIRY_N**3),
     35 / 24 * AIRY_N**3,
 )
+# WKB type numbers.
+WKB_POLYGON, WKB_MULTIPOLYGON = 3, 6
 ARC_STEPS = 5
 LATITUDE_STEPS = 4
 
@@ -138,3 +144,32 @@ def grid_to_lonlat(
     placed = F.struct(F.degrees(F.atan2(y, x)).alias(lon), F.degrees("_lat").alias(lat))
     kept = [c for c in df.columns if c not in ("_lat", "_lon", "_x", "_y", "_z")]
     return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(placed)))
+
+
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
+def wkb_rings(wkb: pd.Series) -> pd.Series:
+    """Rings of a WKB polygon or multipolygon, all parts together, in Arrow batches.
+
+    Spark reads WKB into a geometry but gives no access to its coordinates.
+    """
+    return wkb.map(lambda b: None if b is None else _rings(bytes(b), 0)[0])
+
+
+def _rings(b: bytes, at: int) -> tuple[list, int]:
+    order = "<" if b[at] == 1 else ">"
+    kind, count = struct.unpack_from(order + "II", b, at + 1)
+    at += 9
+    rings = []
+    if kind == WKB_MULTIPOLYGON:
+        for _ in range(count):
+            part, at = _rings(b, at)
+            rings += part
+    elif kind == WKB_POLYGON:
+        for _ in range(count):
+            (points,) = struct.unpack_from(order + "I", b, at)
+            xy = np.frombuffer(b, order + "f8", points * 2, at + 4)
+            rings.append(xy.reshape(-1, 2).tolist())
+            at += 4 + points * 16
+    else:
+        raise ValueError(f"not a polygon: WKB type {kind}")
+    return rings, at

@@ -21,10 +21,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS = 64
+MOST_BUCKETS = 512
 SAMPLE_PER_BUCKET = 32
 
 
+def bucket_count(df: DataFrame, wanted: int | None) -> int:
+    """As many buckets as the session has shuffle partitions, up to a limit.
+
+    Each row is compared with every split point, which the limit keeps cheap.
+    """
+    if wanted:
+        return wanted
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+
+
 def _splits(df: DataFrame, key: Column, buckets: int) -> Column:
     sample = df.select(key.alias("_k")).orderBy(F.xxhash64("_k")).limit(buckets * SAMPLE_PER_BUCKET)
     ordered = sample.agg(F.array_sort(F.collect_list("_k")).alias("_a"))
@@ -36,8 +46,9 @@ def _splits(df: DataFrame, key: Column, buckets: int) -> Column:
     return ordered.select(picked).scalar()
 
 
-def bucketed(df: DataFrame, keys: list[str], buckets: int = BUCKETS) -> DataFrame:
+def bucketed(df: DataFrame, keys: list[str], buckets: int | None = None) -> DataFrame:
     """Add ``_key``, the keys as one value, and ``_bucket``, in key order."""
+    buckets = bucket_count(df, buckets)
     key = F.struct(*keys) if len(keys) > 1 else F.col(keys[0])
     return (
         df.withColumn("_splits", _splits(df, key, buckets))
@@ -48,13 +59,13 @@ def bucketed(df: DataFrame, keys: list[str], buckets: int = BUCKETS) -> DataFram
 
 
 def _before(rows: DataFrame, carried: Column) -> DataFrame:
-    """What each bucket takes over from those before it; at most BUCKETS rows."""
+    """What each bucket takes over from those before it; one row for each bucket."""
     summed = rows.groupBy("_bucket").agg(carried.alias("_c"))
     earlier = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     return summed.select("_bucket", F.sum("_c").over(earlier).alias("_before"))
 
 
-def row_ids(df: DataFrame, keys: list[str], out: str = "id", buckets: int = BUCKETS) -> DataFrame:
+def row_ids(df: DataFrame, keys: list[str], out: str = "id", buckets: int | None = None) -> DataFrame:
     """1..n in key order."""
     rows = bucketed(df, keys, buckets)
     joined = rows.join(_before(rows, F.count(F.lit(1))), "_bucket")
@@ -64,7 +75,7 @@ def row_ids(df: DataFrame, keys: list[str], out: str = "id", buckets: int = BUCK
 
 
 def running_total(
-    df: DataFrame, keys: list[str], value: str, out: str = "running", buckets: int = BUCKETS
+    df: DataFrame, keys: list[str], value: str, out: str = "running", buckets: int | None = None
 ) -> DataFrame:
     """Sum of all rows up to this one, in key order."""
     rows = bucketed(df, keys, buckets)
@@ -77,7 +88,7 @@ def running_total(
 
 
 def previous_value(
-    df: DataFrame, keys: list[str], value: str, out: str = "previous", buckets: int = BUCKETS
+    df: DataFrame, keys: list[str], value: str, out: str = "previous", buckets: int | None = None
 ) -> DataFrame:
     """The value of the row before this one, in key order."""
     rows = bucketed(df, keys, buckets)
@@ -119,7 +130,7 @@ def with_change(
 
 
 def batches(
-    df: DataFrame, keys: list[str], size: int = 100, out: str = "batch", buckets: int = BUCKETS
+    df: DataFrame, keys: list[str], size: int = 100, out: str = "batch", buckets: int | None = None
 ) -> DataFrame:
     """Number the rows in key order and put each ``size`` of them in one batch, from 0."""
     numbered = row_ids(df, keys, "id", buckets)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.sinks import publish, publish_views
+from ..sources.sinks import commit_run, publish_views, stage_output
 
 Inputs = dict[str, DataFrame]
 
@@ -25,11 +26,15 @@ def manifest(steps: list[Step]) -> list[str]:
     return sorted({n for s in steps for n in s.needs} - made)
 
 
-def build(steps: list[Step], inputs: Inputs) -> Inputs:
-    """Every step's DataFrame, still lazy: one plan for each table that is written."""
+def check_inputs(steps: list[Step], inputs: Inputs) -> None:
     missing = [n for n in manifest(steps) if n not in inputs]
     if missing:
         raise LookupError(f"missing inputs: {missing}")
+
+
+def build(steps: list[Step], inputs: Inputs) -> Inputs:
+    """Every step's DataFrame, still lazy."""
+    check_inputs(steps, inputs)
     frames = dict(inputs)
     for step in steps:
         frames[step.name] = step.make(*[frames[n] for n in step.needs])
@@ -37,8 +42,18 @@ def build(steps: list[Step], inputs: Inputs) -> Inputs:
 
 
 def run(spark: SparkSession, steps: list[Step], inputs: Inputs, root: str) -> str:
-    """Build, write and publish all tables of a run together, then refresh their views."""
-    outputs = build(steps, inputs)
-    run_id = publish(spark, outputs, root)
-    publish_views(spark, root, list(outputs))
+    """Build and write all tables, publish them together, then refresh their views.
+
+    A step reads what earlier steps have written, so nothing is computed twice
+    and no plan grows with the number of steps.
+    """
+    check_inputs(steps, inputs)
+    run_id = uuid.uuid4().hex
+    frames = dict(inputs)
+    for step in steps:
+        made = step.make(*[frames[n] for n in step.needs])
+        frames[step.name] = stage_output(made, root, run_id, step.name)
+    names = [s.name for s in steps]
+    commit_run(spark, root, run_id, names)
+    publish_views(spark, root, names)
     return run_id

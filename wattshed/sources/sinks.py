@@ -34,14 +34,15 @@ def write_csv(df: DataFrame, path: str, null: str = "") -> None:
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Parquet, partitioned if asked.
 
-    Rows spread by the partition columns and a hash of the row first, so each
-    partition value gets a few files, and a hot value is written by many tasks.
+    Rows gather by partition value first, so that a value does not get a file
+    from every task. Adaptive execution then evens the tasks out by size: a hot
+    value is written by many of them, small values share one.
     """
-    if partition_by:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(8))
-        df = df.repartition(*partition_by, salt)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    gathered = df.hint("rebalance", *partition_by)
+    gathered.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def write_features(df: DataFrame, path: str, x: str, y: str) -> None:
@@ -66,6 +67,23 @@ def write_verified(df: DataFrame, path: str) -> int:
 LOG = "_published"
 
 
+def stage_output(df: DataFrame, root: str, run: str, name: str) -> DataFrame:
+    """Write one output under the run's own folder and hand back what was written."""
+    path = f"{root}/run={run}/{name}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def commit_run(spark: SparkSession, root: str, run: str, names: list[str]) -> None:
+    """One row in the log makes the whole run visible."""
+    row = spark.range(1).select(
+        F.lit(run).alias("run"),
+        F.current_timestamp().alias("published"),
+        F.array(*[F.lit(n) for n in names]).alias("names"),
+    )
+    row.coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
+
+
 def publish(spark: SparkSession, outputs: dict[str, DataFrame], root: str) -> str:
     """Make all outputs of a run visible together, or none.
 
@@ -74,13 +92,8 @@ def publish(spark: SparkSession, outputs: dict[str, DataFrame], root: str) -> st
     """
     run = uuid.uuid4().hex
     for name, df in outputs.items():
-        df.write.mode("errorifexists").parquet(f"{root}/run={run}/{name}")
-    row = spark.range(1).select(
-        F.lit(run).alias("run"),
-        F.current_timestamp().alias("published"),
-        F.array(*[F.lit(n) for n in outputs]).alias("names"),
-    )
-    row.coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
+        stage_output(df, root, run, name)
+    commit_run(spark, root, run, list(outputs))
     return run
 
 
