@@ -183,8 +183,8 @@ _OPERATIONAL = """SELECT * FROM planning WHERE county IN ('NATION_3', 'NATION_8'
     AND installed_capacity_mwelec IS NOT NULL AND development_status_short = 'Operational'"""
 
 
-def _operational(t, located=True):
-    return re.operational_sites(t.inputs.planning, ["NATION_3", "NATION_8"], located)
+def _operational(t):
+    return re.operational_sites(t.inputs.planning, ["NATION_3", "NATION_8"])
 
 
 @query(
@@ -208,7 +208,7 @@ def _(t):
          WHERE yr >= (SELECT max(yr) - 5 FROM o)""",
 )
 def _(t):
-    return rounded(re.capacity_added(_operational(t, located=False)), 6)
+    return rounded(re.capacity_added(_operational(t)), 6)
 
 
 @query(

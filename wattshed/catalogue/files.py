@@ -69,7 +69,6 @@ def _spoilt(t):
     sql="SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'",
 )
 def _(t):
-    # Both columns are read, so every row is parsed in full before it is judged.
     return de.read_csv_dropping(t.spark, _spoilt(t), "c_custkey bigint, c_acctbal double")
 
 

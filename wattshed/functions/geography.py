@@ -55,6 +55,16 @@ def swap_ring_axes(ring: ColumnLike) -> Column:
     return F.transform(col(ring), lambda p: F.array(p[1], p[0]))
 
 
+def _let(value: Column, body) -> Column:
+    """Bind a value once for an expression that uses it many times.
+
+    The steps below each use the one before several times. As plain columns the
+    optimiser may write each into the next, and the expression grows at every
+    step; a lambda's variable stays a variable.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def _arc(lat: Column) -> Column:
     d, s = lat - LAT0, lat + LAT0
     a0, a1, a2, a3 = ARC
@@ -66,33 +76,12 @@ def _arc(lat: Column) -> Column:
     )
 
 
-def grid_to_airy(df: DataFrame, easting: str, northing: str) -> DataFrame:
-    """Add ``_lat`` and ``_lon`` in radians on the grid's own datum."""
-    e, n = F.col(easting), F.col(northing)
-    df = df.withColumn("_lat", LAT0 + (n - N0) / (AIRY_A * SCALE))
-    for _ in range(ARC_STEPS):
-        df = df.withColumn(
-            "_lat", F.col("_lat") + (n - N0 - _arc(F.col("_lat"))) / (AIRY_A * SCALE)
-        )
-    lat = F.col("_lat")
-    df = df.withColumns(
-        {
-            "_w": 1 - AIRY_E2 * F.sin(lat) ** 2,
-            "_t": F.tan(lat),
-            "_sec": 1 / F.cos(lat),
-            "_de": e - E0,
-        }
-    )
-    df = df.withColumns(
-        {
-            "_nu": AIRY_A * SCALE / F.sqrt("_w"),
-            "_rho": AIRY_A * SCALE * (1 - AIRY_E2) / F.pow("_w", F.lit(1.5)),
-        }
-    )
-    t, sec, de, nu, rho = (F.col(c) for c in ("_t", "_sec", "_de", "_nu", "_rho"))
+def _airy_from_foot(s: Column) -> Column:
+    """Latitude and longitude from the foot latitude and the offset from the meridian."""
+    lat, nu, rho = s["lat"], s["nu"], s["rho"]
+    t, sec, u = F.tan(lat), 1 / F.cos(lat), s["de"] / s["nu"]
     eta2 = nu / rho - 1
     t2 = t * t
-    u = de / nu
     lat_shift = (t * nu / rho) * (
         u**2 / 2
         - u**4 / 24 * (5 + 3 * t2 + eta2 - 9 * t2 * eta2)
@@ -104,46 +93,85 @@ def grid_to_airy(df: DataFrame, easting: str, northing: str) -> DataFrame:
         + u**5 / 120 * (5 + 28 * t2 + 24 * t2 * t2)
         - u**7 / 5040 * (61 + 662 * t2 + 1320 * t2 * t2 + 720 * t2 * t2 * t2)
     )
-    df = df.withColumns({"_lon": LON0 + lon_shift, "_lat": lat - lat_shift})
-    return df.drop("_w", "_t", "_sec", "_de", "_nu", "_rho")
+    return F.struct((lat - lat_shift).alias("lat"), (LON0 + lon_shift).alias("lon"))
 
 
-def grid_to_lonlat(
-    df: DataFrame, easting: str, northing: str, lon: str = "lon", lat: str = "lat"
-) -> DataFrame:
-    """Add longitude and latitude in degrees, always in that axis order, to about 5 m."""
-    df = grid_to_airy(df, easting, northing)
-    la, lo = F.col("_lat"), F.col("_lon")
+def grid_to_airy(easting: ColumnLike, northing: ColumnLike) -> Column:
+    """A struct of ``lat`` and ``lon`` in radians on the grid's own datum."""
+    e, n = col(easting).cast("double"), col(northing).cast("double")
+    scaled = AIRY_A * SCALE
+    foot = F.aggregate(
+        F.sequence(F.lit(1), F.lit(ARC_STEPS)),
+        LAT0 + (n - N0) / scaled,
+        lambda lat, _: lat + (n - N0 - _arc(lat)) / scaled,
+    )
+
+    def radii(lat: Column) -> Column:
+        w = 1 - AIRY_E2 * F.sin(lat) ** 2
+        return F.struct(
+            lat.alias("lat"),
+            (scaled / F.sqrt(w)).alias("nu"),
+            (scaled * (1 - AIRY_E2) / F.pow(w, F.lit(1.5))).alias("rho"),
+            (e - E0).alias("de"),
+        )
+
+    return _let(_let(foot, radii), _airy_from_foot)
+
+
+def _cartesian(s: Column) -> Column:
+    la, lo = s["lat"], s["lon"]
     nu = AIRY_A / F.sqrt(1 - AIRY_E2 * F.sin(la) ** 2)
-    df = df.withColumns(
-        {
-            "_x": nu * F.cos(la) * F.cos(lo),
-            "_y": nu * F.cos(la) * F.sin(lo),
-            "_z": nu * (1 - AIRY_E2) * F.sin(la),
-        }
+    return F.struct(
+        (nu * F.cos(la) * F.cos(lo)).alias("x"),
+        (nu * F.cos(la) * F.sin(lo)).alias("y"),
+        (nu * (1 - AIRY_E2) * F.sin(la)).alias("z"),
     )
-    x, y, z = F.col("_x"), F.col("_y"), F.col("_z")
+
+
+def _shift_datum(s: Column) -> Column:
+    x, y, z = s["x"], s["y"], s["z"]
     k = 1 + SHIFT_PPM
-    df = df.withColumns(
-        {
-            "_x": SHIFT_X + k * x - ROT_Z * y + ROT_Y * z,
-            "_y": SHIFT_Y + ROT_Z * x + k * y - ROT_X * z,
-            "_z": SHIFT_Z - ROT_Y * x + ROT_X * y + k * z,
-        }
+    return F.struct(
+        (SHIFT_X + k * x - ROT_Z * y + ROT_Y * z).alias("x"),
+        (SHIFT_Y + ROT_Z * x + k * y - ROT_X * z).alias("y"),
+        (SHIFT_Z - ROT_Y * x + ROT_X * y + k * z).alias("z"),
     )
+
+
+def _degrees(s: Column) -> Column:
+    x, y, z = s["x"], s["y"], s["z"]
     p = F.sqrt(x * x + y * y)
-    df = df.withColumn("_lat", F.atan2(z, p * (1 - WGS_E2)))
-    for _ in range(LATITUDE_STEPS):
-        s = F.sin("_lat")
-        df = df.withColumn(
-            "_lat", F.atan2(z + WGS_E2 * WGS_A * s / F.sqrt(1 - WGS_E2 * s * s), p)
-        )
-    # Each step above uses the one before several times. A filter or join on the
-    # result would be pushed down through all of them and grow at every step;
-    # it cannot be pushed below a generator, so the steps stay as they are.
-    placed = F.struct(F.degrees(F.atan2(y, x)).alias(lon), F.degrees("_lat").alias(lat))
-    kept = [c for c in df.columns if c not in ("_lat", "_lon", "_x", "_y", "_z")]
-    return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(placed)))
+
+    def step(lat: Column, _: Column) -> Column:
+        sin = F.sin(lat)
+        return F.atan2(z + WGS_E2 * WGS_A * sin / F.sqrt(1 - WGS_E2 * sin * sin), p)
+
+    lat = F.aggregate(
+        F.sequence(F.lit(1), F.lit(LATITUDE_STEPS)), F.atan2(z, p * (1 - WGS_E2)), step
+    )
+    return F.struct(F.degrees(F.atan2(y, x)).alias("x"), F.degrees(lat).alias("y"))
+
+
+def grid_to_point(easting: ColumnLike, northing: ColumnLike) -> Column:
+    """The longitude-latitude point, ``x`` and ``y`` in degrees, in that order, to about 5 m."""
+    airy = grid_to_airy(easting, northing)
+    return _let(_let(_let(airy, _cartesian), _shift_datum), _degrees)
+
+
+def grid_to_lonlat(
+    df: DataFrame, easting: str, northing: str, lon: str = "lon", lat: str = "lat"
+) -> DataFrame:
+    """Add longitude and latitude columns.
+
+    A generated row holds both, so the point is worked out once, and a filter on
+    either is not pushed below it to work it out again.
+    """
+    named = _let(
+        grid_to_point(easting, northing),
+        lambda p: F.struct(p["x"].alias(lon), p["y"].alias(lat)),
+    )
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in (lon, lat)]
+    return df.select(*kept, F.inline(F.array(named)))
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))

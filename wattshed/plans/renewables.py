@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_dmy, year_from_label
-from ..functions.geography import grid_to_lonlat, point
+from ..functions.geography import grid_to_lonlat, grid_to_point
 from ..functions.numbers import lenient_cast, marker_cast, mwh_to_gwh, round_half_away
 from ..functions.text import sentence_case, strip_note
 from ..operators.aggregates import share_of_total, total
@@ -190,15 +190,11 @@ def highlighted(by_authority: DataFrame, authority: str) -> DataFrame:
 
 def planning_sites(raw: DataFrame) -> DataFrame:
     """All columns plus the longitude-latitude point."""
-    placed = grid_to_lonlat(raw, "xcoordinate", "ycoordinate")
-    return placed.withColumn("geometry", point("lon", "lat")).drop("lon", "lat")
+    return raw.withColumn("geometry", grid_to_point("xcoordinate", "ycoordinate"))
 
 
-def operational_sites(raw: DataFrame, counties: list[str], located: bool = True) -> DataFrame:
-    """Operational sites with a capacity in the named counties, with date and year.
-
-    ``located`` adds the longitude-latitude point, which totals do without.
-    """
+def operational_sites(raw: DataFrame, counties: list[str]) -> DataFrame:
+    """Operational sites with a capacity in the named counties, with date, year and point."""
     kept = raw.where(
         F.col("county").isin(counties)
         & F.col("installed_capacity_mwelec").isNotNull()
@@ -215,10 +211,7 @@ def operational_sites(raw: DataFrame, counties: list[str], located: bool = True)
         F.col("xcoordinate").alias("bng_x"),
         F.col("ycoordinate").alias("bng_y"),
     )
-    if not located:
-        return sites
-    placed = grid_to_lonlat(sites, "bng_x", "bng_y")
-    return placed.withColumn("geo_point_2d", point("lon", "lat")).drop("lon", "lat")
+    return sites.withColumn("geo_point_2d", grid_to_point("bng_x", "bng_y"))
 
 
 def capacity_added(sites: DataFrame, back: int = 5) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,26 +30,63 @@ def read_csv_guessing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def read_csv_dropping(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Rows that do not parse are dropped."""
-    return (
-        spark.read.option("header", True).option("mode", "DROPMALFORMED").schema(schema).csv(path)
-    )
+def _as_struct(schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def read_csv_lenient(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Rows that do not parse are kept, with NULLs, and their text in ``_bad_record``."""
-    kept = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    kept = T.StructType([*kept.fields, T.StructField(BAD_RECORD, T.StringType())])
+def _raw_text(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> DataFrame:
+    """All columns as text. Rows are judged by all their cells, not by the selected ones."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    if mode == "PERMISSIVE":
+        text = text.add(BAD_RECORD, T.StringType())
     return (
         spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
+        .option("mode", mode)
         .option("columnNameOfCorruptRecord", BAD_RECORD)
-        .schema(kept)
+        .option("columnPruning", False)
+        .schema(text)
         .csv(path)
     )
 
 
+def _cell(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def _typed(schema: T.StructType) -> list[Column]:
+    return [_cell(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+
+
+def _does_not_parse(schema: T.StructType) -> Column:
+    """Some cell has text that is not a value of its type."""
+    bad = F.lit(False)
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            cell = _cell(f.name)
+            bad = bad | (cell.isNotNull() & cell.try_cast(f.dataType).isNull())
+    return bad
+
+
+def read_csv_dropping(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Rows that do not parse are dropped, whichever columns are selected later.
+
+    The reader's own mode converts, and so judges, only the selected columns:
+    the same file would keep other rows in other queries.
+    """
+    kept = _as_struct(schema)
+    raw = _raw_text(spark, path, kept, "DROPMALFORMED")
+    return raw.where(~_does_not_parse(kept)).select(*_typed(kept))
+
+
+def read_csv_lenient(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Rows that do not parse are kept, with NULLs, and their text in ``_bad_record``."""
+    kept = _as_struct(schema)
+    raw = _raw_text(spark, path, kept, "PERMISSIVE")
+    cells = F.concat_ws(",", *[F.coalesce(_cell(f.name), F.lit("")) for f in kept.fields])
+    bad = F.coalesce(F.col(BAD_RECORD), F.when(_does_not_parse(kept), cells))
+    return raw.select(*_typed(kept), bad.alias(BAD_RECORD))
+
+
 def read_landed_extract(
     spark: SparkSession,
     path: str,
