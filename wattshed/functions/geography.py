@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import ColumnLike, col
+from .text import ColumnLike, col, let
 
 # Fixed values, published by the national mapping agency: the Airy 1830 and
 # WGS84 ellipsoids, the grid's projection, and the 7-parameter datum shift.
@@ -55,16 +55,6 @@ def swap_ring_axes(ring: ColumnLike) -> Column:
     return F.transform(col(ring), lambda p: F.array(p[1], p[0]))
 
 
-def _let(value: Column, body) -> Column:
-    """Bind a value once for an expression that uses it many times.
-
-    The steps below each use the one before several times. As plain columns the
-    optimiser may write each into the next, and the expression grows at every
-    step; a lambda's variable stays a variable.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
 def _arc(lat: Column) -> Column:
     d, s = lat - LAT0, lat + LAT0
     a0, a1, a2, a3 = ARC
@@ -115,7 +105,9 @@ def grid_to_airy(easting: ColumnLike, northing: ColumnLike) -> Column:
             (e - E0).alias("de"),
         )
 
-    return _let(_let(foot, radii), _airy_from_foot)
+    # Each step uses the one before several times; unbound, the expression would
+    # grow at every step.
+    return let(let(foot, radii), _airy_from_foot)
 
 
 def _cartesian(s: Column) -> Column:
@@ -155,7 +147,7 @@ def _degrees(s: Column) -> Column:
 def grid_to_point(easting: ColumnLike, northing: ColumnLike) -> Column:
     """The longitude-latitude point, ``x`` and ``y`` in degrees, in that order, to about 5 m."""
     airy = grid_to_airy(easting, northing)
-    return _let(_let(_let(airy, _cartesian), _shift_datum), _degrees)
+    return let(let(let(airy, _cartesian), _shift_datum), _degrees)
 
 
 def grid_to_lonlat(
@@ -166,7 +158,7 @@ def grid_to_lonlat(
     A generated row holds both, so the point is worked out once, and a filter on
     either is not pushed below it to work it out again.
     """
-    named = _let(
+    named = let(
         grid_to_point(easting, northing),
         lambda p: F.struct(p["x"].alias(lon), p["y"].alias(lat)),
     )

@@ -1,7 +1,7 @@
 """Heating descriptions to main-fuel categories by ordered rules.
 
-The rules are conditions on the description alone, so they run inside the scan
-stage; the distinct lookup exists for users who want the table itself.
+The rules need the description alone, so they run where the rows are, with no
+shuffle; the distinct lookup exists for users who want the table itself.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import ColumnLike, col, plain_words
+from .text import ColumnLike, let, plain_words
 
 # The category names of the official statistics.
 MAINS_GAS = "Mains gas"
@@ -39,19 +39,30 @@ PUMP_POWER = (
 )
 
 
-def _text(description: ColumnLike) -> Column:
-    return F.lower(plain_words(description))
+def heating_category(description: ColumnLike) -> Column:
+    """One category for each description; NULL descriptions count as unknown.
 
+    The text is cleaned once, and each system is looked for once.
+    """
+    cleaned = F.lower(plain_words(description))
+    text = F.coalesce(F.regexp_replace(cleaned, PUMP_POWER, "heat pump"), F.lit(""))
+    names = list(SYSTEM_WORDS)
 
-def heating_category(description: ColumnLike) -> Column:
-    """One category for each description; NULL descriptions count as unknown."""
-    text = F.regexp_replace(_text(description), PUMP_POWER, "heat pump")
-    shown = {name: text.rlike(words) for name, words in SYSTEM_WORDS.items()}
-    systems = sum((F.coalesce(hit.cast("int"), F.lit(0)) for hit in shown.values()), F.lit(0))
-    rule = F.when((systems > 1) & shown[RENEWABLE], TWO_RENEWABLE).when(systems > 1, TWO_PLAIN)
-    for name in (COMMUNITY, RENEWABLE, MAINS_GAS, ELECTRICITY, OIL):
-        rule = rule.when(shown[name], name)
-    return rule.otherwise(OTHER)
+    def found(words: Column) -> Column:
+        hits = [words.rlike(SYSTEM_WORDS[n]).alias(f"s{i}") for i, n in enumerate(names)]
+        return F.struct(*hits)
+
+    def rule(hits: Column) -> Column:
+        shown = {n: hits[f"s{i}"] for i, n in enumerate(names)}
+        systems = sum((hit.cast("int") for hit in shown.values()), F.lit(0))
+        chosen = F.when((systems > 1) & shown[RENEWABLE], TWO_RENEWABLE).when(
+            systems > 1, TWO_PLAIN
+        )
+        for name in (COMMUNITY, RENEWABLE, MAINS_GAS, ELECTRICITY, OIL):
+            chosen = chosen.when(shown[name], name)
+        return chosen.otherwise(OTHER)
+
+    return let(let(text, found), rule)
 
 
 def category_lookup(certificates: DataFrame, description: str = "mainheat") -> DataFrame:

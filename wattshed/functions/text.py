@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,15 @@ def col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind a value once for an expression that uses it many times.
+
+    As a plain column the value would be written out, and may be worked out, at
+    each use; a lambda's variable is worked out once for each row.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def char_slice(c: ColumnLike, first: int, last: int | None = None) -> Column:
     """Characters ``first``..``last``, both counted from 1 and inclusive; 0 counts as 1."""
     first = max(first, 1)
