@@ -485,7 +485,9 @@ def _(t):
 # The classifier's rules again, as SQL over text that has been lowered and cleaned.
 def category_sql(text: str) -> str:
     names = list(SYSTEM_WORDS)
-    shown = {n: f"regexp_matches({text}, '{w}')" for n, w in SYSTEM_WORDS.items()}
+    shown = {
+        n: f"regexp_matches({text}, '\\b(?:{'|'.join(w)})\\b')" for n, w in SYSTEM_WORDS.items()
+    }
     count = " + ".join(f"CAST({s} AS INTEGER)" for s in shown.values())
     single = [n for n in names if n != "Other and unknown"]
     order = [n for n in ("Community heating scheme", "Renewable energy(including heat pumps)",

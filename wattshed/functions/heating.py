@@ -24,12 +24,22 @@ TWO_RENEWABLE = "Two or more(including renewable energy)"
 # The words that show each system, in lower-case plain text.
 # Solid fuels, bottled gas and biofuels count as "other" systems.
 SYSTEM_WORDS = {
-    MAINS_GAS: r"\b(?:mains gas|gas central heating|gas boiler|natural gas)\b",
-    ELECTRICITY: r"\b(?:electric|electricity|storage heaters?)\b",
-    OIL: r"\boil\b",
-    COMMUNITY: r"\b(?:community|communal|district)\b",
-    RENEWABLE: r"\b(?:heat pumps?|ashp|gshp|solar)\b",
-    OTHER: r"\b(?:coal|wood|biomass|lpg|bottled gas|bioethanol|b30k|anthracite|smokeless)\b",
+    MAINS_GAS: ["mains gas", "gas central heating", "gas boiler", "natural gas"],
+    ELECTRICITY: ["electric", "electricity", "storage heater", "storage heaters"],
+    OIL: ["oil"],
+    COMMUNITY: ["community", "communal", "district"],
+    RENEWABLE: ["heat pump", "heat pumps", "ashp", "gshp", "solar"],
+    OTHER: [
+        "coal",
+        "wood",
+        "biomass",
+        "lpg",
+        "bottled gas",
+        "bioethanol",
+        "b30k",
+        "anthracite",
+        "smokeless",
+    ],
 }
 
 # A heat pump's own electricity is not a second system.
@@ -44,12 +54,23 @@ def heating_category(description: ColumnLike) -> Column:
 
     The text is cleaned once, and each system is looked for once.
     """
-    cleaned = F.lower(plain_words(description))
-    text = F.coalesce(F.regexp_replace(cleaned, PUMP_POWER, "heat pump"), F.lit(""))
     names = list(SYSTEM_WORDS)
+    # Plain words are parted by single spaces, so a padded search finds whole words.
+    spaced = F.replace(F.lower(plain_words(description)), F.lit(":"), F.lit(" "))
+    padded = F.coalesce(F.concat(F.lit(" "), spaced, F.lit(" ")), F.lit(""))
+
+    def own_power_left_out(words: Column) -> Column:
+        return F.when(
+            words.contains("heat pump"), F.regexp_replace(words, PUMP_POWER, "heat pump")
+        ).otherwise(words)
 
     def found(words: Column) -> Column:
-        hits = [words.rlike(SYSTEM_WORDS[n]).alias(f"s{i}") for i, n in enumerate(names)]
+        hits = []
+        for i, name in enumerate(names):
+            hit = F.lit(False)
+            for phrase in SYSTEM_WORDS[name]:
+                hit = hit | words.contains(f" {phrase} ")
+            hits.append(hit.alias(f"s{i}"))
         return F.struct(*hits)
 
     def rule(hits: Column) -> Column:
@@ -62,7 +83,7 @@ def heating_category(description: ColumnLike) -> Column:
             chosen = chosen.when(shown[name], name)
         return chosen.otherwise(OTHER)
 
-    return let(let(text, found), rule)
+    return let(let(let(padded, own_power_left_out), found), rule)
 
 
 def category_lookup(certificates: DataFrame, description: str = "mainheat") -> DataFrame:

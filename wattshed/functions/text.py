@@ -56,8 +56,8 @@ def squish(c: ColumnLike) -> Column:
 
 
 def plain_words(c: ColumnLike) -> Column:
-    """Keep letters, digits, colons and white space; the rest become single spaces."""
-    return squish(F.regexp_replace(col(c), r"[^a-zA-Z0-9\s:]", " "))
+    """Keep letters, digits and colons; all between them, white space too, is one space."""
+    return F.trim(F.regexp_replace(col(c), r"[^a-zA-Z0-9:]+", " "))
 
 
 def strip_note(c: ColumnLike) -> Column:
