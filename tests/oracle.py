@@ -83,6 +83,7 @@ def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
     parser.add_argument("--slow", type=float, default=3.0)
+    parser.add_argument("--partitions", default="8")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -91,7 +92,7 @@ def main() -> int:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", args.partitions)
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
