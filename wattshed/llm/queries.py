@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from wattshed.llm.quality import op7_adaptive_quality
+from wattshed.llm.substrings import op1_substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op7_adaptive_quality": op7_adaptive_quality,
 }
 ORACLES: dict[str, str] = {}
