@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from wattshed.llm.jaccard import op5_jaccard_join
 from wattshed.llm.quality import op7_adaptive_quality
 from wattshed.llm.substrings import op1_substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_adaptive_quality": op7_adaptive_quality,
 }
 ORACLES: dict[str, str] = {}
