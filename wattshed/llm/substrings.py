@@ -6,7 +6,7 @@ PERIOD is in a difference cover. For any two places i and j some step below
 PERIOD takes both into the cover, so two equal windows, wherever they stand in
 their documents, share at least one anchor at the same step. Words that no
 shared anchor touches never leave their task. Shared anchors then extend: all
-windows around them are hashed to 128 bits, and a window goes if the least
+windows around them are hashed to 96 bits, and a window goes if the least
 document with that hash is smaller than its own.
 
 Each task first settles what it can among its own texts, so of a passage that a
@@ -35,7 +35,7 @@ COVER = (1, 5, 11, 24, 25, 27)
 BLOCK = 8 << 20
 
 _ANCHORS = "anchor bigint, doc_id bigint, tag int, place int, known array<int>"
-_WINDOWS = "h1 bigint, h2 bigint, doc_id bigint, tag int, place int, known array<int>"
+_WINDOWS = "h1 bigint, h2 int, doc_id bigint, tag int, place int, known array<int>"
 
 
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +62,7 @@ def _batch(keys: list[np.ndarray], ids, tags, owner, place, settled_owner, settl
     lists = _lists(np.searchsorted(holders, settled_owner), settled_place, len(holders))
     spread = mix(ids[holders].astype(np.uint64) + np.uint64(7)).view(np.int64)
     n = len(owner)
-    columns = [pa.array(np.concatenate([k.view(np.int64), spread])) for k in keys]
+    columns = [pa.array(np.concatenate([k, spread.astype(k.dtype)])) for k in keys]
     columns.append(pa.array(np.concatenate([ids[owner], ids[holders]])))
     columns.append(pa.array(np.concatenate([tags[owner], tags[holders]])))
     columns.append(pa.array(np.concatenate([place, np.full(len(holders), -2)]).astype(np.int32)))
@@ -98,24 +98,26 @@ def _anchor_rows(window: int, period: int, cover: tuple[int, ...]):
                 witness &= shared
                 sent = ~shared | witness
                 yield _batch(
-                    [keys[sent]], ids, tags, owner[sent], np.where(witness[sent], -1, place[sent]),
+                    [keys[sent].view(np.int64)], ids, tags, owner[sent], np.where(witness[sent], -1, place[sent]),
                     owner[shared], place[shared], ["anchor", "doc_id", "tag", "place", "known"],
                 )
 
     return each
 
 
-def _window_rows(window: int, period: int):
+def _window_rows(window: int, period: int, doc_id: str, tag: str, text: str, anchors: str):
     """Hashes of windows around shared anchors; of equal ones in the block the least document's."""
 
     def each(batches):
         for batch in batches:
-            all_ids, all_tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy()
-            for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK):
+            batch = batch.filter(batch.column(anchors).is_valid())
+            all_ids = batch.column(doc_id).cast(pa.int64()).to_numpy()
+            all_tags = batch.column(tag).to_numpy()
+            for lo, hi, data, offsets in chunks(batch.column(text), BLOCK):
                 ids, tags = all_ids[lo:hi], all_tags[lo:hi]
                 words = words_of(data, offsets)
                 values = words.hashes()
-                lists = batch.column("places").slice(lo, hi - lo)
+                lists = batch.column(anchors).slice(lo, hi - lo)
                 owner = np.repeat(np.arange(hi - lo), lists.value_lengths().to_numpy())
                 anchor = words.first[owner] + lists.flatten().to_numpy()
                 reach = np.zeros(len(values) + 1, dtype=np.int64)
@@ -125,6 +127,7 @@ def _window_rows(window: int, period: int):
                 near = np.cumsum(reach)[at] > 0
                 at, h1 = at[near], h1[near]
                 h2 = mix(OTHERS.spans(mix(values ^ np.uint64(0x5851F42D4C957F2D)), at, at + window))
+                h2 = (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 owner = words.owner[at]
                 place = at - words.first[owner]
                 order, group = _groups(h1, h2, ids[owner])
@@ -133,7 +136,7 @@ def _window_rows(window: int, period: int):
                 later = ids[owner] > ids[owner[first]][group] if len(group) else np.zeros(0, dtype=bool)
                 sent = ~later
                 yield _batch(
-                    [h1[sent], h2[sent]], ids, tags, owner[sent], place[sent],
+                    [h1[sent].view(np.int64), h2[sent]], ids, tags, owner[sent], place[sent],
                     owner[later], place[later], ["h1", "h2", "doc_id", "tag", "place", "known"],
                 )
 
@@ -149,35 +152,16 @@ def _by_document(rows: DataFrame) -> DataFrame:
     )
 
 
-def repeated_windows(
-    keyed: DataFrame, window: int = WINDOW, period: int = PERIOD, cover: tuple[int, ...] = COVER
-) -> DataFrame:
-    """(doc_id, tag, places): starts of the windows that a smaller doc_id also holds.
-
-    keyed has doc_id, tag and text; tag tells apart different texts of one doc_id.
-    """
-    if not 0 < period <= window:
-        raise ValueError("the period must be at most the window")
-    keyed = keyed.where("doc_id is not null and text is not null")
-    anchors = keyed.mapInArrow(_anchor_rows(window, period, cover), _ANCHORS)
-    same = Window.partitionBy("anchor")
-    shared = (
-        anchors.withColumns(
-            {
-                "least": F.min("doc_id").over(same),
-                "most": F.max("doc_id").over(same),
-                "seen": F.min("place").over(same),
-            }
-        )
-        .where("known is not null or place >= 0 and (least < most or seen = -1)")
-    )
-    near = _by_document(shared)
-    windows_near = keyed.join(near, ["doc_id", "tag"]).select("doc_id", "tag", "text", "places")
-    hashed = windows_near.mapInArrow(_window_rows(window, period), _WINDOWS)
-    gone = hashed.withColumn("least", F.min("doc_id").over(Window.partitionBy("h1", "h2"))).where(
-        "known is not null or doc_id > least"
+def shared_anchors(keyed: DataFrame, window: int, period: int, cover: tuple[int, ...]) -> DataFrame:
+    """(doc_id, tag, places): starts of the anchors that several doc_ids hold."""
+    anchors = keyed.where("doc_id is not null and text is not null").mapInArrow(
+        _anchor_rows(window, period, cover), _ANCHORS
     )
-    return _by_document(gone)
+    same = Window.partitionBy("anchor")
+    shared = anchors.withColumns(
+        {"least": F.min("doc_id").over(same), "most": F.max("doc_id").over(same), "seen": F.min("place").over(same)}
+    ).where("known is not null or place >= 0 and (least < most or seen = -1)")
+    return _by_document(shared)
 
 
 def _kept(window: int):
@@ -248,16 +232,28 @@ def without_repeats(
     words to the other. A NULL doc_id takes and loses nothing. A NULL text is
     empty. Columns of docs keep their names: the struct takes one that is free.
     """
+    if not 0 < period <= window:
+        raise ValueError("the period must be at most the window")
     tag = (F.crc32(F.col(text).cast("binary")) % 65536).cast("int")
     name, places, tag_name = free_name(docs, "kept"), free_name(docs, "places"), free_name(docs, "tag")
+    tagged = docs.withColumn(tag_name, tag)
+
+    def beside(found: DataFrame) -> DataFrame:
+        """tagged with the places found. Both joins take the same rows and columns from
+        docs, so that Spark shuffles the texts once and reads that shuffle twice."""
+        theirs = found.select(
+            F.col("doc_id").alias(f"{name}_id"), F.col("tag").alias(f"{name}_tag"), F.col("places").alias(places)
+        )
+        same = (tagged[doc_id] == theirs[f"{name}_id"]) & (tagged[tag_name] == theirs[f"{name}_tag"])
+        return tagged.join(theirs, same, "left").select(*[tagged[c] for c in tagged.columns], places)
+
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), tag.alias("tag"), F.col(text).alias("text"))
-    gone = repeated_windows(keyed, window, period, cover).select(
-        F.col("doc_id").alias(f"{name}_id"), F.col("tag").alias(f"{name}_tag"), F.col("places").alias(places)
+    near = beside(shared_anchors(keyed, window, period, cover))
+    hashed = near.mapInArrow(_window_rows(window, period, doc_id, tag_name, text, places), _WINDOWS)
+    gone = hashed.withColumn("least", F.min("doc_id").over(Window.partitionBy("h1", "h2"))).where(
+        "known is not null or doc_id > least"
     )
-    tagged = docs.withColumn(tag_name, tag)
-    met = tagged.join(
-        gone, (tagged[doc_id] == gone[f"{name}_id"]) & (tagged[tag_name] == gone[f"{name}_tag"]), "left"
-    ).select(*[tagged[c] for c in docs.columns], places)
+    met = beside(_by_document(gone)).select(*docs.columns, places)
     kept = _kept(window)
     return with_struct(met, name, _KEPT, lambda batch: kept(batch, text, places)), name
 
