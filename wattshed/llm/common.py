@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattshed.session import scratch_folder
@@ -16,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
     """df written under the cluster's shared checkpoint folder and read again.
 
     Cuts lineage and outlives any executor; the schema is given, so that a
@@ -24,7 +23,7 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_folder(spark, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -36,17 +35,6 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def renamed(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the given columns, under the names an operator works with."""
-    return df.select([df[theirs].alias(ours) for ours, theirs in columns.items()])
-
-
-def arrow_pass(
-    df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return df.mapInArrow(make, schema)
-
-
 def with_struct(df: DataFrame, name: str, kind: T.StructType, make: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
     """All columns of df and one struct more, computed from each Arrow batch."""
 
@@ -56,7 +44,3 @@ def with_struct(df: DataFrame, name: str, kind: T.StructType, make: Callable[[pa
             yield pa.RecordBatch.from_arrays([*batch.columns, extra], [*batch.schema.names, name])
 
     return df.mapInArrow(each, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
-
-
-def joined_spans(spans, separator: str = ","):
-    return F.concat_ws(separator, spans)

@@ -27,19 +27,20 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattshed.llm.common import staged, table
 from wattshed.llm.components import components
 from wattshed.llm.features import keyed
-from wattshed.llm.words import WORDS, chunks, mix, words_of
+from wattshed.llm.words import CHUNK, WORDS, chunks, mix, words_of
 
 SHINGLE = 5
 #: Similarity of SHARE out of OUT_OF or more.
 SHARE, OUT_OF = 75, 100
 #: Bytes of text among which a task settles copies and finds frequent shingles.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: A shingle is heavy if one of so many texts holds it, so heavy ones are at most
 #: this many times the mean set size, whatever the size of the corpus.
 HEAVY_ONE_IN = 2000
@@ -47,6 +48,8 @@ HEAVY_LEAST = 16
 #: What a posting in an inverted list costs, counted in subsets of a small set.
 LIST_COST = 8
 LARGEST_SMALL = 16
+#: Buckets of doc_ids by which texts that no pair needs are left out; bounds a broadcast.
+BUCKETS = 1 << 18
 #: Random orders in which long lists are linked, and what is long.
 ORDERS, LONG = 8, 16
 
@@ -103,7 +106,9 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     hashes = WORDS.spans(values, at, at + length[at])
     hashes = mix(hashes ^ (length[at].astype(np.uint64) << np.uint64(56)))
     owner = words.owner[at]
-    order = np.lexsort((hashes, owner))
+    order = np.argsort((owner.astype(np.uint64) << np.uint64(44)) | (hashes >> np.uint64(20)))
+    if (np.diff(hashes[order] >> np.uint64(20)) == 0).any():
+        order = np.lexsort((hashes, owner))  # settles ties of the leading bits too
     owner, hashes = owner[order], hashes[order]
     new = np.ones(len(owner), dtype=bool)
     new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
@@ -215,36 +220,51 @@ def _postings(heavy: np.ndarray, small: int):
     return each
 
 
+def _slices(batch: pa.RecordBatch, size: int = 4 * CHUNK):
+    """The batch in slices of about that many bytes of text."""
+    bytes_of = lambda c: batch.column(c).cast(pa.binary()).fill_null(b"")
+    length = sum(pc.binary_length(bytes_of(c)).to_numpy().astype(np.int64) for c in ("text_a", "text_b"))
+    edges = np.concatenate([[0], np.cumsum(length)])
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(int(np.searchsorted(edges, edges[lo] + size)) - 1, lo + 1)
+        yield batch.slice(lo, min(hi, batch.num_rows) - lo)
+        lo = hi
+
+
+def _sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash) of all sets of a column, and their sizes."""
+    parts = [(lo, *shingle_sets(data, offsets)) for lo, _, data, offsets in chunks(column)]
+    owner, hashes, size = (np.concatenate(x) for x in zip(*[(lo + o, h, n) for lo, o, h, n in parts], strict=True))
+    return owner, hashes, size
+
+
 def _linked(batches):
     """Keeps the pairs (a, b) whose texts share enough shingles."""
     for batch in batches:
-        size = {}
-        sets = {}
-        for side in ("text_a", "text_b"):
-            rows, counts = [], []
-            for lo, hi, data, offsets in chunks(batch.column(side)):
-                owner, hashes, n = shingle_sets(data, offsets)
-                rows.append(keyed(hashes, owner + lo))
-                counts.append(n)
-                if side == "text_a":
-                    size.setdefault("owner", []).append(owner + lo)
-            sets[side] = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
-            size[side] = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-        if not batch.num_rows:
-            continue
-        owner = np.concatenate(size["owner"])
-        met = np.isin(sets["text_a"], sets["text_b"])
-        common = np.bincount(owner[met], minlength=batch.num_rows)
-        union = size["text_a"] + size["text_b"] - common
-        good = pa.array((OUT_OF * common >= SHARE * union) & (common > 0))
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
+        for part in _slices(batch):
+            owner, hashes, size_a = _sets(part.column("text_a"))
+            owner_b, hashes_b, size_b = _sets(part.column("text_b"))
+            met = np.isin(keyed(hashes, owner), keyed(hashes_b, owner_b))
+            common = np.bincount(owner[met], minlength=part.num_rows)
+            union = size_a + size_b - common
+            good = pa.array((OUT_OF * common >= SHARE * union) & (common > 0))
+            yield pa.RecordBatch.from_arrays([part.column("a").filter(good), part.column("b").filter(good)], ["a", "b"])
 
 
 def _tested(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of documents that are linked, by their whole texts."""
+    """The pairs (a, b) of documents that are linked, by their whole texts.
+
+    Texts whose doc_id falls into none of the buckets that the pairs touch stay
+    out of the shuffle: the table of buckets has BUCKETS rows at most.
+    """
+    pairs = staged(pairs.select("a", "b"), "pairs")
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
+    touched = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(bucket("id").alias("touched")).distinct()
+    texts = texts.join(F.broadcast(touched), bucket("doc_id") == touched["touched"], "left_semi")
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    met = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+    met = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
     return met.mapInArrow(_linked, "a bigint, b bigint")
 
 
@@ -295,7 +315,11 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame) -> DataFrame
     counted = {r["n"]: r["count"] for r in size.where(f"n <= {LARGEST_SMALL * 2}").groupBy("n").count().collect()}
     texts = docs.where("doc_id is not null and text is not null")
     heavy = _heavy(shingles, classes.count())
-    rows = texts.mapInArrow(_postings(heavy, boundary(counted)), "key bigint, doc_id bigint, n int, kind byte")
+    rows = staged(
+        texts.mapInArrow(_postings(heavy, boundary(counted)), "key bigint, doc_id bigint, n int, kind byte"),
+        "postings",
+        "lz4",
+    )
 
     # Light lists by window: each holds less than one of HEAVY_ONE_IN texts. Heavy ones, and
     # subsets, by partial minima joined back, a join that splits a hot key.
@@ -309,7 +333,7 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame) -> DataFrame
     listed = rows.where("kind = 1")
     hubs = listed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
     shared = staged(
-        light.unionByName(listed.join(hubs.drop("last"), "key").select("key", "doc_id", "n", "hub")), "postings"
+        light.unionByName(listed.join(hubs.drop("last"), "key").select("key", "doc_id", "n", "hub")), "lists"
     )
     subsets = rows.where("kind >= 2")
     ends = subsets.groupBy("key", "kind").agg(
