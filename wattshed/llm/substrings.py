@@ -6,7 +6,7 @@ PERIOD is in a difference cover. For any two places i and j some step below
 PERIOD takes both into the cover, so two equal windows, wherever they stand in
 their documents, share at least one anchor at the same step. Words that no
 shared anchor touches never leave their task. Shared anchors then extend: all
-windows around them are hashed to 96 bits, and a window goes if the least
+windows around them are hashed to 82 bits, and a window goes if the least
 document with that hash is smaller than its own.
 
 Each task first settles what it can among its own texts, so of a passage that a
@@ -20,7 +20,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +32,13 @@ WINDOW = 50
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 #: Bytes of text among which a task settles equal windows before it shuffles.
-BLOCK = 8 << 20
+BLOCK = 6 << 20
 
-_ANCHORS = "anchor bigint, doc_id bigint, tag int, place int, known array<int>"
-_WINDOWS = "h1 bigint, h2 int, doc_id bigint, tag int, place int, known array<int>"
+#: Layout of a row's last number: more bits of the hash, tag of the text, place.
+PLACE_BITS, TAG_BITS = 30, 16
+WITNESS, SETTLED = (1 << PLACE_BITS) - 1, (1 << PLACE_BITS) - 2
+
+_ROWS = "hash bigint, doc_id bigint, rest bigint, known array<int>"
 
 
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,18 +59,22 @@ def _lists(owner: np.ndarray, place: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(place[order].astype(np.int32)))
 
 
-def _batch(keys: list[np.ndarray], ids, tags, owner, place, settled_owner, settled_place, names) -> pa.RecordBatch:
-    """Open rows (key, document, place), then one row a text with the places settled here."""
+def _batch(hashes, ids, tags, owner, rest, settled_owner, settled_place) -> pa.RecordBatch:
+    """Open rows (hash, document, rest), then one row a text with the places settled here."""
     holders = np.unique(settled_owner)
     lists = _lists(np.searchsorted(holders, settled_owner), settled_place, len(holders))
-    spread = mix(ids[holders].astype(np.uint64) + np.uint64(7)).view(np.int64)
-    n = len(owner)
-    columns = [pa.array(np.concatenate([k, spread.astype(k.dtype)])) for k in keys]
-    columns.append(pa.array(np.concatenate([ids[owner], ids[holders]])))
-    columns.append(pa.array(np.concatenate([tags[owner], tags[holders]])))
-    columns.append(pa.array(np.concatenate([place, np.full(len(holders), -2)]).astype(np.int32)))
-    columns.append(pa.concat_arrays([pa.nulls(n, lists.type), lists]))
-    return pa.RecordBatch.from_arrays(columns, names)
+    spread = mix(ids[holders].astype(np.uint64) + np.uint64(7))
+    rest = np.concatenate([rest, np.full(len(holders), SETTLED)]).astype(np.int64)
+    who = np.concatenate([owner, holders])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([hashes, spread]).view(np.int64)),
+            pa.array(ids[who]),
+            pa.array(rest | tags[who].astype(np.int64) << PLACE_BITS),
+            pa.concat_arrays([pa.nulls(len(owner), lists.type), lists]),
+        ],
+        ["hash", "doc_id", "rest", "known"],
+    )
 
 
 def _anchor_rows(window: int, period: int, cover: tuple[int, ...]):
@@ -97,10 +104,8 @@ def _anchor_rows(window: int, period: int, cover: tuple[int, ...]):
                 witness[first] = True
                 witness &= shared
                 sent = ~shared | witness
-                yield _batch(
-                    [keys[sent].view(np.int64)], ids, tags, owner[sent], np.where(witness[sent], -1, place[sent]),
-                    owner[shared], place[shared], ["anchor", "doc_id", "tag", "place", "known"],
-                )
+                place_or = np.where(witness, WITNESS, place)
+                yield _batch(keys[sent], ids, tags, owner[sent], place_or[sent], owner[shared], place[shared])
 
     return each
 
@@ -127,7 +132,7 @@ def _window_rows(window: int, period: int, doc_id: str, tag: str, text: str, anc
                 near = np.cumsum(reach)[at] > 0
                 at, h1 = at[near], h1[near]
                 h2 = mix(OTHERS.spans(mix(values ^ np.uint64(0x5851F42D4C957F2D)), at, at + window))
-                h2 = (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                h2 = h2 >> np.uint64(PLACE_BITS + TAG_BITS)
                 owner = words.owner[at]
                 place = at - words.first[owner]
                 order, group = _groups(h1, h2, ids[owner])
@@ -135,35 +140,47 @@ def _window_rows(window: int, period: int, doc_id: str, tag: str, text: str, anc
                 first = np.flatnonzero(np.diff(group, prepend=-1))
                 later = ids[owner] > ids[owner[first]][group] if len(group) else np.zeros(0, dtype=bool)
                 sent = ~later
-                yield _batch(
-                    [h1[sent].view(np.int64), h2[sent]], ids, tags, owner[sent], place[sent],
-                    owner[later], place[later], ["h1", "h2", "doc_id", "tag", "place", "known"],
-                )
+                rest = place | (h2 << np.uint64(PLACE_BITS + TAG_BITS)).view(np.int64)
+                yield _batch(h1[sent], ids, tags, owner[sent], rest[sent], owner[later], place[later])
 
     return each
 
 
+def _place() -> Column:
+    return F.col("rest").bitwiseAND(WITNESS)
+
+
 def _by_document(rows: DataFrame) -> DataFrame:
     """(doc_id, tag, places): single places and those settled in tasks, of each document."""
-    return rows.groupBy("doc_id", "tag").agg(
-        F.array_distinct(
-            F.concat(F.collect_list(F.when(F.col("place") >= 0, F.col("place"))), F.flatten(F.collect_list("known")))
-        ).alias("places")
+    tag = F.shiftright("rest", PLACE_BITS).bitwiseAND((1 << TAG_BITS) - 1).cast("int")
+    single = F.when(F.col("known").isNull() & (_place() != WITNESS), _place().cast("int"))
+    return (
+        rows.select("doc_id", tag.alias("tag"), single.alias("place"), "known")
+        .groupBy("doc_id", "tag")
+        .agg(F.array_distinct(F.concat(F.collect_list("place"), F.flatten(F.collect_list("known")))).alias("places"))
     )
 
 
 def shared_anchors(keyed: DataFrame, window: int, period: int, cover: tuple[int, ...]) -> DataFrame:
     """(doc_id, tag, places): starts of the anchors that several doc_ids hold."""
     anchors = keyed.where("doc_id is not null and text is not null").mapInArrow(
-        _anchor_rows(window, period, cover), _ANCHORS
+        _anchor_rows(window, period, cover), _ROWS
     )
-    same = Window.partitionBy("anchor")
+    same = Window.partitionBy("hash")
+    seen = F.max(_place()).over(same) == WITNESS
     shared = anchors.withColumns(
-        {"least": F.min("doc_id").over(same), "most": F.max("doc_id").over(same), "seen": F.min("place").over(same)}
-    ).where("known is not null or place >= 0 and (least < most or seen = -1)")
+        {"several": (F.min("doc_id").over(same) < F.max("doc_id").over(same)) | seen}
+    ).where("known is not null or several")
     return _by_document(shared)
 
 
+def repeated_windows(hashed: DataFrame) -> DataFrame:
+    """(doc_id, tag, places): starts of the windows that a smaller doc_id also holds."""
+    same = Window.partitionBy("hash", F.shiftrightunsigned("rest", PLACE_BITS + TAG_BITS))
+    least = hashed.repartition("hash").withColumn("least", F.min("doc_id").over(same))
+    return _by_document(least.where("known is not null or doc_id > least"))
+
+
 def _kept(window: int):
     """Adds the text left, its word counts and the digest of its words."""
 
@@ -249,11 +266,8 @@ def without_repeats(
 
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), tag.alias("tag"), F.col(text).alias("text"))
     near = beside(shared_anchors(keyed, window, period, cover))
-    hashed = near.mapInArrow(_window_rows(window, period, doc_id, tag_name, text, places), _WINDOWS)
-    gone = hashed.withColumn("least", F.min("doc_id").over(Window.partitionBy("h1", "h2"))).where(
-        "known is not null or doc_id > least"
-    )
-    met = beside(_by_document(gone)).select(*docs.columns, places)
+    hashed = near.mapInArrow(_window_rows(window, period, doc_id, tag_name, text, places), _ROWS)
+    met = beside(repeated_windows(hashed)).select(*docs.columns, places)
     kept = _kept(window)
     return with_struct(met, name, _KEPT, lambda batch: kept(batch, text, places)), name
 
