@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wattshed.llm.bpe import op6_bpe_prefixes
 from wattshed.llm.jaccard import op5_jaccard_join
 from wattshed.llm.quality import op7_adaptive_quality
 from wattshed.llm.substrings import op1_substring_dedup
@@ -9,6 +10,7 @@ from wattshed.llm.substrings import op1_substring_dedup
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_bpe_prefixes": op6_bpe_prefixes,
     "op7_adaptive_quality": op7_adaptive_quality,
 }
 ORACLES: dict[str, str] = {}
