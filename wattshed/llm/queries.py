@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from wattshed.llm.bpe import op6_bpe_prefixes
 from wattshed.llm.jaccard import op5_jaccard_join
+from wattshed.llm.packing import op9_min_slack_packing
 from wattshed.llm.quality import op7_adaptive_quality
 from wattshed.llm.substrings import op1_substring_dedup
 
@@ -12,5 +13,6 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_bpe_prefixes": op6_bpe_prefixes,
     "op7_adaptive_quality": op7_adaptive_quality,
+    "op9_min_slack_packing": op9_min_slack_packing,
 }
 ORACLES: dict[str, str] = {}
