@@ -6,7 +6,7 @@ PERIOD is in a difference cover. For any two places i and j some step below
 PERIOD takes both into the cover, so two equal windows, wherever they stand in
 their documents, share at least one anchor at the same step. Words that no
 shared anchor touches never leave their task. Shared anchors then extend: all
-windows around them are hashed to 82 bits, and a window goes if the least
+windows around them are hashed to 80 bits, and a window goes if the least
 document with that hash is smaller than its own.
 
 Each task first settles what it can among its own texts, so of a passage that a
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattshed.llm.common import free_name, table, with_struct
-from wattshed.llm.words import OTHERS, chunks, mix, windows, words_of
+from wattshed.llm.features import keyed
+from wattshed.llm.words import OTHERS, Words, chunks, mix, windows, words_of
 
 WINDOW = 50
 #: A perfect difference set; each remainder is a difference of two of them.
@@ -35,17 +36,17 @@ COVER = (1, 5, 11, 24, 25, 27)
 BLOCK = 6 << 20
 
 #: Layout of a row's last number: more bits of the hash, tag of the text, place.
-PLACE_BITS, TAG_BITS = 30, 16
+PLACE_BITS, TAG_BITS = 32, 16
 WITNESS, SETTLED = (1 << PLACE_BITS) - 1, (1 << PLACE_BITS) - 2
 
 _ROWS = "hash bigint, doc_id bigint, rest bigint, known array<int>"
 
 
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order that sorts by the keys, the first foremost, and group numbers by all but the last."""
+    """Order that sorts by the keys, the first foremost, and group numbers by all but the last two."""
     order = np.lexsort(keys[::-1])
     change = np.zeros(len(order), dtype=bool)
-    for key in keys[:-1]:
+    for key in keys[:-2]:
         sorted_key = key[order]
         change[1:] |= sorted_key[1:] != sorted_key[:-1]
     return order, np.cumsum(change)
@@ -77,9 +78,40 @@ def _batch(hashes, ids, tags, owner, rest, settled_owner, settled_place) -> pa.R
     )
 
 
+def _unsorted(flags: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Flags of sorted rows, in the order before the sort. Rows leave a task text by text,
+    so that neighbours share most of their bytes."""
+    out = np.zeros(len(flags), dtype=bool)
+    out[order] = flags
+    return out
+
+
+def _first_of_text(group: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Flags of the first row that a text has in each group; a text sends no more, and what
+    is found of one place holds for all equal places of the text."""
+    first = np.ones(len(group), dtype=bool)
+    first[1:] = (group[1:] != group[:-1]) | (owner[1:] != owner[:-1])
+    return first
+
+
+def _anchors_of(words: Words, window: int, period: int, chosen: np.ndarray):
+    """(first word, hash, text, place) of the anchors at chosen places of texts that hold a window."""
+    at, keys = windows(words, words.hashes(), window - period + 1)
+    owner = words.owner[at]
+    place = at - words.first[owner]
+    take = chosen[place % period] & (np.diff(words.first)[owner] >= window)
+    return at[take], keys[take], owner[take], place[take]
+
+
+def _with_equals(at: np.ndarray, hashes: np.ndarray, owner: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Those of at whose hash one of the found places of the same text has."""
+    some = np.isin(owner, owner[np.searchsorted(at, found)])
+    at, keys = at[some], keyed(hashes[some], owner[some])
+    return at[np.isin(keys, keys[np.searchsorted(at, found)])]
+
+
 def _anchor_rows(window: int, period: int, cover: tuple[int, ...]):
     """Anchors that only one text of the block holds, one witness for each that several hold."""
-    length = window - period + 1
     chosen = np.zeros(period, dtype=bool)
     chosen[list(cover)] = True
 
@@ -89,29 +121,28 @@ def _anchor_rows(window: int, period: int, cover: tuple[int, ...]):
             for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK):
                 ids, tags = all_ids[lo:hi], all_tags[lo:hi]
                 words = words_of(data, offsets)
-                at, keys = windows(words, words.hashes(), length)
-                owner = words.owner[at]
-                place = at - words.first[owner]
-                long = np.diff(words.first)[owner] >= window
-                take = chosen[place % period] & long
-                keys, owner, place = keys[take], owner[take], place[take]
-                order, group = _groups(keys, ids[owner])
-                keys, owner, place = keys[order], owner[order], place[order]
+                _, keys, owner, place = _anchors_of(words, window, period, chosen)
+                order, group = _groups(keys, ids[owner], owner)
                 first = np.flatnonzero(np.diff(group, prepend=-1))
+                who = owner[order]
                 last = np.append(first[1:], len(group)) - 1
-                shared = (ids[owner[first]] != ids[owner[last]])[group] if len(group) else np.zeros(0, dtype=bool)
+                shared = (ids[who[first]] != ids[who[last]])[group] if len(group) else np.zeros(0, dtype=bool)
+                fresh = _first_of_text(group, who)
                 witness = np.zeros(len(group), dtype=bool)
                 witness[first] = True
                 witness &= shared
-                sent = ~shared | witness
-                place_or = np.where(witness, WITNESS, place)
-                yield _batch(keys[sent], ids, tags, owner[sent], place_or[sent], owner[shared], place[shared])
+                marked = np.where(_unsorted(witness, order), WITNESS, place)
+                sent = _unsorted(fresh & ~shared | witness, order)
+                shared = _unsorted(fresh & shared, order)
+                yield _batch(keys[sent], ids, tags, owner[sent], marked[sent], owner[shared], place[shared])
 
     return each
 
 
-def _window_rows(window: int, period: int, doc_id: str, tag: str, text: str, anchors: str):
+def _window_rows(window: int, period: int, cover: tuple[int, ...], doc_id: str, tag: str, text: str, anchors: str):
     """Hashes of windows around shared anchors; of equal ones in the block the least document's."""
+    chosen = np.zeros(period, dtype=bool)
+    chosen[list(cover)] = True
 
     def each(batches):
         for batch in batches:
@@ -124,7 +155,10 @@ def _window_rows(window: int, period: int, doc_id: str, tag: str, text: str, anc
                 values = words.hashes()
                 lists = batch.column(anchors).slice(lo, hi - lo)
                 owner = np.repeat(np.arange(hi - lo), lists.value_lengths().to_numpy())
-                anchor = words.first[owner] + lists.flatten().to_numpy()
+                found = words.first[owner] + lists.flatten().to_numpy()
+                anchor, keys, owner, _ = _anchors_of(words, window, period, chosen)
+                anchor = _with_equals(anchor, keys, owner, found)
+                owner = words.owner[anchor]
                 reach = np.zeros(len(values) + 1, dtype=np.int64)
                 np.add.at(reach, np.maximum(anchor - period + 1, words.first[owner]), 1)
                 np.add.at(reach, anchor + 1, -1)
@@ -135,11 +169,12 @@ def _window_rows(window: int, period: int, doc_id: str, tag: str, text: str, anc
                 h2 = h2 >> np.uint64(PLACE_BITS + TAG_BITS)
                 owner = words.owner[at]
                 place = at - words.first[owner]
-                order, group = _groups(h1, h2, ids[owner])
-                h1, h2, owner, place = h1[order], h2[order], owner[order], place[order]
+                order, group = _groups(h1, h2, ids[owner], owner)
                 first = np.flatnonzero(np.diff(group, prepend=-1))
-                later = ids[owner] > ids[owner[first]][group] if len(group) else np.zeros(0, dtype=bool)
-                sent = ~later
+                who = owner[order]
+                later = ids[who] > ids[who[first]][group] if len(group) else np.zeros(0, dtype=bool)
+                fresh = _first_of_text(group, who)
+                sent, later = _unsorted(fresh & ~later, order), _unsorted(fresh & later, order)
                 rest = place | (h2 << np.uint64(PLACE_BITS + TAG_BITS)).view(np.int64)
                 yield _batch(h1[sent], ids, tags, owner[sent], rest[sent], owner[later], place[later])
 
@@ -191,6 +226,9 @@ def _kept(window: int):
             lists = batch.column(places).slice(lo, hi - lo)
             owner = np.repeat(np.arange(hi - lo), lists.fill_null([]).value_lengths().to_numpy())
             at = words.first[owner] + lists.flatten().to_numpy().astype(np.int64)
+            if len(at):
+                starts, hashes = windows(words, words.hashes(), window)
+                at = _with_equals(starts, hashes, words.owner[starts], at)
             cover = np.zeros(len(words.start) + window + 1, dtype=np.int64)
             np.add.at(cover, at, 1)
             np.add.at(cover, at + window, -1)
@@ -266,7 +304,7 @@ def without_repeats(
 
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), tag.alias("tag"), F.col(text).alias("text"))
     near = beside(shared_anchors(keyed, window, period, cover))
-    hashed = near.mapInArrow(_window_rows(window, period, doc_id, tag_name, text, places), _ROWS)
+    hashed = near.mapInArrow(_window_rows(window, period, cover, doc_id, tag_name, text, places), _ROWS)
     met = beside(repeated_windows(hashed)).select(*docs.columns, places)
     kept = _kept(window)
     return with_struct(met, name, _KEPT, lambda batch: kept(batch, text, places)), name
