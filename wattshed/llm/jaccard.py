@@ -178,7 +178,9 @@ def _subset_rows(hashes: np.ndarray, n: int) -> list[tuple[int, bool]]:
 
 
 def _postings(heavy: np.ndarray, small: int):
-    """Rows (key, doc_id, n, kind): list postings, kind 0, heavy ones 1, and subsets, 2 or 3.
+    """Rows (key, doc_id, n, left, kind): list postings, kind 0, heavy ones 1, and subsets, 2 or 3.
+
+    left counts the shingles of the set from this one on in the order.
 
     Of equal sets in the block only the least document sends rows.
     """
@@ -201,10 +203,12 @@ def _postings(heavy: np.ndarray, small: int):
                 place = np.arange(len(owner)) - start[owner]
                 sent = (place < prefix(size)[owner]) & (size[owner] >= least_listed)
                 keys, docs, kinds = [hashes[sent].view(np.int64)], [owner[sent]], [common[sent].astype(np.int8)]
+                left = [(size[owner] - place)[sent]]
                 for i in np.flatnonzero(first & (size <= small) & (size > 1)):
                     rows = _subset_rows(hashes[start[i] : start[i] + size[i]], int(size[i]))
                     keys.append(np.array([r[0] for r in rows], dtype=np.int64))
                     docs.append(np.full(len(rows), i))
+                    left.append(np.zeros(len(rows), dtype=np.int64))
                     kinds.append(np.array([2 + r[1] for r in rows], dtype=np.int8))
                 who = np.concatenate(docs)
                 yield pa.RecordBatch.from_arrays(
@@ -212,9 +216,10 @@ def _postings(heavy: np.ndarray, small: int):
                         pa.array(np.concatenate(keys)),
                         pa.array(ids[who]),
                         pa.array(size[who].astype(np.int32)),
+                        pa.array(np.concatenate(left).astype(np.int32)),
                         pa.array(np.concatenate(kinds)),
                     ],
-                    ["key", "doc_id", "n", "kind"],
+                    ["key", "doc_id", "n", "left", "kind"],
                 )
 
     return each
@@ -268,6 +273,11 @@ def _tested(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return met.mapInArrow(_linked, "a bigint, b bigint")
 
 
+def _pairs(rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) of rows with x and y, smaller first."""
+    return rows.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _possible(pairs: DataFrame) -> DataFrame:
     """Pairs (a, b, na, nb, met) that met often enough in lists to be linked at all.
 
@@ -280,16 +290,12 @@ def _possible(pairs: DataFrame) -> DataFrame:
     return pairs.where(near & (F.col("met") + rest >= needed_column(n, m)))
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Counts in how many lists two texts meet; rows have x, nx, y, ny."""
-    first = F.col("x") < F.col("y")
-    pick = lambda p, q: F.when(first, F.col(p)).otherwise(F.col(q))
-    return (
-        rows.where("x <> y")
-        .select(pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("nx", "ny").alias("na"), pick("ny", "nx").alias("nb"))
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.count("*").alias("met"))
-    )
+def _may_start() -> Column:
+    """Whether x and y may be linked with this list as the first that they share.
+
+    From the first shared shingle on, both sets must hold as many as are needed.
+    """
+    return needed_column(F.col("nx"), F.col("ny")) <= F.least("left_x", "left_y")
 
 
 def document_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -316,7 +322,7 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame) -> DataFrame
     texts = docs.where("doc_id is not null and text is not null")
     heavy = _heavy(shingles, classes.count())
     rows = staged(
-        texts.mapInArrow(_postings(heavy, boundary(counted)), "key bigint, doc_id bigint, n int, kind byte"),
+        texts.mapInArrow(_postings(heavy, boundary(counted)), "key bigint, doc_id bigint, n int, left int, kind byte"),
         "postings",
         "lz4",
     )
@@ -328,12 +334,12 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame) -> DataFrame
         rows.where("kind = 0")
         .withColumns({"hub": F.min("doc_id").over(whole), "last": F.max("doc_id").over(whole)})
         .where("hub < last")
-        .select("key", "doc_id", "n", "hub")
+        .select("key", "doc_id", "n", "left", "hub")
     )
     listed = rows.where("kind = 1")
     hubs = listed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
     shared = staged(
-        light.unionByName(listed.join(hubs.drop("last"), "key").select("key", "doc_id", "n", "hub")), "lists"
+        light.unionByName(listed.join(hubs.drop("last"), "key").select("key", "doc_id", "n", "left", "hub")), "lists"
     )
     subsets = rows.where("kind >= 2")
     ends = subsets.groupBy("key", "kind").agg(
@@ -373,10 +379,10 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame) -> DataFrame
         joined = components(edges)
         held = (
             shared.join(rep, ["doc_id", "n"])
-            .select("key", "rep", "n")
+            .select("key", "rep", "n", "left")
             .distinct()
             .join(joined, F.col("rep") == F.col("vertex"), "left")
-            .select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+            .select("key", "rep", "n", "left", F.coalesce("component", "rep").alias("component"))
         )
         return staged(held, "lists")
 
@@ -389,22 +395,22 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame) -> DataFrame
     turns = long.withColumn("turn", F.explode(F.array(*[F.lit(i) for i in range(ORDERS)])))
     line = Window.partitionBy("key", "turn").orderBy(F.xxhash64("rep", "turn"), "rep")
     beside = turns.select(
-        F.col("rep").alias("x"), F.col("n").alias("nx"), "component",
-        F.lead("rep").over(line).alias("y"), F.lead("n").over(line).alias("ny"),
-        F.lead("component").over(line).alias("other"), "key",
-    ).where("component <> other").select("key", "x", "nx", "y", "ny").distinct()
-    chained = _tested(_possible(_pairs(beside)), texts)
+        F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("left").alias("left_x"), "component",
+        F.lead("rep").over(line).alias("y"), F.lead("n").over(line).alias("ny"), F.lead("left").over(line).alias("left_y"),
+        F.lead("component").over(line).alias("other"),
+    ).where((F.col("component") != F.col("other")) & _may_start())
+    chained = _tested(_pairs(beside), texts)
     found = staged(found.unionByName(chained).distinct(), "links")
 
     # Step 3: all pairs of different components that share a list.
     held = holders(found)
     several = held.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"))
     open_lists = held.join(several.where("first < last").select("key"), "key")
-    x = open_lists.select("key", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    y = open_lists.select("key", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    near = (F.col("cx") < F.col("cy")) & (SHARE * F.greatest("nx", "ny") <= OUT_OF * F.least("nx", "ny"))
-    rest = _pairs(x.join(y, "key").where(near).select("x", "nx", "y", "ny"))
-    return found.unionByName(_tested(_possible(rest), texts)).distinct()
+    side = lambda i: open_lists.select(
+        "key", F.col("rep").alias(i), F.col("n").alias(f"n{i}"), F.col("left").alias(f"left_{i}"), F.col("component").alias(f"c{i}")
+    )
+    rest = _pairs(side("x").join(side("y"), "key").where((F.col("cx") < F.col("cy")) & _may_start()))
+    return found.unionByName(_tested(rest, texts)).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
