@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from wattshed.llm.bpe import op6_bpe_prefixes
 from wattshed.llm.chat import op2_prefix_targets
+from wattshed.llm.hamming import OP4_SQL, op4_multi_index_hashing
 from wattshed.llm.jaccard import op5_jaccard_join
 from wattshed.llm.packing import op9_min_slack_packing
 from wattshed.llm.quality import op7_adaptive_quality
@@ -13,10 +14,13 @@ from wattshed.llm.substrings import op1_substring_dedup
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_prefix_targets": op2_prefix_targets,
+    "op4_multi_index_hashing": op4_multi_index_hashing,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_bpe_prefixes": op6_bpe_prefixes,
     "op7_adaptive_quality": op7_adaptive_quality,
     "op9_min_slack_packing": op9_min_slack_packing,
     "op10_owned_secrets": op10_owned_secrets,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_multi_index_hashing": OP4_SQL,
+}
