@@ -7,6 +7,7 @@ from wattshed.llm.chat import op2_prefix_targets
 from wattshed.llm.hamming import OP4_SQL, op4_multi_index_hashing
 from wattshed.llm.jaccard import op5_jaccard_join
 from wattshed.llm.packing import op9_min_slack_packing
+from wattshed.llm.pages import op8_recurrent_html
 from wattshed.llm.quality import op7_adaptive_quality
 from wattshed.llm.secrets import op10_owned_secrets
 from wattshed.llm.substrings import op1_substring_dedup
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_bpe_prefixes": op6_bpe_prefixes,
     "op7_adaptive_quality": op7_adaptive_quality,
+    "op8_recurrent_html": op8_recurrent_html,
     "op9_min_slack_packing": op9_min_slack_packing,
     "op10_owned_secrets": op10_owned_secrets,
 }

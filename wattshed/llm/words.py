@@ -119,8 +119,9 @@ def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.n
         lo = hi
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    inside = ~SPACE[data]
+def words_of(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> Words:
+    """The words of a chunk; between flags the bytes that part them."""
+    inside = ~between[data]
     begins, ends = inside.copy(), inside.copy()
     if len(data):
         begins[1:] &= ~inside[:-1]
