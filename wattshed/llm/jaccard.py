@@ -15,7 +15,8 @@ each list links its texts to its least one; then, in long lists that still hold
 several components, to neighbours in a few random orders; what is left, pairs
 from different components that share a list, is enumerated whole. A link between
 two texts of one component changes nothing and need not be tested. Every pair
-tested is counted exactly from the two texts.
+tested is counted exactly from the two texts, after sketches of the sets have ruled
+out those that differ by too much.
 
 Exact copies (equal sets) are classes, of which one text stands for all.
 """
@@ -50,6 +51,8 @@ LIST_COST = 8
 LARGEST_SMALL = 16
 #: Buckets of doc_ids by which texts that no pair needs are left out; bounds a broadcast.
 BUCKETS = 1 << 18
+#: Numbers of 64 bits in the sketch of a set.
+SKETCH = 8
 #: Random orders in which long lists are linked, and what is long.
 ORDERS, LONG = 8, 16
 
@@ -127,6 +130,18 @@ def _digests(owner: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray,
     return out[0], out[1]
 
 
+def _sketches(owner: np.ndarray, hashes: np.ndarray, n: int) -> pa.Array:
+    """For each set, whether an odd number of its members falls to each of 64 * SKETCH bits.
+
+    Two sets differ by at least as many members as bits of their sketches differ.
+    """
+    width = 64 * SKETCH
+    bit = (mix(hashes) % np.uint64(width)).astype(np.int64)
+    odd = (np.bincount(owner * width + bit, minlength=n * width) & 1).astype(np.uint8)
+    flat = np.packbits(odd.reshape(-1, width), axis=1).view(np.int64).reshape(-1)
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * SKETCH), pa.array(flat))
+
+
 def _firsts(d1: np.ndarray, d2: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Flags of the least document of each class of equal sets; empty sets are none."""
     order = np.lexsort((ids, d2, d1))
@@ -158,8 +173,9 @@ def _facts(batches):
                     pa.array(np.concatenate([d1.view(np.int64), np.zeros(more, np.int64)])),
                     pa.array(np.concatenate([d2.view(np.int64), np.zeros(more, np.int64)])),
                     pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(found.view(np.int64))]),
+                    pa.concat_arrays([_sketches(owner, hashes, n), pa.nulls(more, pa.list_(pa.int64()))]),
                 ],
-                ["doc_id", "n", "d1", "d2", "shingle"],
+                ["doc_id", "n", "d1", "d2", "shingle", "sketch"],
             )
 
 
@@ -189,7 +205,7 @@ def _postings(heavy: np.ndarray, small: int):
     def each(batches):
         for batch in batches:
             all_ids = batch.column("doc_id").to_numpy()
-            for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK):
+            for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK // 2):
                 ids = all_ids[lo:hi]
                 owner, hashes, size = shingle_sets(data, offsets)
                 first = _firsts(*_digests(owner, hashes, hi - lo), ids, size)
@@ -257,13 +273,29 @@ def _linked(batches):
             yield pa.RecordBatch.from_arrays([part.column("a").filter(good), part.column("b").filter(good)], ["a", "b"])
 
 
-def _tested(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _near_enough(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches don't rule out that they are linked."""
+
+    def side(i: str) -> DataFrame:
+        return sketches.select(F.col("doc_id").alias(i), F.col("n").alias(f"n{i}"), F.col("sketch").alias(f"s{i}"))
+
+    met = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    differ = sum(
+        (F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH)), F.lit(0)
+    )
+    near = SHARE * F.greatest("na", "nb") <= OUT_OF * F.least("na", "nb")
+    may = differ <= F.col("na") + F.col("nb") - 2 * needed_column(F.col("na"), F.col("nb"))
+    return met.where(near & may).select("a", "b").distinct()
+
+
+def _tested(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
     """The pairs (a, b) of documents that are linked, by their whole texts.
 
-    Texts whose doc_id falls into none of the buckets that the pairs touch stay
-    out of the shuffle: the table of buckets has BUCKETS rows at most.
+    Only pairs that their sketches leave open are tested. Texts whose doc_id falls
+    into none of the buckets that the pairs touch stay out of the shuffle: the
+    table of buckets has BUCKETS rows at most.
     """
-    pairs = staged(pairs.select("a", "b"), "pairs")
+    pairs = staged(_near_enough(pairs, sketches), "pairs")
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
     touched = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(bucket("id").alias("touched")).distinct()
     texts = texts.join(F.broadcast(touched), bucket("doc_id") == touched["touched"], "left_semi")
@@ -298,13 +330,16 @@ def _may_start() -> Column:
     return needed_column(F.col("nx"), F.col("ny")) <= F.least("left_x", "left_y")
 
 
-def document_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, rep) of each text, and (shingle, n) of those that several texts of a block hold."""
-    facts = staged(docs.mapInArrow(_facts, "doc_id bigint, n bigint, d1 bigint, d2 bigint, shingle bigint"), "facts")
+def document_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, n, rep) of each text, (shingle, n) of those that several texts of a block hold,
+    and (doc_id, n, sketch) of each text that has shingles."""
+    kinds = "doc_id bigint, n bigint, d1 bigint, d2 bigint, shingle bigint, sketch array<bigint>"
+    facts = staged(docs.mapInArrow(_facts, kinds), "facts")
     texts = facts.where("shingle is null").drop("shingle")
+    sketches = texts.where("n > 0 and doc_id is not null").select("doc_id", "n", "sketch")
     reps = texts.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
     classes = texts.join(reps, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
-    return classes, facts.where("shingle is not null").select("shingle", "n")
+    return classes, facts.where("shingle is not null").select("shingle", "n"), sketches
 
 
 def _heavy(shingles: DataFrame, texts: int) -> np.ndarray:
@@ -315,7 +350,7 @@ def _heavy(shingles: DataFrame, texts: int) -> np.ndarray:
     return np.sort(rows.view(np.uint64))
 
 
-def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame) -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame, sketches: DataFrame) -> DataFrame:
     """(a, b): links between class representatives that join all linked texts together."""
     size = classes.where("n > 0")
     counted = {r["n"]: r["count"] for r in size.where(f"n <= {LARGEST_SMALL * 2}").groupBy("n").count().collect()}
@@ -371,7 +406,7 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame) -> DataFrame
         .where("ra <> rb")
         .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
     )
-    found = staged(_tested(starred.unionByName(met).distinct(), texts), "links")
+    found = staged(_tested(starred.unionByName(met).distinct(), texts, sketches), "links")
 
     # Step 2: long lists of several components, in random orders.
     def holders(edges: DataFrame) -> DataFrame:
@@ -399,7 +434,7 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame) -> DataFrame
         F.lead("rep").over(line).alias("y"), F.lead("n").over(line).alias("ny"), F.lead("left").over(line).alias("left_y"),
         F.lead("component").over(line).alias("other"),
     ).where((F.col("component") != F.col("other")) & _may_start())
-    chained = _tested(_pairs(beside), texts)
+    chained = _tested(_pairs(beside), texts, sketches)
     found = staged(found.unionByName(chained).distinct(), "links")
 
     # Step 3: all pairs of different components that share a list.
@@ -410,7 +445,7 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame) -> DataFrame
         "key", F.col("rep").alias(i), F.col("n").alias(f"n{i}"), F.col("left").alias(f"left_{i}"), F.col("component").alias(f"c{i}")
     )
     rest = _pairs(side("x").join(side("y"), "key").where((F.col("cx") < F.col("cy")) & _may_start()))
-    return found.unionByName(_tested(rest, texts)).distinct()
+    return found.unionByName(_tested(rest, texts, sketches)).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -422,12 +457,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     no component.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    classes, shingles = document_classes(docs)
+    classes, shingles, sketches = document_classes(docs)
     classes = staged(classes, "classes")
     held = classes.where("doc_id is not null and n > 0")
     twice = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
     same = held.join(twice.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a <> b")
-    joined = components(links(docs, classes, shingles).unionByName(same))
+    joined = components(links(docs, classes, shingles, sketches).unionByName(same))
     return classes.join(joined, F.col("rep") == F.col("vertex"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")
     )
