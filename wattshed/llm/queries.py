@@ -11,10 +11,12 @@ from wattshed.llm.pages import op8_recurrent_html
 from wattshed.llm.quality import op7_adaptive_quality
 from wattshed.llm.secrets import op10_owned_secrets
 from wattshed.llm.substrings import op1_substring_dedup
+from wattshed.llm.toxicity import op3_weak_supervision
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_prefix_targets": op2_prefix_targets,
+    "op3_weak_supervision": op3_weak_supervision,
     "op4_multi_index_hashing": op4_multi_index_hashing,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_bpe_prefixes": op6_bpe_prefixes,
