@@ -1,6 +1,8 @@
 """The documents of a corpus, from raw rows to packed training sequences.
 
-STAGES run in order; each reads what the one before wrote.
+STAGES run in order; each reads what the one before wrote. All but the last
+return the columns of documents. Rows with NULLs, empty texts, repeated rows and
+tables without rows pass as the operators say; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -8,16 +10,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wattshed.llm.common import staged, table
+from wattshed.llm.jaccard import keep_one
+from wattshed.llm.packing import packed
 from wattshed.llm.quality import keep_good
+from wattshed.llm.secrets import redact
+from wattshed.llm.substrings import cut_repeats
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
     return keep_good(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return keep_one(docs)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document holds."""
+    return cut_repeats(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with credentials masked."""
+    return redact(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids, packed into sequences."""
+    return packed(docs)
+
+
 STAGES = [
     ("quality_rules", quality),
+    ("jaccard_join", near_copies),
+    ("substring_dedup", passages),
+    ("secret_scans", secrets),
+    ("packing", sequences),
 ]
+#: SQL can't express the packing; tests/llm compares each stage with a plain version.
 ORACLE_SQL = None
 
 

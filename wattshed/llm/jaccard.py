@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattshed.llm.common import staged, table
+from wattshed.llm.common import free_name, staged, table
 from wattshed.llm.components import components
 from wattshed.llm.features import keyed
 from wattshed.llm.words import CHUNK, WORDS, chunks, mix, words_of
@@ -473,11 +473,13 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     Of rows that share a doc_id one stays; rows without doc_id all stay.
     """
-    gone = near_duplicates(docs, doc_id, text).where("component_id < doc_id").select(F.col("doc_id").alias("gone_")).distinct()
-    left = docs.join(gone, docs[doc_id] == gone["gone_"], "left_anti")
-    turn = Window.partitionBy(doc_id).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-    numbered = left.where(F.col(doc_id).isNotNull()).withColumn("turn_", F.row_number().over(turn))
-    return numbered.where("turn_ = 1").drop("turn_").unionByName(left.where(F.col(doc_id).isNull()))
+    gone_id, turn = free_name(docs, "gone"), free_name(docs, "turn")
+    gone = near_duplicates(docs, doc_id, text).where("component_id < doc_id")
+    gone = gone.select(F.col("doc_id").alias(gone_id)).distinct()
+    left = docs.join(gone, docs[doc_id] == gone[gone_id], "left_anti")
+    order = Window.partitionBy(doc_id).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
+    numbered = left.where(F.col(doc_id).isNotNull()).withColumn(turn, F.row_number().over(order))
+    return numbered.where(F.col(turn) == 1).drop(turn).unionByName(left.where(F.col(doc_id).isNull()))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
