@@ -51,8 +51,8 @@ LIST_COST = 8
 LARGEST_SMALL = 16
 #: Buckets of doc_ids by which texts that no pair needs are left out; bounds a broadcast.
 BUCKETS = 1 << 18
-#: Numbers of 64 bits in the sketch of a set.
-SKETCH = 8
+#: Least bits of the sketch of a set; larger sets have a power of two, twice their size or more.
+SKETCH = 512
 #: Random orders in which long lists are linked, and what is long.
 ORDERS, LONG = 8, 16
 
@@ -130,16 +130,17 @@ def _digests(owner: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray,
     return out[0], out[1]
 
 
-def _sketches(owner: np.ndarray, hashes: np.ndarray, n: int) -> pa.Array:
-    """For each set, whether an odd number of its members falls to each of 64 * SKETCH bits.
+def _sketches(owner: np.ndarray, hashes: np.ndarray, size: np.ndarray) -> pa.Array:
+    """For each set, whether an odd number of its members falls to each bit of its sketch.
 
     Two sets differ by at least as many members as bits of their sketches differ.
+    A sketch is folded to half its width by xor of its halves.
     """
-    width = 64 * SKETCH
-    bit = (mix(hashes) % np.uint64(width)).astype(np.int64)
-    odd = (np.bincount(owner * width + bit, minlength=n * width) & 1).astype(np.uint8)
-    flat = np.packbits(odd.reshape(-1, width), axis=1).view(np.int64).reshape(-1)
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * SKETCH), pa.array(flat))
+    width = np.maximum(SKETCH, 1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64))
+    edges = np.concatenate([[0], np.cumsum(width)])
+    bit = (mix(hashes) & (width[owner] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(edges[owner] + bit, minlength=int(edges[-1])) & 1).astype(np.uint8)
+    return pa.ListArray.from_arrays(pa.array((edges // 64).astype(np.int32)), pa.array(np.packbits(odd).view(np.int64)))
 
 
 def _firsts(d1: np.ndarray, d2: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -173,7 +174,7 @@ def _facts(batches):
                     pa.array(np.concatenate([d1.view(np.int64), np.zeros(more, np.int64)])),
                     pa.array(np.concatenate([d2.view(np.int64), np.zeros(more, np.int64)])),
                     pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(found.view(np.int64))]),
-                    pa.concat_arrays([_sketches(owner, hashes, n), pa.nulls(more, pa.list_(pa.int64()))]),
+                    pa.concat_arrays([_sketches(owner, hashes, size), pa.nulls(more, pa.list_(pa.int64()))]),
                 ],
                 ["doc_id", "n", "d1", "d2", "shingle", "sketch"],
             )
@@ -279,13 +280,19 @@ def _near_enough(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     def side(i: str) -> DataFrame:
         return sketches.select(F.col("doc_id").alias(i), F.col("n").alias(f"n{i}"), F.col("sketch").alias(f"s{i}"))
 
-    met = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    differ = sum(
-        (F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH)), F.lit(0)
-    )
     near = SHARE * F.greatest("na", "nb") <= OUT_OF * F.least("na", "nb")
+    met = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(near)
+
+    def folded(mine: str, other: str) -> Column:
+        """Sets of sizes so near differ by one doubling of width at most."""
+        half = (F.size(mine) / 2).cast("int")
+        halves = F.zip_with(F.slice(mine, 1, half), F.slice(mine, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(mine) > F.size(other), halves).otherwise(F.col(mine))
+
+    bits = F.zip_with(folded("sa", "sb"), folded("sb", "sa"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
     may = differ <= F.col("na") + F.col("nb") - 2 * needed_column(F.col("na"), F.col("nb"))
-    return met.where(near & may).select("a", "b").distinct()
+    return met.where(may).select("a", "b").distinct()
 
 
 def _tested(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
