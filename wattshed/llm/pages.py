@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattshed.llm.common import free_name, table, with_struct
+from wattshed.llm.common import first_by_hash, free_name, table, with_struct
 from wattshed.llm.lstm import BiLstm
 from wattshed.llm.words import mix, words_of
 
@@ -318,9 +318,8 @@ def extracted(pages: DataFrame, html: str = "html", train_pages: int = TRAIN_PAG
     is trained on the train_pages pages that come first by hash. Columns of pages
     keep their names: the struct takes one that is free.
     """
-    first = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("html"))
-    first = first.orderBy(F.xxhash64("html"), "html").limit(train_pages)
-    net = train([r["html"] for r in first.collect()])
+    own = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("html"))
+    net = train([r["html"] for r in first_by_hash(own, train_pages, "html").collect()])
 
     def make(batch: pa.RecordBatch) -> pa.Array:
         texts: list[str] = []

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattshed.llm.common import free_name, table, with_struct
+from wattshed.llm.common import first_by_hash, free_name, table, with_struct
 from wattshed.llm.features import UPPER, per_text
 from wattshed.llm.words import FOLD, chunks, mix, span_hashes, windows, words_of
 
@@ -32,6 +32,8 @@ SLOT_BITS = 20
 PREFIXES = (4, 5, 6)
 #: Lexicons of different terms, and texts that a term must be found in.
 LEXICONS, LEAST_TEXTS = 24, 4
+#: Correlation of voters that is taken for chance.
+NOISE = 0.05
 #: Score from which a text is predicted toxic.
 TOXIC_FROM = 0.7
 
@@ -86,26 +88,26 @@ class LabelModel:
 def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> LabelModel:
     """By expectation maximisation, from a first guess of each label's probability.
 
-    Within a class voters have rates and one common covariance, shrunk towards
-    its diagonal; so the posterior is linear in the votes, and its weights are
-    the solution for all voters together: correlated ones share theirs.
+    A voter's log odds count for less the more it goes along with others within a
+    class: of several that always fire together, all together count as one.
     """
     votes = votes.astype(np.float64)
     n, m = votes.shape
     p = start.astype(np.float64)
     model = None
     for _ in range(rounds):
-        mass = np.array([(1 - p).sum(), p.sum()]) + 1e-6
-        rates = np.stack([(1 - p) @ votes, p @ votes]) / mass[:, None]
-        rates = (rates * mass[:, None] + 0.5) / (mass[:, None] + 1)
+        mass = np.array([(1 - p).sum(), p.sum()])
+        rates = (np.stack([(1 - p) @ votes, p @ votes]) + 0.5) / (mass[:, None] + 1)
         rest0, rest1 = votes - rates[0], votes - rates[1]
         cov = ((rest0 * (1 - p)[:, None]).T @ rest0 + (rest1 * p[:, None]).T @ rest1) / n
-        spread = np.sqrt(np.diag(cov) + 1e-6)
-        cov = 0.7 * cov + 0.3 * np.diag(np.diag(cov)) + 0.01 * np.eye(m)
-        prior = float(np.clip(mass[1] / n, 0.01, 0.99))
-        weights = np.linalg.solve(cov, rates[1] - rates[0])
-        bias = -0.5 * float((rates[1] + rates[0]) @ weights) + float(np.log(prior / (1 - prior)))
-        model = LabelModel(prior, weights, bias, rates, cov / np.outer(spread, spread))
+        spread = np.sqrt(np.diag(cov) + 1e-9)
+        together = cov / np.outer(spread, spread)
+        share = 1 / (1 + np.clip(together - np.eye(m) - NOISE, 0, None).sum(axis=1))
+        prior = float(np.clip(mass[1] / n, 0.001, 0.999))
+        absent = np.log((1 - rates[1]) / (1 - rates[0]))
+        weights = share * (np.log(rates[1] / rates[0]) - absent)
+        bias = float((share * absent).sum()) + float(np.log(prior / (1 - prior)))
+        model = LabelModel(prior, weights, bias, rates, together)
         p = model.posterior(votes)
     return model
 
@@ -253,7 +255,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     the hash of doc_id are taken, and joined as a broadcast of at most sample rows.
     """
     taken = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    taken = taken.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    taken = first_by_hash(taken, sample, "doc_id")
     met = docs.join(F.broadcast(taken), "doc_id").where("text is not null").select("doc_id", "text", "label")
     got = met.mapInArrow(_sampled, "doc_id bigint, label int, slots array<int>, flags array<boolean>, keys array<bigint>")
     got = got.toArrow()
