@@ -42,6 +42,8 @@ def test_rounding_ties(spark, x, away, even):
 def test_lenient_cast(spark):
     assert one(spark, numbers.lenient_cast("x"), "[c]") is None
     assert one(spark, numbers.lenient_cast("x"), "7.25") == 7.25
+    assert one(spark, numbers.lenient_cast("x"), "1d") is None
+    assert one(spark, numbers.lenient_cast("x"), "-1e3") == -1000.0
 
 
 def test_percent_change_bases(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,6 @@ from wattshed.operators import ordered as od
 from wattshed.operators import ranking as rk
 from wattshed.operators import reshape as rs
 from wattshed.operators import unions as un
-from wattshed.operators.sizes import at_most
 
 
 def plan_of(df) -> str:
@@ -103,7 +103,27 @@ def test_weighted_mean(spark):
 def test_totals_row_and_profile(spark, rows):
     df = spark.createDataFrame([("a", 1, None), ("b", 2, "t")], "k string, n int, s string")
     assert rows(ag.with_totals_row(df, "k")) == [("Total", 3, None), ("a", 1, None), ("b", 2, "t")]
-    assert rows(ag.profile(df)) == [("k", 2, 0), ("n", 2, 0), ("s", 2, 1)]
+    assert rows(ag.profile(df)) == [
+        ("k", 2, 0, False), ("n", 2, 0, False), ("s", 2, 1, False),
+    ]
+    assert ag.profile(df.select(F.lit(None).cast("int").alias("x"))).first()["all_missing"]
+
+
+def test_totals_neither_overflow_nor_vanish(spark, rows):
+    df = spark.createDataFrame([("a", 2_000_000_000), ("b", 2_000_000_000)], "k string, n int")
+    df = df.withColumn("d", F.lit("1.25").cast("decimal(5,2)"))
+    assert [r[1:] for r in rows(ag.with_totals_row(df, "k")) if r[0] == "Total"] == [(4_000_000_000, Decimal("2.50"))]
+
+
+def test_tail_and_bottom_differ_on_missing_keys(spark, rows):
+    df = spark.createDataFrame([(1,), (None,), (2,)], "x int")
+    assert rows(rk.tail(df, 2, "x")) == [(1,), (None,)]
+    assert rows(rk.bottom(df, 2, "x")) == [(1,), (2,)]
+
+
+def test_headers_that_clean_to_one_name_are_numbered(spark):
+    df = spark.createDataFrame([(1, 2, 3)], ["Total (MW)", "Total MW", "total: mw"])
+    assert co.normalise_columns(df).columns == ["total_mw", "total_mw_1", "total_mw_2"]
 
 
 def test_only_one(spark):
@@ -168,8 +188,8 @@ def test_repeatable_sample_ignores_partitioning(spark, rows):
     assert picked != rows(rk.repeatable_sample(a, 10, "id", seed=4))
 
 
-@pytest.mark.parametrize("buckets", [1, 2, 16])
-def test_global_order_matches_plain_python(spark, buckets):
+@pytest.mark.parametrize("parts", [1, 2, 16])
+def test_global_order_matches_plain_python(spark, parts):
     rng = random.Random(5)
     # A third of the keys share a long prefix, and keys come in no order.
     keys = [f"boiler and radiators {i:05d}" for i in range(400)]
@@ -178,24 +198,26 @@ def test_global_order_matches_plain_python(spark, buckets):
     values = {k: rng.randrange(100) for k in keys}
     df = spark.createDataFrame(list(values.items()), "k string, v int").repartition(5)
     ordered = sorted(values)
-    ids = dict(od.row_ids(df, ["k"], buckets=buckets).select("k", "id").collect())
+    ids = dict(od.row_ids(df, ["k"], parts=parts).select("k", "id").collect())
     assert ids == {k: i for i, k in enumerate(ordered, 1)}
     running, expected = 0, {}
     for k in ordered:
         running += values[k]
         expected[k] = running
-    got = dict(od.running_total(df, ["k"], "v", buckets=buckets).select("k", "running").collect())
+    got = dict(od.running_total(df, ["k"], "v", parts=parts).select("k", "running").collect())
     assert got == expected
-    before = dict(od.previous_value(df, ["k"], "v", buckets=buckets).select("k", "previous").collect())
+    before = dict(od.previous_value(df, ["k"], "v", parts=parts).select("k", "previous").collect())
     assert before == {k: values[p] if p else None for p, k in zip([None, *ordered], ordered)}
-    sizes = od.batches(df, ["k"], 100, buckets=buckets).groupBy("batch").count().collect()
+    sizes = od.batches(df, ["k"], 100, parts=parts).groupBy("batch").count().collect()
     assert {r["batch"]: r["count"] for r in sizes} == {i: 100 for i in range(12)}
 
 
 def test_global_order_never_uses_one_task(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("k"))
-    plan = plan_of(od.row_ids(df, ["k"], buckets=8))
-    assert "row_number() windowspecdefinition(_bucket" in plan
+    sizes = [r["count"] for r in od.ranged(df, ["k"], 8).groupBy("_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 400
+    plan = plan_of(od.row_ids(df, ["k"], parts=8))
+    assert plan.count("SinglePartition") == 1  # one row for each part meets there
 
 
 def test_order_of_nothing(spark):
@@ -225,13 +247,11 @@ def test_points_in_polygons(spark, rows, cell):
     assert rows(found, "id", "name") == [(1, "holed"), (10, "holed"), (3, "bent")]
 
 
-def test_points_in_polygons_without_broadcast(spark, rows, monkeypatch):
+def test_points_in_polygons_match_plain_python(spark, rows):
     shapes = spark.createDataFrame(SHAPES, RINGS)
     rng = random.Random(2)
     crowd = [(i, rng.uniform(-2, 32), rng.uniform(-2, 12)) for i in range(2000)]
     points = spark.createDataFrame(crowd, "id int, x double, y double")
-    small = rows(jn.points_in_polygons(points, "x", "y", shapes, "name", "rings", 2.0), "id", "name")
-    monkeypatch.setattr(jn, "MAX_EDGES", 0)
     large = rows(jn.points_in_polygons(points, "x", "y", shapes, "name", "rings", 2.0), "id", "name")
 
     def inside(x, y):
@@ -242,7 +262,7 @@ def test_points_in_polygons_without_broadcast(spark, rows, monkeypatch):
         return None
 
     expected = sorted(((i, n) for i, x, y in crowd if (n := inside(x, y))), key=str)
-    assert small == large == expected
+    assert large == expected
 
 
 def test_lookup_misses(spark, rows):
@@ -258,7 +278,3 @@ def test_missing_from_with_a_hot_key(spark, rows):
         F.when(F.col("id") < 2000, 3).otherwise(F.col("id") % 9).cast("bigint").alias("k")
     )
     assert rows(jn.missing_from(expected, received, ["k"])) == [(9,)]
-
-
-def test_at_most(spark):
-    assert at_most(spark.range(10), 10) and not at_most(spark.range(11), 10)

@@ -196,3 +196,27 @@ def test_registry(spark):
 def test_scratch_folder_needs_a_shared_folder(spark):
     assert scratch_folder(spark, "a").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_folder(spark, "a") != scratch_folder(spark, "a")
+
+
+QUOTED = 'id,name,v\n1,"say ""hi"", ok",2.5\n2,"two\nlines",3.5\n3,plain,bad\n'
+
+
+def test_quotes_commas_and_line_breaks_in_cells(spark, tmp_path, rows):
+    (tmp_path / "q.csv").write_text(QUOTED)
+    path, schema = str(tmp_path / "q.csv"), "id int, name string, v double"
+    good = [(1, 'say "hi", ok', 2.5), (2, "two\nlines", 3.5)]
+    assert rows(de.read_csv_dropping(spark, path, schema)) == good
+    assert rows(de.read_csv_lenient(spark, path, schema), "id", "name", "v") == [*good, (3, "plain", None)]
+    assert rows(de.read_csv_text(spark, path), "name") == [("plain",), ('say "hi", ok',), ("two\nlines",)]
+
+
+def test_written_csv_reads_back(spark, tmp_path, rows):
+    df = spark.createDataFrame([(1, 'a "b", c\nd'), (2, None)], "id int, name string")
+    sk.write_csv(df, str(tmp_path / "out"))
+    assert '""b""' in "".join(p.read_text() for p in (tmp_path / "out").glob("*.csv"))
+    assert rows(de.read_csv(spark, str(tmp_path / "out"), "id int, name string")) == rows(df)
+
+
+def test_range_without_last_row():
+    assert sh.a1_bounds("B7:C") == (7, None, 2, 3)
+    assert sh.a1_bounds("A5:X374") == (5, 374, 1, 24)

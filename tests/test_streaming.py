@@ -36,7 +36,7 @@ def test_resume_and_dedupe(spark, rows):
     a = record("T_1", "2024-01-01", 1, "2024-01-01T00:30:00", 1.5)
     b = record("T_1", "2024-01-01", 2, "2024-01-01T01:00:00", -2.0)
     land(spark, folder, a)
-    stream = hh.without_retries(hh.read_landing(spark, folder))
+    stream = hh.without_retries(hh.read_landing(spark, folder), "2 days")
     drain(stream, out, mark)
     assert spark.read.parquet(out).count() == 1
     land(spark, folder, a, b)
@@ -51,7 +51,7 @@ def test_daily_totals_wait_for_the_watermark(spark, rows):
     folder, out, mark = (scratch_folder(spark, p) for p in ("l", "o", "m"))
     first = record("T_1", "2024-01-01", 1, "2024-01-01T00:30:00", 1.0)
     land(spark, folder, first)
-    daily = hh.stream_daily_totals(hh.without_retries(hh.read_landing(spark, folder)))
+    daily = hh.stream_daily_totals(hh.without_retries(hh.read_landing(spark, folder), "2 days"))
     drain(daily, out, mark)
     # Late, but within the watermark; and one record a retry sends again.
     land(spark, folder, first, record("T_1", "2024-01-01", 3, "2024-01-01T01:30:00", 2.0),
@@ -103,3 +103,16 @@ def test_station_answers(spark, rows, readings):
     renewable = spark.createDataFrame([(0.016,)], "gen_gwh double")
     assert ge.percent_renewable(renewable, ge.station_year(station)).first()[0] == 25.0
     assert ge.station_daily(station).agg(F.sum("generation_mwh")).first()[0] == 48.0
+
+
+def test_a_reading_ten_days_late_is_counted(spark, rows):
+    folder, out, mark = (scratch_folder(spark, p) for p in ("l", "o", "m"))
+    early = record("T_1", "2024-01-01", 1, "2024-01-01T00:30:00", 1.0)
+    land(spark, folder, early, record("T_1", "2024-01-11", 1, "2024-01-11T00:30:00", 4.0))
+    hh.land_late(hh.read_landing(spark, folder), out, mark).awaitTermination()
+    late = record("T_1", "2024-01-01", 2, "2024-01-01T01:00:00", 2.0)
+    land(spark, folder, early, late)
+    hh.land_late(hh.read_landing(spark, folder), out, mark).awaitTermination()
+    day, far = dt.date(2024, 1, 1), dt.date(2024, 1, 11)
+    assert rows(hh.landed_daily_totals(spark, out), "day", "generation_mwh") == [(day, 3.0), (far, 4.0)]
+    assert rows(hh.landed_daily_totals(spark, out, ["2024-01-01"]), "day", "generation_mwh") == [(day, 3.0)]

@@ -52,11 +52,11 @@ def _(t):
     "connections_at_substations", "P20", "JN-02", "SC-32",
     sql="""SELECT o_orderkey, c_name AS substation_name, c_acctbal AS x,
                   CAST(c_nationkey AS DOUBLE) AS y
-           FROM orders JOIN customer ON 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
+           FROM orders JOIN customer ON 'Customer#' || printf('%09d', o_custkey)
                 = c_name""",
 )
 def _(t):
-    site = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    site = F.concat(F.lit("Customer#"), F.format_string("%09d", F.col("o_custkey")))
     register = t.orders.select("o_orderkey", site.alias("connection_site"))
     substations = t.customer.select(
         F.col("c_name").alias("substation_name"),

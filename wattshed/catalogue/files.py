@@ -132,8 +132,7 @@ def _(t):
          GROUP BY 1""",
 )
 def _(t):
-    # Columns B and C of every data row: an A1 range bounds columns; its last row is far away.
-    part = sh.slice_range(t.inputs.energy_cells, "B7:C2000000000")
+    part = sh.slice_range(t.inputs.energy_cells, "B7:C")
     return part.groupBy("sheet").agg(F.count(F.lit(1)).alias("n"))
 
 

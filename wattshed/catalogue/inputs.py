@@ -307,7 +307,7 @@ class Inputs:
         code = F.concat(
             F.substring("ladcd", 1, 1),
             F.lit("01"),
-            F.lpad(F.col("c_custkey").cast("string"), 6, "0"),
+            F.format_string("%06d", F.col("c_custkey")),
         )
         return self.customers.select(
             code.alias("LSOA11CD"),
@@ -436,7 +436,7 @@ CTES = {
                c_acctbal * 4 + 150000 AS ycoordinate, o_orderkey, yr
         FROM order_sites""",
     "vehicles": """
-        SELECT substr(ladcd, 1, 1) || '01' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS lsoa11cd,
+        SELECT substr(ladcd, 1, 1) || '01' || printf('%06d', c_custkey) AS lsoa11cd,
                c_name AS lsoa11nm,
                CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Battery electric'
                     WHEN 'BUILDING' THEN 'Plug-in hybrid electric (petrol)'

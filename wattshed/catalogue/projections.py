@@ -65,7 +65,7 @@ def _noted(t):
     sql="SELECT p_type AS anaerobic_digestion, p_brand AS landfill FROM part",
 )
 def _(t):
-    return co.select_renamed(_noted(t), co.NOTE_SUFFIX)
+    return co.select_renamed(_noted(t), "^([a-z_]+?)_note_.*$")
 
 
 @query(

@@ -215,10 +215,12 @@ def _(t):
 @query(
     "profile_columns", "AG-16",
     sql=f"""SELECT 'l_returnflag' AS "column", count(*) AS row_count,
-                   count(*) FILTER (WHERE l_returnflag IS NULL) AS nulls FROM ({_GAPS})
+                   count(*) FILTER (WHERE l_returnflag IS NULL) AS nulls,
+                   count(l_returnflag) = 0 AS all_missing FROM ({_GAPS})
             UNION ALL SELECT 'l_linestatus', count(*),
-                   count(*) FILTER (WHERE l_linestatus IS NULL) FROM ({_GAPS})
-            UNION ALL SELECT 'qty', count(*), count(*) FILTER (WHERE qty IS NULL) FROM ({_GAPS})""",
+                   count(*) FILTER (WHERE l_linestatus IS NULL), count(l_linestatus) = 0 FROM ({_GAPS})
+            UNION ALL SELECT 'qty', count(*), count(*) FILTER (WHERE qty IS NULL),
+                   count(qty) = 0 FROM ({_GAPS})""",
 )
 def _(t):
     return ag.profile(_gaps(t))

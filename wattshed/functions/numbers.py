@@ -30,8 +30,9 @@ def marker_cast(c: ColumnLike, to: str = "double") -> Column:
 
 
 def lenient_cast(c: ColumnLike, to: str = "double") -> Column:
-    """Anything that is not a number becomes NULL."""
-    return col(c).try_cast(to)
+    """Anything that is not a number becomes NULL, also a number with a type letter such as ``1d``."""
+    lettered = col(c).cast("string").rlike("(?i)[0-9.][dfl]\\s*$")
+    return F.when(~lettered, col(c).try_cast(to))
 
 
 def round_half_even(c: ColumnLike, digits: int = 0) -> Column:

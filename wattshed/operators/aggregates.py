@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import ColumnLike, col
 
@@ -65,20 +66,22 @@ def weighted_mean(
 
 
 def with_totals_row(df: DataFrame, label: str, text: str = "Total") -> DataFrame:
-    """Append one row of sums of the numeric columns; other columns hold ``text`` or NULL."""
-    numeric = [f.name for f in df.schema.fields if f.dataType.typeName() in _NUMERIC]
+    """Append one row of sums of the numeric columns; other columns hold ``text`` or NULL.
+
+    A summed column takes the type of its sum in every row, so that no total
+    overflows the type of its parts.
+    """
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     row = df.agg(
         *[
-            F.sum(c).cast(df.schema[c].dataType).alias(c)
+            F.sum(c).alias(c)
             if c in numeric
             else F.lit(text if c == label else None).cast(df.schema[c].dataType).alias(c)
             for c in df.columns
         ]
     )
-    return df.unionByName(row)
-
-
-_NUMERIC = ("byte", "short", "integer", "long", "float", "double")
+    wide = df.select(*[F.col(c).cast(row.schema[c].dataType).alias(c) for c in df.columns])
+    return wide.unionByName(row)
 
 
 def sum_columns(df: DataFrame, by: list[str], names: list[str], nulls: str = "zero") -> DataFrame:
@@ -99,7 +102,10 @@ def profile(df: DataFrame) -> DataFrame:
         ]
     )
     return counts.select("_rows", F.inline(entries)).select(
-        "column", F.col("_rows").alias("row_count"), "nulls"
+        "column",
+        F.col("_rows").alias("row_count"),
+        "nulls",
+        (F.col("nulls") == F.col("_rows")).alias("all_missing"),
     )
 
 

@@ -4,36 +4,64 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NOTE_SUFFIX = r"^(.*?)((?:_?note_\d+)+)$"
 
-
-def plain_name(name: str) -> str:
-    """Lower case, punctuation dropped, white space to ``_``, a leading digit prefixed."""
-    kept = re.sub(r"[^\w\s]", "", name.lower()).strip()
-    joined = re.sub(r"\s+", "_", kept)
-    return f"_{joined}" if joined[:1].isdigit() else joined
-
-
-def cut_note_name(name: str) -> str:
-    """Punctuation dropped, white space to ``_``, cut where a note starts."""
-    return re.sub(r"_note.*$", "", re.sub(r"\s+", "_", re.sub(r"[^\w\s]", "", name.lower())))
-
-
-def keep_punctuation_name(name: str) -> str:
-    """Cut where a note starts, lower case, white space to ``_``; punctuation stays."""
-    return re.sub(r"\s+", "_", re.sub(r"_note.+", "", name).lower().strip())
-
-
-def underscore_name(name: str) -> str:
-    """Every other character to ``_``, runs collapsed, none at the end."""
-    return re.sub(r"[^0-9A-Za-z]+", "_", name).rstrip("_").lower()
-
-
-NAME_STYLES: dict[str, Callable[[str], str]] = {
+@dataclass(frozen=True)
+class NameStyle:
+    """How a header becomes a column name.
+
+    Characters that are part of a word stay; white space, or with ``split_all`` any
+    other character, parts words; what is left is dropped. Words are joined by
+    an underscore. ``edge_left`` and ``edge_right`` keep a join where the header
+    starts or ends with a parting character.
+    """
+
+    punctuation: bool = False  # part of a word
+    split_all: bool = False
+    edge_left: bool = False
+    edge_right: bool = False
+    digit_mark: bool = False  # an underscore before a leading digit
+    cut_note: str = ""  # "raw": the header, "name": the finished name, from "_note" on
+
+    def _in_word(self, ch: str) -> bool:
+        if self.split_all:
+            return ch.isascii() and ch.isalnum()
+        return ch.isalnum() or ch == "_" or (self.punctuation and not ch.isspace())
+
+    def __call__(self, header: str) -> str:
+        note = header.find("_note")
+        if self.cut_note == "raw" and 0 <= note < len(header) - len("_note"):
+            header = header[:note]
+        words, open_word, parted = [""], False, []
+        for ch in header:
+            if self._in_word(ch):
+                if not open_word and words[-1]:
+                    words.append("")
+                words[-1] += ch.lower()
+                open_word = True
+            elif self.split_all or ch.isspace():
+                open_word = False
+            parted.append(not self._in_word(ch) and (self.split_all or ch.isspace()))
+        name = "_".join(words)
+        if parted and self.edge_left and parted[0]:
+            name = f"_{name}"
+        if len(parted) > 1 and self.edge_right and parted[-1]:
+            name = f"{name}_"
+        if self.cut_note == "name":
+            name = name.partition("_note")[0]
+        return f"_{name}" if self.digit_mark and name[:1].isdigit() else name
+
+
+plain_name = NameStyle(digit_mark=True)
+cut_note_name = NameStyle(edge_left=True, edge_right=True, cut_note="name")
+keep_punctuation_name = NameStyle(punctuation=True, cut_note="raw")
+underscore_name = NameStyle(split_all=True, edge_left=True)
+
+NAME_STYLES: dict[str, NameStyle] = {
     "plain": plain_name,
     "cut_note": cut_note_name,
     "keep_punctuation": keep_punctuation_name,
@@ -41,9 +69,24 @@ NAME_STYLES: dict[str, Callable[[str], str]] = {
 }
 
 
+def numbered_repeats(names: list[str]) -> list[str]:
+    """The names, with ``_1``, ``_2``... behind those that an earlier one has taken, whatever the case."""
+    taken: set[str] = set()
+    out = []
+    for name in names:
+        own, n = name, 0
+        while own.lower() in taken:
+            n += 1
+            own = f"{name}_{n}"
+        taken.add(own.lower())
+        out.append(own)
+    return out
+
+
 def normalise_columns(df: DataFrame, style: str = "plain") -> DataFrame:
+    """Headers as names; headers that come to the same name are numbered."""
     rename = NAME_STYLES[style]
-    return df.toDF(*[rename(c) for c in df.columns])
+    return df.toDF(*numbered_repeats([rename(c) for c in df.columns]))
 
 
 def rename_removing(df: DataFrame, pattern: str) -> DataFrame:
@@ -73,13 +116,21 @@ def select_renamed(df: DataFrame, pattern: str, replacement: str = r"\1") -> Dat
     return df.select([F.col(f"`{c}`").alias(re.sub(pattern, replacement, c)) for c in hits])
 
 
-def strip_note_suffixes(df: DataFrame, pattern: str = NOTE_SUFFIX) -> DataFrame:
+def without_notes(name: str) -> str:
+    """The name less the notes at its end, each ``note_`` and digits."""
+    while True:
+        head = name.rstrip("0123456789")
+        if head == name or not head.endswith("note_"):
+            return name
+        name = head.removesuffix("note_").removesuffix("_")
+
+
+def strip_note_suffixes(df: DataFrame) -> DataFrame:
     """Noted columns under their bare names first, then every column without a note."""
-    noted = [
-        F.col(f"`{c}`").alias(re.sub(pattern, r"\1", c)) for c in df.columns if re.search(pattern, c)
-    ]
-    bare = [F.col(f"`{c}`") for c in df.columns if not re.search(r"_note.*$", c)]
-    return df.select(noted + bare)
+    noted = [c for c in df.columns if without_notes(c) != c]
+    bare = [c for c in df.columns if "_note" not in c]
+    picked = [F.col(f"`{c}`").alias(without_notes(c)) for c in noted]
+    return df.select(picked + [F.col(f"`{c}`") for c in bare])
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:

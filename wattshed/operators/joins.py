@@ -1,7 +1,7 @@
 """Lookup joins, completeness and point-in-polygon.
 
 Lookups are left to Spark: it broadcasts by measured size, and past its limit
-sorts and merges, splitting skew. Polygons are counted before a broadcast.
+sorts and merges, splitting skew.
 """
 
 from __future__ import annotations
@@ -10,9 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-MAX_EDGES = 200_000
-
-
 def lookup(
     facts: DataFrame, table: DataFrame, on: dict[str, str], unmatched: str = "drop"
 ) -> DataFrame:
@@ -89,9 +86,6 @@ def points_in_polygons(
     right, and a point on the boundary is not within.
     """
     strips = _strips(polygon_edges(polygons, polygon_id, rings), polygon_id, cell)
-    held = strips.agg(F.sum(F.size("_edges"))).first()[0] or 0
-    if held <= MAX_EDGES:
-        strips = F.broadcast(strips)
     placed = points.withColumns(
         {"_cell": F.floor(F.col(x) / cell), "_row": F.floor(F.col(y) / cell)}
     )

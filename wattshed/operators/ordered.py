@@ -1,18 +1,13 @@
 """Whole-table order without a whole-table task.
 
 Row numbers, running sums and previous values over all rows need a global order,
-which a window without partitions would do in a single task. Here the keys are
-cut into buckets at split points from a small key sample, each bucket is
-windowed on its own, and one row for each bucket carries what the next needs.
-
-The sample decides only how even the buckets are; results are exact for any
-split. It holds the keys with the least hashes, so it does not depend on the
-partitioning, and a task that runs again sees the same splits. Keys must be
-unique, as they are after a distinct or a grouping; add a tie-breaker if not.
-
-The input is read three times: for the sample, the carried rows and the result.
-A shuffle that ends the input is run once and reused; an input that costs more
-than that should be checkpointed or written first.
+which a window without partitions would do in a single task. Here Spark's range
+partitioning deals the rows to tasks in key order and each task sorts its own.
+The rows, with the number of their part and their place in it, are written once
+under the cluster's checkpoint folder: the input is read once, and a task that
+runs again sees the same parts. One row for each part then carries what the
+next ones need. Keys must be unique, as they are after a distinct or a grouping;
+add a tie-breaker if not.
 """
 
 from __future__ import annotations
@@ -21,83 +16,68 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MOST_BUCKETS = 512
-SAMPLE_PER_BUCKET = 32
+from ..session import scratch_folder
 
+_PART, _PLACE = "_part", "_place"
+#: Low bits of Spark's increasing row number, which count the rows of a part.
+_ROW_BITS = 33
 
-def bucket_count(df: DataFrame, wanted: int | None) -> int:
-    """As many buckets as the session has shuffle partitions, up to a limit.
 
-    Each row is compared with every split point, which the limit keeps cheap.
+def ranged(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
+    """df with ``_part`` and ``_place`` from 0, both in key order, written and read again.
+
+    ``parts``: how many; by default the session's number of shuffle partitions.
     """
-    if wanted:
-        return wanted
-    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
-
-
-def _splits(df: DataFrame, key: Column, buckets: int) -> Column:
-    sample = df.select(key.alias("_k")).orderBy(F.xxhash64("_k")).limit(buckets * SAMPLE_PER_BUCKET)
-    ordered = sample.agg(F.array_sort(F.collect_list("_k")).alias("_a"))
-    places = F.sequence(F.lit(1), F.lit(buckets - 1))
-    picked = F.transform(
-        places,
-        lambda i: F.get("_a", F.floor(i * F.size("_a") / buckets).cast("int")),
-    )
-    return ordered.select(picked).scalar()
-
-
-def bucketed(df: DataFrame, keys: list[str], buckets: int | None = None) -> DataFrame:
-    """Add ``_key``, the keys as one value, and ``_bucket``, in key order."""
-    buckets = bucket_count(df, buckets)
-    key = F.struct(*keys) if len(keys) > 1 else F.col(keys[0])
-    return (
-        df.withColumn("_splits", _splits(df, key, buckets))
-        .withColumn("_key", key)
-        .withColumn("_bucket", F.size(F.filter("_splits", lambda s: s <= F.col("_key"))))
-        .drop("_splits")
+    dealt = df.repartitionByRange(*([parts] if parts else []), *[F.col(k) for k in keys])
+    placed = dealt.sortWithinPartitions(*keys).withColumns(
+        {
+            _PART: F.spark_partition_id(),
+            _PLACE: F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1),
+        }
     )
+    path = scratch_folder(df.sparkSession, "ordered")
+    placed.write.parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
 
 
 def _before(rows: DataFrame, carried: Column) -> DataFrame:
-    """What each bucket takes over from those before it; one row for each bucket."""
-    summed = rows.groupBy("_bucket").agg(carried.alias("_c"))
-    earlier = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    return summed.select("_bucket", F.sum("_c").over(earlier).alias("_before"))
+    """What each part takes over from those before it; one row for each part."""
+    summed = rows.groupBy(_PART).agg(carried.alias("_c"))
+    earlier = W.orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
+    return summed.select(_PART, F.sum("_c").over(earlier).alias("_before"))
 
 
-def row_ids(df: DataFrame, keys: list[str], out: str = "id", buckets: int | None = None) -> DataFrame:
+def row_ids(df: DataFrame, keys: list[str], out: str = "id", parts: int | None = None) -> DataFrame:
     """1..n in key order."""
-    rows = bucketed(df, keys, buckets)
-    joined = rows.join(_before(rows, F.count(F.lit(1))), "_bucket")
-    place = F.row_number().over(W.partitionBy("_bucket").orderBy("_key"))
-    numbered = joined.withColumn(out, place + F.coalesce("_before", F.lit(0)))
+    rows = ranged(df, keys, parts)
+    joined = rows.join(_before(rows, F.count(F.lit(1))), _PART)
+    numbered = joined.withColumn(out, F.col(_PLACE) + F.coalesce("_before", F.lit(0)) + 1)
     return numbered.select(*df.columns, out)
 
 
 def running_total(
-    df: DataFrame, keys: list[str], value: str, out: str = "running", buckets: int | None = None
+    df: DataFrame, keys: list[str], value: str, out: str = "running", parts: int | None = None
 ) -> DataFrame:
     """Sum of all rows up to this one, in key order."""
-    rows = bucketed(df, keys, buckets)
-    joined = rows.join(_before(rows, F.sum(value)), "_bucket")
+    rows = ranged(df, keys, parts)
+    joined = rows.join(_before(rows, F.sum(value)), _PART)
     here = F.sum(value).over(
-        W.partitionBy("_bucket").orderBy("_key").rowsBetween(W.unboundedPreceding, 0)
+        W.partitionBy(_PART).orderBy(_PLACE).rowsBetween(W.unboundedPreceding, 0)
     )
     summed = joined.withColumn(out, here + F.coalesce("_before", F.lit(0)))
     return summed.select(*df.columns, out)
 
 
 def previous_value(
-    df: DataFrame, keys: list[str], value: str, out: str = "previous", buckets: int | None = None
+    df: DataFrame, keys: list[str], value: str, out: str = "previous", parts: int | None = None
 ) -> DataFrame:
     """The value of the row before this one, in key order."""
-    rows = bucketed(df, keys, buckets)
-    last = rows.groupBy("_bucket").agg(F.max_by(F.struct(value), "_key").alias("_l"))
-    carried = last.select("_bucket", F.lag("_l").over(W.orderBy("_bucket")).alias("_l"))
-    w = W.partitionBy("_bucket").orderBy("_key")
-    first = F.row_number().over(w) == 1
-    joined = rows.join(carried, "_bucket")
-    lagged = joined.withColumn(out, F.when(first, F.col("_l")[value]).otherwise(F.lag(value).over(w)))
+    rows = ranged(df, keys, parts)
+    last = rows.groupBy(_PART).agg(F.max_by(F.struct(value), _PLACE).alias("_l"))
+    carried = last.select(_PART, F.lag("_l").over(W.orderBy(_PART)).alias("_l"))
+    inner = F.lag(value).over(W.partitionBy(_PART).orderBy(_PLACE))
+    joined = rows.join(carried, _PART)
+    lagged = joined.withColumn(out, F.when(F.col(_PLACE) == 0, F.col("_l")[value]).otherwise(inner))
     return lagged.select(*df.columns, out)
 
 
@@ -130,8 +110,8 @@ def with_change(
 
 
 def batches(
-    df: DataFrame, keys: list[str], size: int = 100, out: str = "batch", buckets: int | None = None
+    df: DataFrame, keys: list[str], size: int = 100, out: str = "batch", parts: int | None = None
 ) -> DataFrame:
     """Number the rows in key order and put each ``size`` of them in one batch, from 0."""
-    numbered = row_ids(df, keys, "id", buckets)
+    numbered = row_ids(df, keys, "id", parts)
     return numbered.withColumn(out, F.floor((F.col("id") - 1) / size).cast("long"))

@@ -29,10 +29,15 @@ def top(df: DataFrame, n: int, *keys: str) -> DataFrame:
 
 
 def bottom(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    """The last n rows of a descending order."""
+    """The n rows with the least keys; rows with missing keys come after all others."""
     return df.orderBy(*[F.asc_nulls_last(k) for k in keys]).limit(n)
 
 
+def tail(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """The last n rows of a descending order that ends in its missing keys."""
+    return df.orderBy(*[F.asc_nulls_first(k) for k in keys]).limit(n)
+
+
 def repeatable_sample(df: DataFrame, n: int, *keys: str, seed: int = 0) -> DataFrame:
     """n rows at random, by a digest of the key.
 

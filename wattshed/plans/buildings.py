@@ -104,13 +104,14 @@ def heating_lookup(certificates: DataFrame, last_day: str) -> DataFrame:
 
 def homes_by_heating(certificates: DataFrame, categories: DataFrame) -> DataFrame:
     """Homes by category with share, multi-system homes left out; ordered by count at the end."""
-    joined = lookup(
-        certificates.select("mainheat_description"), categories, {"mainheat_description": "mainheat"}
-    ).where(~F.col("category").startswith("Two"))
+    by_text = certificates.groupBy("mainheat_description").agg(F.count(F.lit(1)).alias("_n"))
+    joined = lookup(by_text, categories, {"mainheat_description": "mainheat"}).where(
+        ~F.col("category").startswith("Two")
+    )
     shown = F.when(F.col("category").startswith("Renewable"), RENEWABLE_LABEL).otherwise(
         F.col("category")
     )
-    counts = joined.groupBy(shown.alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    counts = joined.groupBy(shown.alias("category")).agg(F.sum("_n").alias("n"))
     return share_of_total(counts, "n", "pct").orderBy("n")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import sortable_year
 from ..functions.numbers import kt_to_mt
-from ..functions.text import replace_first, sentence_case
+from ..functions.text import char_slice, replace_first, sentence_case
 from ..operators.aggregates import share_of_total, sum_columns, total, weighted_mean
 from ..operators.columns import ending
 from ..operators.filters import include_exclude, latest_slice, members_of, trailing_slice
@@ -58,7 +58,7 @@ def regional_emissions_long(wide: DataFrame, first_only: bool = True) -> DataFra
     long = to_long(sums, ["calendar_year"], "sector", "emissions_ktco2e", keep_nulls=True)
     bare = F.regexp_replace("sector", "_total", "")
     spaced = replace_first(bare, "_", " ") if first_only else F.replace(bare, F.lit("_"), F.lit(" "))
-    shown = F.concat(F.upper(F.substring(spaced, 1, 1)), F.lower(F.substring(spaced, 2, 1000)))
+    shown = F.concat(F.upper(char_slice(spaced, 1, 1)), F.lower(char_slice(spaced, 2)))
     return long.select(
         "calendar_year",
         shown.alias("sector"),

@@ -8,12 +8,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def session(app_name: str = "wattshed", master: str | None = None, **conf: str) -> SparkSession:
+def session(
+    app_name: str = "wattshed", master: str | None = None, first_partitions: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the library is tuned for.
 
     Shuffle width is left to adaptive execution: start wide enough for a large
-    cluster and let it coalesce small partitions, split skewed join partitions
-    and turn small join sides into broadcasts by their measured size.
+    cluster (``first_partitions``: about the input's size over 128 MB) and let it
+    coalesce small partitions, split skewed join partitions and turn small join
+    sides into broadcasts by their measured size.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -25,6 +28,8 @@ def session(app_name: str = "wattshed", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         **conf,
     }
+    if first_partitions:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(first_partitions)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

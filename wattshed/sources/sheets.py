@@ -14,22 +14,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.sizes import broadcast_if_small
-
 # Row number first: rows then sort on a number rather than on equal text.
 ROW_KEYS = ["row", "sheet", "workbook"]
 CELLS = "workbook string, sheet string, row bigint, col int, value string"
 
 
-def a1_bounds(a1: str) -> tuple[int, int, int, int]:
-    """``A5:X374`` to (first row, last row, first column, last column), from 1."""
-    m = re.fullmatch(r"([A-Z]+)(\d+):([A-Z]+)(\d+)", a1)
+def a1_bounds(a1: str) -> tuple[int, int | None, int, int]:
+    """``A5:X374`` to (first row, last row, first column, last column), from 1.
+
+    ``A5:X`` has no last row.
+    """
+    m = re.fullmatch(r"([A-Z]+)(\d+):([A-Z]+)(\d*)", a1)
     if not m:
         raise ValueError(f"not an A1 range: {a1}")
     number = lambda letters: sum(
         (ord(ch) - 64) * 26**i for i, ch in enumerate(reversed(letters))
     )
-    return int(m[2]), int(m[4]), number(m[1]), number(m[3])
+    return int(m[2]), int(m[4]) if m[4] else None, number(m[1]), number(m[3])
 
 
 def sheet_names(cells: DataFrame, pattern: str = "") -> DataFrame:
@@ -40,11 +41,12 @@ def slice_range(cells: DataFrame, a1: str | None = None, skip: int | None = None
     """Cells of a range, or of all rows after the first ``skip``.
 
     The last row of a range written for one release often cuts later ones short;
-    ``skip`` has no such end.
+    ``skip``, and a range such as ``B7:C``, have no such end.
     """
     if a1:
         top, bottom, left, right = a1_bounds(a1)
-        return cells.where(F.col("row").between(top, bottom) & F.col("col").between(left, right))
+        part = cells.where((F.col("row") >= top) & F.col("col").between(left, right))
+        return part.where(F.col("row") <= bottom) if bottom else part
     return cells.where(F.col("row") > (skip or 0))
 
 
@@ -70,8 +72,8 @@ def named_cells(
 ) -> DataFrame:
     """(workbook, sheet, row, name, value) for the rows under the header.
 
-    The header side is one row for each column of each sheet, and few distinct
-    keys face all cells: it is broadcast when checked to be small. Names are
+    The header side is one row for each column of each sheet. Adaptive execution
+    broadcasts it by its measured size, or else splits the heavy keys. Names are
     cleaned and unwanted columns dropped there, before they meet any cell.
     """
     at = F.lit(header_row) if isinstance(header_row, int) else header_row
@@ -82,7 +84,7 @@ def named_cells(
     if drop:
         header = header.where(~F.col("name").isin(drop))
     body = cells.where((F.col("row") > at) & F.col("value").isNotNull())
-    return body.join(broadcast_if_small(header), ["workbook", "sheet", "col"]).drop("col")
+    return body.join(header, ["workbook", "sheet", "col"]).drop("col")
 
 
 def long_table(

@@ -27,8 +27,9 @@ def replace_view(df: DataFrame, name: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, null: str = "") -> None:
-    """A header in each file; missing values as ``null``."""
-    df.write.mode("overwrite").option("header", True).option("nullValue", null).csv(path)
+    """A header in each file; missing values as ``null``; a quote inside a cell is doubled."""
+    writer = df.write.mode("overwrite").option("header", True).option("nullValue", null)
+    writer.option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

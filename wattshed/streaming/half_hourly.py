@@ -29,8 +29,13 @@ def read_landing(spark: SparkSession, folder: str, files_per_trigger: int = 1000
     return records.withColumn("ts", F.col("halfHourEndTime").cast("timestamp"))
 
 
-def without_retries(readings: DataFrame, delay: str = "2 days") -> DataFrame:
-    """One row for each key; state goes once the watermark passes it."""
+def without_retries(readings: DataFrame, delay: str) -> DataFrame:
+    """One row for each key; state goes once the watermark passes it.
+
+    A reading that lands later than ``delay`` behind the newest one is lost to
+    this stream, so the delay must cover the longest retry or back-fill. Where
+    none is known, ``land_late`` keeps every reading.
+    """
     return readings.withWatermark("ts", delay).dropDuplicatesWithinWatermark(KEYS)
 
 
@@ -64,6 +69,32 @@ def daily_totals(readings: DataFrame, by: str = "end_time") -> DataFrame:
     )
 
 
+def land_late(readings: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Append every reading that lands, however late, to Parquet by its own day, with no watermark.
+
+    Retries of a key are copies of one reading; ``landed_daily_totals`` counts
+    each once, so a day that a late reading touches comes out complete.
+    """
+    landed = readings.withColumn("landed_day", F.to_date("ts"))
+    return (
+        landed.writeStream.format("parquet")
+        .option("path", folder)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("landed_day")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def landed_daily_totals(spark: SparkSession, folder: str, days: list[str] | None = None) -> DataFrame:
+    """Daily totals of what ``land_late`` has kept; ``days`` reads only those folders."""
+    landed = spark.read.parquet(folder)
+    if days:
+        landed = landed.where(F.col("landed_day").isin([F.lit(d).cast("date") for d in days]))
+    return daily_totals(batch_without_retries(landed))
+
+
 def start(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append what is new to Parquet and stop; run again to resume."""
     return (
@@ -79,13 +110,17 @@ def start(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def missing_readings(days: DataFrame, units: DataFrame, received: DataFrame) -> DataFrame:
     """Every half-hour of the given days that a unit should have sent and has not.
 
-    The expectation is built from the calendar and the units. Days and units meet
-    through an array of the units, a list as short as the retrieval's own request.
+    The expectation is built from the calendar and the units. The calendar, whose
+    length is that of the audited time, is held as one array and laid out for each
+    unit; the units stay distributed.
     """
-    wanted = units.agg(F.array_sort(F.collect_set("bmUnit"))).scalar()
-    expected = settlement_calendar(days).select(
-        F.explode(wanted).alias("bmUnit"),
-        F.col("settlement_date").alias("settlementDate"),
-        F.col("settlement_period").alias("settlementPeriod"),
+    slots = settlement_calendar(days).agg(
+        F.collect_list(
+            F.struct(
+                F.col("settlement_date").alias("settlementDate"),
+                F.col("settlement_period").alias("settlementPeriod"),
+            )
+        )
     )
+    expected = units.select("bmUnit").distinct().select("bmUnit", F.inline(slots.scalar()))
     return missing_from(expected, received, KEYS)
