@@ -44,7 +44,7 @@ SHARE, OUT_OF = 75, 100
 BLOCK = 4 << 20
 #: A shingle is heavy if one of so many texts holds it, so heavy ones are at most
 #: this many times the mean set size, whatever the size of the corpus.
-HEAVY_ONE_IN = 2000
+HEAVY_ONE_IN = 8000
 HEAVY_LEAST = 16
 #: What a posting in an inverted list costs, counted in subsets of a small set.
 LIST_COST = 8
@@ -369,13 +369,27 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame, sketches: Da
         "lz4",
     )
 
-    # Light lists by window: each holds less than one of HEAVY_ONE_IN texts. Heavy ones, and
-    # subsets, by partial minima joined back, a join that splits a hot key.
-    whole = Window.partitionBy("key")
+    # Light lists by window: each holds less than one of HEAVY_ONE_IN texts, about. Heavy ones,
+    # and subsets, by partial minima joined back, a join that splits a hot key. A posting goes
+    # if the list has no set of a size that could be linked with its own, or of two that it
+    # holds one comes too late in its set.
+    whole, by_size = Window.partitionBy("key"), Window.partitionBy("key").orderBy("n")
+    beside = lambda m: SHARE * F.greatest(F.col("n"), m) <= OUT_OF * F.least(F.col("n"), m)
+    partner = beside(F.lag("n").over(by_size)) | beside(F.lead("n").over(by_size))
+    other = {c: F.sum(c).over(whole) - F.col(c) for c in ("n", "left")}
+    in_time = needed_column(F.col("n"), other["n"]) <= F.least("left", other["left"])
     light = (
         rows.where("kind = 0")
-        .withColumns({"hub": F.min("doc_id").over(whole), "last": F.max("doc_id").over(whole)})
-        .where("hub < last")
+        .withColumns(
+            {
+                "partner": F.coalesce(partner, F.lit(False)),
+                "of_two": F.count("*").over(whole) == 2,
+                "in_time": in_time,
+                "hub": F.min("doc_id").over(whole),
+                "last": F.max("doc_id").over(whole),
+            }
+        )
+        .where("hub < last and partner and (in_time or not of_two)")
         .select("key", "doc_id", "n", "left", "hub")
     )
     listed = rows.where("kind = 1")
