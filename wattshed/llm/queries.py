@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from wattshed.llm.bpe import op6_bpe_prefixes
 from wattshed.llm.chat import op2_prefix_targets
-from wattshed.llm.hamming import OP4_SQL, op4_multi_index_hashing
+from wattshed.llm.hamming import op4_multi_index_hashing
 from wattshed.llm.jaccard import op5_jaccard_join
+from wattshed.llm.oracles import ORACLES
 from wattshed.llm.packing import op9_min_slack_packing
 from wattshed.llm.pages import op8_recurrent_html
 from wattshed.llm.quality import op7_adaptive_quality
@@ -13,6 +14,8 @@ from wattshed.llm.secrets import op10_owned_secrets
 from wattshed.llm.substrings import op1_substring_dedup
 from wattshed.llm.toxicity import op3_weak_supervision
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_prefix_targets": op2_prefix_targets,
@@ -25,6 +28,3 @@ QUERIES = {
     "op9_min_slack_packing": op9_min_slack_packing,
     "op10_owned_secrets": op10_owned_secrets,
 }
-ORACLES: dict[str, str] = {
-    "op4_multi_index_hashing": OP4_SQL,
-}
