@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from wattshed.sources import sheets
 from wattshed.plans import buildings as bu
 from wattshed.plans import emissions as em
 from wattshed.plans import energy as en
@@ -87,8 +88,8 @@ def test_energy_answers(rows, view, west):
     assert rows(labels, "sector", "value", "y_pos", "label_text") == [
         ("Domestic", 25.0, 87.5, "25%"), ("Transport", 75.0, 37.5, "75%")
     ]
-    assert rows(en.with_sector_icons(sectors), "sector", "icon") == [
-        ("Domestic", "house"), ("Transport", "car-side")
+    assert rows(en.with_sector_icons(sectors, {"Transport": "road"}), "sector", "icon") == [
+        ("Domestic", None), ("Transport", "road")
     ]
     fuels = en.energy_by_main_fuel(view, west)
     assert rows(fuels, "fuel_type", "energy_ktoe", "percent_fuel") == [
@@ -303,3 +304,20 @@ def test_scenarios(spark, rows):
     assert rows(coded, "lad_code", "year") == [("E06000023", 2024), ("E06000023", 2030)]
     region = spark.createDataFrame([("Bristol",)], "ladnm string")
     assert rows(pl.scenario_slice(coded, region, "S", "T"), "year", "value") == [(2024, 1.5), (2030, None)]
+
+
+def test_plans_start_no_job(spark, cells, west):
+    """Building the sheet plans reads nothing."""
+    tracker = spark.sparkContext.statusTracker()
+    book = cells(RENEWABLES)
+    group = "no-job-while-building"
+    spark.sparkContext.setJobGroup(group, group)
+    re.generation_by_source(re.renewables_long(book), west, re.sheet_years(book))
+    re.latest_capacity_total(re.combined_renewables(book), ["E06000023"], re.sheet_years(book))
+    assert list(tracker.getJobIdsForGroup(group)) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_repeated_headers_are_numbered(cells, rows):
+    book = cells({"2023": [["Name", "MW (a)", "MW a"], ["x", "1", "9"]]})
+    assert rows(sheets.wide_table(book, 1, ["name", "mw_a", "mw_a_1"]), "name", "mw_a", "mw_a_1") == [("x", "1", "9")]

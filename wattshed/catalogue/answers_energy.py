@@ -213,12 +213,13 @@ _SECTORS = f"""SELECT sector, coalesce(sum(ktoe), 0) AS energy FROM energy_view
     + """SELECT sector, round(energy, 4) AS energy_ktoe,
                 round(energy / (SELECT sum(energy) FROM s), 6) AS pct_sector,
                 round(energy * 11.63, 2) AS energy_gwh,
-                CASE sector WHEN 'Domestic' THEN 'house' WHEN 'Transport' THEN 'car-side'
-                     WHEN 'Industrial commercial and other' THEN 'industry' END AS icon
+                CASE sector WHEN 'Domestic' THEN 'home' WHEN 'Transport' THEN 'road' END AS icon
          FROM s""",
 )
 def _(t):
-    named = en.with_sector_icons(_latest_sectors(_view(t), t))
+    named = en.with_sector_icons(
+        _latest_sectors(_view(t), t), {"Domestic": "home", "Transport": "road"}
+    )
     return named.withColumns(
         {
             "energy_ktoe": F.round("energy_ktoe", 4),

@@ -78,6 +78,10 @@ def _(t):
 _TECH_SUM = " + ".join(f"coalesce(sum({c}), 0)" for c in re.TECHNOLOGIES)
 
 
+def _years(t):
+    return re.sheet_years(t.inputs.renewable_cells)
+
+
 @query(
     "renewables_latest_capacity", "P22", "FLT-12", "RS-03", "FLT-07", "AG-01",
     sql=with_ctes("renewable_wide")
@@ -87,7 +91,7 @@ _TECH_SUM = " + ".join(f"coalesce(sum({c}), 0)" for c in re.TECHNOLOGIES)
             AND year = (SELECT max(year) FROM renewable_wide)""",
 )
 def _(t):
-    return rounded(re.latest_capacity_total(_combined(t), t.inputs.codes), 5)
+    return rounded(re.latest_capacity_total(_combined(t), t.inputs.codes, _years(t)), 5)
 
 
 @query(
@@ -98,7 +102,7 @@ def _(t):
             AND year = (SELECT max(year) FROM renewable_wide)""",
 )
 def _(t):
-    return rounded(re.latest_capacity_by_lookup(_combined(t), t.inputs.ca_la, REGION), 5)
+    return rounded(re.latest_capacity_by_lookup(_combined(t), t.inputs.ca_la, REGION, _years(t)), 5)
 
 
 _LATEST_GEN = f"""SELECT local_authority_code, local_authority_name, year, energy_source, value
@@ -109,7 +113,7 @@ _LATEST_GEN = f"""SELECT local_authority_code, local_authority_name, year, energ
 
 def _by_source(t):
     return re.generation_by_source(
-        re.renewables_long(t.inputs.renewable_cells), t.inputs.authorities
+        re.renewables_long(t.inputs.renewable_cells), t.inputs.authorities, _years(t)
     )
 
 

@@ -25,6 +25,22 @@ def total(c: ColumnLike, nulls: str = "null") -> Column:
     raise ValueError("nulls must be 'zero', 'null' or 'poison'")
 
 
+def total_of_columns(names: list[str], nulls: str = "null") -> Column:
+    """Sum of a group over many columns: each is summed by itself, and no row is unpivoted.
+
+    ``nulls``: as for ``total``, without 'poison'.
+    """
+    sums = [F.sum(c) for c in names]
+    whole = F.coalesce(sums[0], F.lit(0))
+    for s in sums[1:]:
+        whole = whole + F.coalesce(s, F.lit(0))
+    if nulls == "zero":
+        return whole
+    if nulls == "null":
+        return F.when(F.coalesce(*sums).isNotNull(), whole)
+    raise ValueError("nulls must be 'zero' or 'null'")
+
+
 def share_of_total(df: DataFrame, value: str, share: str = "share", scale: float = 1) -> DataFrame:
     """Each row's part of the column's overall sum.
 

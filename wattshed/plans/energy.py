@@ -35,11 +35,6 @@ ENERGY_IDS = ["country_or_region", "local_authority", "code"]
 NOT_AUTHORITIES = ["Unallocated", "All local authorities"]
 MAIN_FUELS = ["Electricity", "Gas", "Petroleum"]
 SECTOR_ORDER = ["Industrial commercial and other", "Transport", "Domestic"]
-SECTOR_ICONS = [
-    ("Domestic", "house"),
-    ("Industrial commercial and other", "industry"),
-    ("Transport", "car-side"),
-]
 
 
 def electricity_by_authority(cells: DataFrame, columns: list[str]) -> DataFrame:
@@ -166,10 +161,10 @@ def energy_by_sector(
     )
 
 
-def with_sector_icons(sectors: DataFrame) -> DataFrame:
+def with_sector_icons(sectors: DataFrame, icons: dict[str, str]) -> DataFrame:
     """The display name of each sector's icon; sectors without one keep NULL."""
-    icons = sectors.sparkSession.createDataFrame(SECTOR_ICONS, "sector string, icon string")
-    return sectors.join(F.broadcast(icons), "sector", "left")
+    named = F.create_map(*[F.lit(x) for pair in icons.items() for x in pair])
+    return sectors.withColumn("icon", F.try_element_at(named, F.col("sector")))
 
 
 def energy_change(

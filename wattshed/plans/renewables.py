@@ -9,11 +9,11 @@ from ..functions.dates import parse_dmy, year_from_label
 from ..functions.geography import grid_to_lonlat, grid_to_point
 from ..functions.numbers import lenient_cast, marker_cast, mwh_to_gwh, round_half_away
 from ..functions.text import sentence_case, strip_note
-from ..operators.aggregates import share_of_total, total
+from ..operators.aggregates import share_of_total, total_of_columns
 from ..operators.filters import latest_slice, members_of, trailing_slice
 from ..operators.joins import lookup, points_in_polygons
 from ..operators.reshape import to_long
-from ..sources.sheets import long_table, wide_table
+from ..sources.sheets import long_table, sheet_names, wide_table
 
 # The twelve technologies, the id columns, the measures and units.
 TECHNOLOGIES = [
@@ -117,35 +117,43 @@ def combined_renewables(cells: DataFrame) -> DataFrame:
     )
 
 
-def latest_capacity_total(renewables: DataFrame, codes: list[str]) -> DataFrame:
+def sheet_years(cells: DataFrame) -> DataFrame:
+    """The year of each renewables sheet, from the names of the sheets alone.
+
+    As ``years`` of the answers below it spares them a second run of the whole
+    sheet pipeline for its latest year, and lets only that year's cells be read.
+    """
+    year = year_from_label("sheet")
+    named = sheet_names(cells).where(sheet_type().isNotNull())
+    return named.select(year.alias("year"), year.alias("calendar_year")).distinct()
+
+
+def latest_capacity_total(
+    renewables: DataFrame, codes: list[str], years: DataFrame | None = None
+) -> DataFrame:
     """Latest year's capacity over all technologies; one summed pass, no reshape to rows."""
-    rows = latest_slice(renewables, "year").where(
+    rows = latest_slice(renewables, "year", years).where(
         F.col("local_authority_code").isin(codes) & (F.col("measure") == "capacity_mw")
     )
-    long = to_long(rows.select(*TECHNOLOGIES), [], "technology", "capacity", TECHNOLOGIES)
-    return long.agg(F.sum("capacity").alias("total_capacity"))
+    return rows.agg(total_of_columns(TECHNOLOGIES).alias("total_capacity"))
 
 
-def latest_capacity_by_lookup(renewables: DataFrame, ca_la: DataFrame, authority: str) -> DataFrame:
+def latest_capacity_by_lookup(
+    renewables: DataFrame, ca_la: DataFrame, authority: str, years: DataFrame | None = None
+) -> DataFrame:
     """The same through the combined-authority lookup, missing values kept and ignored in the sum."""
-    rows = latest_slice(renewables, "year", renewables).where(F.col("measure") == "capacity_mw")
+    rows = latest_slice(renewables, "year", years).where(F.col("measure") == "capacity_mw")
     joined = lookup(rows, ca_la, {"local_authority_code": "ladcd"}).where(
         F.col("cauthnm") == authority
     )
-    long = to_long(
-        joined.select("local_authority_name", *TECHNOLOGIES),
-        ["local_authority_name"],
-        "technology",
-        "capacity_mw",
-        TECHNOLOGIES,
-        keep_nulls=True,
-    )
-    return long.agg(total("capacity_mw", "zero").alias("total_capacity_mw"))
+    return joined.agg(total_of_columns(TECHNOLOGIES, "zero").alias("total_capacity_mw"))
 
 
-def generation_by_source(renewables: DataFrame, authorities: DataFrame) -> DataFrame:
+def generation_by_source(
+    renewables: DataFrame, authorities: DataFrame, years: DataFrame | None = None
+) -> DataFrame:
     """Latest year's generation by authority and source, positive values, in GWh."""
-    latest = latest_slice(renewables, "calendar_year").where(
+    latest = latest_slice(renewables, "calendar_year", years).where(
         (F.col("type") == "Generation")
         & (F.col("energy_source") != "total")
         & (F.col("value") > 0)
@@ -168,16 +176,8 @@ def generation_by_combined_authority(renewables: DataFrame, ca_la: DataFrame) ->
     """Total generation by year and combined authority."""
     rows = renewables.where(F.col("measure") == "generation_mwh")
     joined = lookup(rows, ca_la, {"local_authority_code": "ladcd"})
-    long = to_long(
-        joined.select("year", "cauthnm", *TECHNOLOGIES),
-        ["year", "cauthnm"],
-        "renewable_type",
-        "generation_mwh",
-        TECHNOLOGIES,
-        keep_nulls=True,
-    )
-    return long.groupBy("year", "cauthnm").agg(
-        total("generation_mwh", "zero").alias("total_generation")
+    return joined.groupBy("year", "cauthnm").agg(
+        total_of_columns(TECHNOLOGIES, "zero").alias("total_generation")
     )
 
 

@@ -74,13 +74,19 @@ def named_cells(
 
     The header side is one row for each column of each sheet. Adaptive execution
     broadcasts it by its measured size, or else splits the heavy keys. Names are
-    cleaned and unwanted columns dropped there, before they meet any cell.
+    cleaned, repeats in a sheet numbered and unwanted columns dropped there,
+    before they meet any cell.
     """
     at = F.lit(header_row) if isinstance(header_row, int) else header_row
     name = header_name(F.col("value"), style)
     header = cells.where(F.col("row") == at).select(
         "workbook", "sheet", "col", (clean(name) if clean else name).alias("name")
     )
+    same = W.partitionBy("workbook", "sheet", "name").orderBy("col")
+    turn = F.row_number().over(same) - 1
+    header = header.withColumn(
+        "name", F.when(turn > 0, F.concat("name", F.lit("_"), turn.cast("string"))).otherwise(F.col("name"))
+    )
     if drop:
         header = header.where(~F.col("name").isin(drop))
     body = cells.where((F.col("row") > at) & F.col("value").isNotNull())
