@@ -44,7 +44,7 @@ SHARE, OUT_OF = 75, 100
 BLOCK = 4 << 20
 #: A shingle is heavy if one of so many texts holds it, so heavy ones are at most
 #: this many times the mean set size, whatever the size of the corpus.
-HEAVY_ONE_IN = 8000
+HEAVY_ONE_IN = 16_000
 HEAVY_LEAST = 16
 #: What a posting in an inverted list costs, counted in subsets of a small set.
 LIST_COST = 8
@@ -154,30 +154,34 @@ def _firsts(d1: np.ndarray, d2: np.ndarray, ids: np.ndarray, size: np.ndarray) -
 
 
 def _facts(batches):
-    """A row for each text (its set's size and digests), and for each shingle that several
-    different sets of the block hold (with their number; text rows have shingle NULL)."""
+    """A row for each text (its set's size, digests and sketch), and one for each shingle that
+    several different sets of the batch hold (with their number; text rows have shingle NULL)."""
+    names = ["doc_id", "n", "d1", "d2", "shingle", "sketch"]
     for batch in batches:
         all_ids = batch.column("doc_id")
+        held = []
         for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK):
             n = hi - lo
             owner, hashes, size = shingle_sets(data, offsets)
             d1, d2 = _digests(owner, hashes, n)
             ids = all_ids.slice(lo, n).fill_null(np.iinfo(np.int64).max).to_numpy()
-            first = _firsts(d1, d2, ids, size)
-            found, count = np.unique(hashes[first[owner]], return_counts=True)
-            found, count = found[count > 1], count[count > 1]
-            more = len(found)
+            held.append(hashes[_firsts(d1, d2, ids, size)[owner]])
+            columns = [pa.array(x) for x in (size.astype(np.int64), d1.view(np.int64), d2.view(np.int64))]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([all_ids.slice(lo, n), pa.nulls(more, pa.int64())]),
-                    pa.array(np.concatenate([size, count]).astype(np.int64)),
-                    pa.array(np.concatenate([d1.view(np.int64), np.zeros(more, np.int64)])),
-                    pa.array(np.concatenate([d2.view(np.int64), np.zeros(more, np.int64)])),
-                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(found.view(np.int64))]),
-                    pa.concat_arrays([_sketches(owner, hashes, size), pa.nulls(more, pa.list_(pa.int64()))]),
-                ],
-                ["doc_id", "n", "d1", "d2", "shingle", "sketch"],
+                [all_ids.slice(lo, n), *columns, pa.nulls(n, pa.int64()), _sketches(owner, hashes, size)], names
             )
+        if not held:
+            continue
+        every = np.sort(np.concatenate(held))
+        held.clear()
+        begin = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else every
+        count = np.diff(np.append(begin, len(every)).astype(np.int64))
+        found, count = every[begin.astype(np.int64)][count > 1], count[count > 1]
+        none = [pa.nulls(len(found), pa.int64()) for _ in range(3)]
+        yield pa.RecordBatch.from_arrays(
+            [none[0], pa.array(count), *none[1:], pa.array(found.view(np.int64)), pa.nulls(len(found), pa.list_(pa.int64()))],
+            names,
+        )
 
 
 def _subset_rows(hashes: np.ndarray, n: int) -> list[tuple[int, bool]]:
@@ -338,7 +342,7 @@ def _may_start() -> Column:
 
 
 def document_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, n, rep) of each text, (shingle, n) of those that several texts of a block hold,
+    """(doc_id, n, rep) of each text, (shingle, n) of those that several texts of a batch hold,
     and (doc_id, n, sketch) of each text that has shingles."""
     kinds = "doc_id bigint, n bigint, d1 bigint, d2 bigint, shingle bigint, sketch array<bigint>"
     facts = staged(docs.mapInArrow(_facts, kinds), "facts")
