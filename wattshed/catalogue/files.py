@@ -198,9 +198,9 @@ def _(t):
     )
 
 
-def land_payloads(t, path):
+def land_payloads(t, path, where="true"):
     """Readings as payload lines: one for each day and period, holding every unit's record."""
-    r = t.inputs.readings
+    r = t.inputs.readings.where(where)
     end = F.date_format("halfHourEndTime", "yyyy-MM-dd'T'HH:mm:ss").alias("halfHourEndTime")
     record = F.struct(*[end if c == "halfHourEndTime" else F.col(c) for c in r.columns])
     # A request names its units, so a payload has at most that many records.

@@ -66,12 +66,11 @@ def _(t):
 
 @query(
     "unpivot_every_column", "RS-03",
-    sql="""WITH m AS (SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name,
-                             CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation)
+    sql="""WITH m AS (SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part)
            SELECT technology, capacity FROM (UNPIVOT m ON * INTO NAME technology VALUE capacity)""",
 )
 def _(t):
-    return rs.to_long(t.nation, [], "technology", "capacity")
+    return rs.to_long(t.part.select("p_partkey", "p_name", "p_brand"), [], "technology", "capacity")
 
 
 @query(

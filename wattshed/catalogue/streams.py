@@ -28,10 +28,9 @@ def _(t):
     """Two runs over one folder: the second finds only what landed after the first."""
     spark = t.spark
     landing, out, mark = (scratch_folder(spark, p) for p in ("landing", "readings", "mark"))
-    land_payloads(t, landing)
-    records = hh.read_landing(spark, landing)
-    _drain(records, out, mark)
-    _drain(records, out, mark)
+    for part in ("settlementPeriod <= 24", "settlementPeriod > 24"):
+        land_payloads(t, landing, part)
+        _drain(hh.read_landing(spark, landing), out, mark)
     sums = spark.read.parquet(out).groupBy("bmUnit").agg(
         F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity")
     )
