@@ -284,7 +284,7 @@ def _(t):
 
 
 @query(
-    "certificates_landed_and_counted", "P17", "SRC-10", "SRC-14",
+    "certificates_landed_and_counted", "SRC-10",
     sql=with_ctes("certificates")
     + """SELECT local_authority_label, count(*) AS "count" FROM certificates
          WHERE current_energy_rating = 'A' GROUP BY 1""",

@@ -179,7 +179,7 @@ for _rated, _weight in ((False, "population"), (True, "CASE WHEN value IS NOT NU
 
     @query(
         "mortality_weighted_rated" if _rated else "mortality_weighted",
-        "P43", "FLT-09", "SC-28", "JN-04", "AG-11", "AG-12",
+        "P43", "SC-28", "JN-04", "AG-11",
         sql=with_ctes("order_sites", v=_VALUES, p=_POPULATION)
         + f"""SELECT round(sum(value / 100 * population) * 100 / sum({_weight}), 6)
                   AS mortality_fraction FROM v LEFT JOIN p ON area_name = local_authority

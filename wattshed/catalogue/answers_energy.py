@@ -128,7 +128,7 @@ def _(t):
 
 
 @query(
-    "energy_regional_gwh", "P26", "ST-04", "PRJ-07", "RS-04", "SC-16", "SNK-04",
+    "energy_regional_gwh", "P26", "PRJ-07", "RS-04", "SC-16",
     sql=with_ctes("energy_long", "fuel_sectors")
     + f"""SELECT calendar_year AS year, local_authority, code, fuel, sector,
                  round(sum(ktoe), 4) AS consumption_ktoe, round(sum(ktoe * 11.63), 2)

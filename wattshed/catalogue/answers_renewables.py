@@ -206,7 +206,7 @@ def _(t):
 
 
 @query(
-    "planning_capacity_added", "P21", "FLT-13", "AG-01", "UDF-02",
+    "planning_capacity_added", "P21", "FLT-13", "AG-01",
     sql=with_ctes("planning", o=_OPERATIONAL)
     + """SELECT round(sum(installed_capacity_mwelec), 6) AS capacity_added FROM o
          WHERE yr >= (SELECT max(yr) - 5 FROM o)""",
@@ -216,7 +216,7 @@ def _(t):
 
 
 @query(
-    "community_energy_added", "P19", "SRC-10", "FLT-13", "AG-01", "UDF-02",
+    "community_energy_added", "P19", "SRC-10", "FLT-13", "AG-01",
     sql="""SELECT round(sum(o_totalprice / 1000), 5) AS k_wp_added FROM orders
            WHERE year(o_orderdate) >= (SELECT max(year(o_orderdate)) - 5 FROM orders)""",
 )
@@ -291,7 +291,7 @@ _WITHIN = with_ctes(
 
 
 @query(
-    "generators_in_boundary", "P23", "JN-07", "SNK-06",
+    "generators_in_boundary", "P23", "JN-07",
     sql=_WITHIN
     + """SELECT development_status_short AS type, technology, technology_type AS primary_fuel,
                 capacity, site_name AS postcode, round(lon, 6) AS lon, round(lat, 6) AS lat
@@ -304,7 +304,7 @@ def _(t):
 
 
 @query(
-    "generators_fossil_and_renewable", "P23", "AG-14", "SNK-07", "FLT-03",
+    "generators_fossil_and_renewable", "P23", "AG-14", "FLT-03",
     sql=_WITHIN
     + """SELECT 'Fossil' AS category,
                 round(sum(CASE WHEN technology ILIKE '%fossil%' THEN capacity END), 5) AS capacity
@@ -316,7 +316,7 @@ def _(t):
 
 
 @query(
-    "generators_summary", "P23", "AG-09", "AG-14", "SNK-04", "PRJ-12", "SC-14",
+    "generators_summary", "P23", "AG-09", "AG-14", "PRJ-12", "SC-14",
     sql=_WITHIN
     + """SELECT fuel_category, round(c, 1) AS installed_capacity_mw,
                 round(round(c, 1) * 100 / (SELECT sum(capacity) FROM w), 1) AS proportion_of_total
@@ -333,7 +333,7 @@ def _station(t):
 
 
 @query(
-    "station_generation", "P16", "SRC-02", "PRJ-02", "PRJ-04",
+    "station_generation", "P16", "PRJ-02", "PRJ-04",
     sql=with_ctes("readings")
     + """SELECT bmunit, settlementdate, settlementperiod, halfhourendtime,
                 quantity AS generation_mwh FROM readings""",
@@ -374,7 +374,7 @@ def _(t):
 
 
 @query(
-    "build_registered_tables", "UDF-03", "SNK-09", "P17", "SRC-14",
+    "build_registered_tables", "UDF-03", "SNK-09",
     sql=with_ctes("renewable_long")
     + """SELECT energy_source, round(sum(value), 4) AS value,
                 round(sum(value) / (SELECT sum(value) FROM renewable_long), 6) AS share

@@ -6,9 +6,12 @@ folder, so readers and writers are exercised on data that grows with the tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.columns import normalise_columns
+from ..plans import external as ex
 from ..session import scratch_folder
 from ..sources import delimited as de
 from ..sources import records as rc
@@ -249,23 +252,44 @@ def _(t):
     )
 
 
+def _databases(t):
+    """Two databases of this run's own."""
+    names = [f"wattshed_{side}_{uuid.uuid4().hex}" for side in ("far", "near")]
+    for name in names:
+        t.spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_folder(t.spark, name)}'")
+    return names
+
+
 @query(
     "read_imported_table", "SRC-14", "SNK-01",
     sql="SELECT n_regionkey, count(*) AS n FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY 1",
 )
 def _(t):
-    for name in ("wattshed_far", "wattshed_near"):
-        t.spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
-        t.spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_folder(t.spark, name)}'")
-    t.nation.write.saveAsTable("wattshed_far.nation_tbl")
-    t.customer.write.saveAsTable("wattshed_far.customer_tbl")
-    de.import_tables(t.spark, "wattshed_far", "wattshed_near", ["nation_tbl", "customer_tbl"])
-    near = t.spark.table("wattshed_near.customer_tbl").join(
-        t.spark.table("wattshed_near.nation_tbl"), F.col("c_nationkey") == F.col("n_nationkey")
+    far, close = _databases(t)
+    t.nation.write.saveAsTable(f"{far}.nation_tbl")
+    t.customer.write.saveAsTable(f"{far}.customer_tbl")
+    de.import_tables(t.spark, far, close, ["nation_tbl", "customer_tbl"])
+    near = t.spark.table(f"{close}.customer_tbl").join(
+        t.spark.table(f"{close}.nation_tbl"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return near.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "external_tables_imported", "P17", "SRC-14",
+    sql=with_ctes("emissions", "certificates")
+    + """SELECT 'emissions_tbl' AS name, count(*) AS n FROM emissions
+         UNION ALL SELECT 'epc_domestic_tbl', count(*) FROM certificates""",
+)
+def _(t):
+    far, close = _databases(t)
+    t.inputs.emissions.write.saveAsTable(f"{far}.{ex.EMISSIONS}")
+    t.inputs.certificates.write.saveAsTable(f"{far}.{ex.CERTIFICATES}")
+    got = ex.import_external(t.spark, far, close)
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("name"), "n") for k, df in got.items()]
+    return counts[0].unionByName(counts[1])
+
+
 @query(
     "read_literal_lookup", "SRC-15", "JN-04",
     sql="""SELECT c_mktsegment, icon, count(*) AS n FROM customer LEFT JOIN
@@ -303,6 +327,22 @@ def _(t):
     return named.groupBy("category").agg(F.sum("_n").alias("n"))
 
 
+for _how, _row in {"typed": "SRC-01", "dropping": "SRC-03", "lenient": "SRC-04"}.items():
+
+    @query(
+        f"read_csv_quoted_{_how}", _row, "SNK-04",
+        sql="SELECT doc_id, md5(coalesce(text, '')) AS digest, n_chars FROM documents",
+    )
+    def _(t, how=_how):
+        """Whole texts with quotes, commas and line breaks, written and read again."""
+        reader = {"typed": de.read_csv, "dropping": de.read_csv_dropping, "lenient": de.read_csv_lenient}[how]
+        quoted = F.concat(F.lit('"a", '), F.coalesce("text", F.lit("")), F.lit("\n b"))
+        path = _landed_csv(t, t.documents.select("doc_id", quoted.alias("text"), "n_chars"), "quoted")
+        got = reader(t.spark, path, "doc_id bigint, text string, n_chars bigint")
+        plain = F.substring("text", F.lit(6), F.length("text") - 8)
+        return got.select("doc_id", F.md5(plain).alias("digest"), "n_chars")
+
+
 @query(
     "write_replaced_view", "SNK-02",
     sql="""SELECT n_name, round(sum(c_acctbal), 2) AS balance FROM customer
@@ -326,9 +366,9 @@ def _(t):
 def _(t):
     a = t.orders.select("o_orderkey", F.year("o_orderdate").alias("yr"))
     b = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.year("l_shipdate").alias("yr"))
-    t.spark.sql("DROP TABLE IF EXISTS wattshed_union")
-    sk.create_table(a.unionByName(b), "wattshed_union", scratch_folder(t.spark, "union"))
-    return t.spark.table("wattshed_union")
+    name = f"wattshed_union_{uuid.uuid4().hex}"
+    sk.create_table(a.unionByName(b), name, scratch_folder(t.spark, "union"))
+    return t.spark.table(name)
 
 
 @query(

@@ -278,7 +278,7 @@ def _(t):
 
 
 @query(
-    "case_units_by_type", "SC-18", "SC-31",
+    "case_units_by_type", "SC-18",
     sql="""SELECT o_orderstatus, CASE o_orderstatus WHEN 'F' THEN 'number' WHEN 'O' THEN 'mw' END
                   AS units, count(*) AS n FROM orders GROUP BY ALL""",
 )

@@ -27,8 +27,12 @@ def replace_view(df: DataFrame, name: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, null: str = "") -> None:
-    """A header in each file; missing values as ``null``; a quote inside a cell is doubled."""
+    """A header in each file; missing values as ``null``; a quote inside a cell is doubled.
+
+    White space at the ends of a cell stays.
+    """
     writer = df.write.mode("overwrite").option("header", True).option("nullValue", null)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.option("quote", '"').option("escape", '"').csv(path)
 
 
