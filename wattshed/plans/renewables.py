@@ -12,7 +12,6 @@ from ..functions.text import sentence_case, strip_note
 from ..operators.aggregates import share_of_total, total_of_columns
 from ..operators.filters import latest_slice, members_of, trailing_slice
 from ..operators.joins import lookup, points_in_polygons
-from ..operators.reshape import to_long
 from ..sources.sheets import long_table, sheet_names, wide_table
 
 # The twelve technologies, the id columns, the measures and units.
