@@ -48,7 +48,7 @@ class WordCoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer  # after the setting, which it reads once
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
