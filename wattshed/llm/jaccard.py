@@ -172,11 +172,11 @@ def _facts(batches):
             )
         if not held:
             continue
-        every = np.sort(np.concatenate(held))
+        every = np.concatenate(held)
         held.clear()
-        begin = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else every
-        count = np.diff(np.append(begin, len(every)).astype(np.int64))
-        found, count = every[begin.astype(np.int64)][count > 1], count[count > 1]
+        every.sort()
+        found, count = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)
+        count += 1
         none = [pa.nulls(len(found), pa.int64()) for _ in range(3)]
         yield pa.RecordBatch.from_arrays(
             [none[0], pa.array(count), *none[1:], pa.array(found.view(np.int64)), pa.nulls(len(found), pa.list_(pa.int64()))],
