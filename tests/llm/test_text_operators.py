@@ -158,6 +158,46 @@ def test_large_group_of_near_copies(spark):
     assert got == plain_groups(docs)
 
 
+def plain_links(docs):
+    sets = {}
+    for doc_id, text in docs.items():
+        words = split(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        sets[doc_id] = {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+    out = {}
+    for a in docs:
+        same = [b for b in docs if sets[b] == sets[a] and sets[a]]
+        both = {b: len(sets[a] & sets[b]) for b in docs if b != a}
+        n = sum(1 for b, k in both.items() if k and 100 * k >= 75 * (len(sets[a]) + len(sets[b]) - k))
+        out[a] = (min(same, default=a), n)
+    return out
+
+
+@pytest.mark.parametrize("part", [(7, 1 << 17), (512, 500)])
+def test_links_of_each_document_are_counted(spark, monkeypatch, part):
+    monkeypatch.setattr(jaccard, "PART_TEXTS", part[0])
+    monkeypatch.setattr(jaccard, "PART_SHINGLES", part[1])
+    rng = np.random.default_rng(3)
+    docs, base = {}, [f"v{i}" for i in range(150)]
+    for i in range(90):  # near copies of several lengths, linked in part only
+        words = base[: int(rng.integers(90, 151))]
+        for k in rng.integers(0, len(words), rng.integers(0, 4)):
+            words[k] = f"x{rng.integers(9)}"
+        docs[i] = " ".join(words)
+    docs |= {100 + i: docs[i].upper() for i in range(0, 40, 3)} | {200: "", 201: "one", 202: "One", 203: "a b c"}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(4)
+    rows = jaccard.link_counts(frame).collect()
+    groups = plain_groups(docs)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == groups
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows} == plain_links(docs)
+
+
+def test_links_of_odd_rows(odd_docs):
+    rows = jaccard.link_counts(odd_docs).select("doc_id", "class_id", "n_links").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(
+        [(1, 1, 2), (1, 1, 2), (2, 2, 2), (3, 3, 0), (4, 4, 0), (5, 5, 0), (None, None, None)], key=str
+    )
+
+
 def test_boundary_follows_cost():
     sizes = {n: 100 for n in range(1, 22)}
     assert jaccard.boundary(sizes, 1) < jaccard.boundary(sizes, 1000)

@@ -19,6 +19,11 @@ tested is counted exactly from the two texts, after sketches of the sets have ru
 out those that differ by too much.
 
 Exact copies (equal sets) are classes, of which one text stands for all.
+
+That finds the components but not all links. Linked texts are always of one
+component, so link_counts() takes the classes of each component once more, cuts
+them into parts of bounded size, and counts the shingles of all pairs of texts
+of two parts as products of their incidence matrices. No pair becomes a row.
 """
 
 from __future__ import annotations
@@ -55,6 +60,12 @@ BUCKETS = 1 << 18
 SKETCH = 512
 #: Random orders in which long lists are linked, and what is long.
 ORDERS, LONG = 8, 16
+#: Classes and shingles in a part of a component, about; two parts are one task's memory.
+PART_TEXTS, PART_SHINGLES = 512, 1 << 17
+#: Factor between the bands of sizes of a component; linked sets are of one band or of neighbours.
+BAND = 1.005 * OUT_OF / SHARE
+#: Shingles in a slice of an incidence matrix.
+COLUMNS = 4096
 
 
 def needed(n: int, m: int) -> int:
@@ -299,6 +310,13 @@ def _near_enough(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return met.where(may).select("a", "b").distinct()
 
 
+def _in_buckets(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts whose doc_id falls into a bucket that one of ids falls into."""
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
+    touched = ids.select(bucket("id").alias("touched")).distinct()
+    return texts.join(F.broadcast(touched), bucket("doc_id") == touched["touched"], "left_semi")
+
+
 def _tested(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
     """The pairs (a, b) of documents that are linked, by their whole texts.
 
@@ -307,9 +325,7 @@ def _tested(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFram
     table of buckets has BUCKETS rows at most.
     """
     pairs = staged(_near_enough(pairs, sketches), "pairs")
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
-    touched = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(bucket("id").alias("touched")).distinct()
-    texts = texts.join(F.broadcast(touched), bucket("doc_id") == touched["touched"], "left_semi")
+    texts = _in_buckets(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")))
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     met = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
@@ -342,14 +358,16 @@ def _may_start() -> Column:
 
 
 def document_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, n, rep) of each text, (shingle, n) of those that several texts of a batch hold,
+    """(doc_id, n, d1, d2, rep) of each text, (shingle, n) of those that several texts of a batch hold,
     and (doc_id, n, sketch) of each text that has shingles."""
     kinds = "doc_id bigint, n bigint, d1 bigint, d2 bigint, shingle bigint, sketch array<bigint>"
     facts = staged(docs.mapInArrow(_facts, kinds), "facts")
     texts = facts.where("shingle is null").drop("shingle")
     sketches = texts.where("n > 0 and doc_id is not null").select("doc_id", "n", "sketch")
     reps = texts.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
-    classes = texts.join(reps, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
+    classes = texts.join(reps, ["n", "d1", "d2"], "left").select(
+        "doc_id", "n", "d1", "d2", F.coalesce("rep", "doc_id").alias("rep")
+    )
     return classes, facts.where("shingle is not null").select("shingle", "n"), sketches
 
 
@@ -473,6 +491,19 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame, sketches: Da
     return found.unionByName(_tested(rest, texts, sketches)).distinct()
 
 
+def _grouped(docs: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, n, rep, component) of each text, and its columns d1 and d2 if asked for."""
+    classes, shingles, sketches = document_classes(docs)
+    classes = staged(classes.select("doc_id", "n", "rep", *more), "classes")
+    held = classes.where("doc_id is not null and n > 0")
+    twice = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
+    same = held.join(twice.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a <> b")
+    joined = components(links(docs, classes, shingles, sketches).unionByName(same))
+    return classes.join(joined, F.col("rep") == F.col("vertex"), "left").select(
+        "doc_id", "n", "rep", *more, F.coalesce("component", "rep").alias("component")
+    )
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs.
 
@@ -482,14 +513,152 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     no component.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    classes, shingles, sketches = document_classes(docs)
-    classes = staged(classes, "classes")
-    held = classes.where("doc_id is not null and n > 0")
-    twice = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
-    same = held.join(twice.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a <> b")
-    joined = components(links(docs, classes, shingles, sketches).unionByName(same))
-    return classes.join(joined, F.col("rep") == F.col("vertex"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")
+    return _grouped(docs).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def _common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray] | None, n: int, m: int) -> np.ndarray:
+    """Shingles that each of n sets a, given as (set, hash), shares with each of m sets b, or of a itself."""
+    values, count = np.unique(a[1], return_counts=True)
+    shared = values[count > 1] if b is None else np.intersect1d(values, np.unique(b[1]), assume_unique=True)
+    out = np.zeros((n, m), dtype=np.int64)
+    if not len(shared):
+        return out
+
+    def placed(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(shared, hashes), len(shared) - 1)
+        met = shared[at] == hashes
+        order = np.argsort(at[met], kind="stable")
+        return owner[met][order], at[met][order]
+
+    def slice_of(rows: tuple[np.ndarray, np.ndarray], size: int, lo: int, hi: int) -> np.ndarray:
+        i, j = np.searchsorted(rows[1], [lo, hi])
+        flags = np.zeros((size, hi - lo), dtype=np.float32)
+        flags[rows[0][i:j], rows[1][i:j] - lo] = 1
+        return flags
+
+    left = placed(*a)
+    right = left if b is None else placed(*b)
+    for lo in range(0, len(shared), COLUMNS):
+        hi = min(lo + COLUMNS, len(shared))
+        ours = slice_of(left, n, lo, hi)
+        out += (ours @ (ours if b is None else slice_of(right, m, lo, hi)).T).astype(np.int64)
+    return out
+
+
+def _part_links(rows: pa.Table) -> pa.Table:
+    """(n, d1, d2, links): rows of docs linked with each class of two parts, from the other part.
+
+    side tells the parts apart; a part that meets itself has side 0 alone. Texts
+    that the doc_id of a class holds besides the class' own are left out by their digests.
+    """
+    owner, hashes, size = _sets(rows.column("text").combine_chunks())
+    own1, own2 = (d.view(np.int64) for d in _digests(owner, hashes, rows.num_rows))
+    side, d1, d2, weight = (rows.column(c).to_numpy() for c in ("side", "d1", "d2", "rows"))
+    right = (own1 == d1) & (own2 == d2) & (size == rows.column("n").to_numpy())
+    at = np.flatnonzero(right)
+    at = at[np.unique(np.stack([side[at].astype(np.int64), d1[at], d2[at]]), axis=1, return_index=True)[1]]
+    parts = [np.sort(at[side[at] == k]) for k in (0, 1)]
+    itself = rows.column("itself")[0].as_py()
+
+    def sets_of(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.full(rows.num_rows, -1, dtype=np.int64)
+        place[part] = np.arange(len(part))
+        held = place[owner] >= 0
+        return place[owner[held]], hashes[held]
+
+    a, b = parts[0], parts[0] if itself else parts[1]
+    common = _common(sets_of(a), None if itself else sets_of(b), len(a), len(b))
+    linked = (OUT_OF * common >= SHARE * (size[a][:, None] + size[b][None, :] - common)) & (common > 0)
+    if itself:
+        np.fill_diagonal(linked, False)
+    found = [(a, linked @ weight[b])] + ([] if itself else [(b, weight[a] @ linked)])
+    who, total = (np.concatenate(x) for x in zip(*found, strict=True))
+    who, total = who[total > 0], total[total > 0]
+    return pa.table(
+        [pa.array(size[who].astype(np.int64)), pa.array(d1[who]), pa.array(d2[who]), pa.array(total.astype(np.int64))],
+        ["n", "d1", "d2", "links"],
+    )
+
+
+def _class_links(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(n, d1, d2, links): how many rows of other classes each class is linked with.
+
+    classes has (component, n, d1, d2, rep, rows). Bands of sizes of a component are
+    cut by hash into parts; each part meets itself, the later ones of its band, and all
+    parts of the next band. Other pairs of sizes can't be linked.
+    """
+    several = classes.groupBy("component").agg(F.count("*").alias("classes")).where("classes > 1").drop("classes")
+    held = classes.join(several, "component").withColumn("band", F.floor(F.log("n") / F.lit(math.log(BAND))).cast("int"))
+    of_band = staged(
+        held.groupBy("component", "band").agg(
+            F.greatest(F.ceil(F.sum("n") / PART_SHINGLES), F.ceil(F.count("*") / PART_TEXTS)).cast("int").alias("parts")
+        ),
+        "bands",
+    )
+    near = lambda step, name: of_band.select("component", (F.col("band") + step).alias("band"), F.col("parts").alias(name))
+    keys = ["component", "band"]
+    held = held.join(of_band, keys).join(near(-1, "above"), keys, "left").join(near(1, "below"), keys, "left")
+    held = staged(held.withColumn("part", F.pmod(F.xxhash64("d1", "d2"), "parts").cast("int")), "held")
+
+    def spots(upto: Column, first: Column, band: Column, far: bool, mine_first: bool) -> Column:
+        """Where the part meets parts from first to upto - 1."""
+
+        def spot(k: Column) -> Column:
+            i, j = (F.col("part"), k) if mine_first else (k, F.col("part"))
+            return F.struct(
+                band.alias("band"), F.lit(far).alias("far"), i.alias("i"), j.alias("j"),
+                F.lit(0 if mine_first else 1).alias("side"),
+            )
+
+        return F.when(upto > first, F.transform(F.sequence(first, upto - 1), spot)).otherwise(
+            F.array().cast("array<struct<band:int,far:boolean,i:int,j:int,side:int>>")
+        )
+
+    zero = F.lit(0)
+    meets = F.concat(
+        spots(F.col("parts"), F.col("part"), F.col("band"), False, True),
+        spots(F.col("part"), zero, F.col("band"), False, False),
+        spots(F.coalesce("above", zero), zero, F.col("band"), True, True),
+        spots(F.coalesce("below", zero), zero, F.col("band") - 1, True, False),
+    )
+    wanted = held.select("component", "n", "d1", "d2", "rep", "rows", meets.alias("meets"))
+    texts = _in_buckets(texts, held.select(F.col("rep").alias("id")))
+    rows = wanted.join(texts, wanted["rep"] == texts["doc_id"]).select(
+        "component", "n", "d1", "d2", "rows", "text", F.explode("meets").alias("at")
+    )
+    rows = rows.select(
+        "component", "n", "d1", "d2", "rows", "text", "at.*", (~F.col("at.far") & (F.col("at.i") == F.col("at.j"))).alias("itself")
+    )
+    found = rows.groupBy("component", "band", "far", "i", "j").applyInArrow(
+        _part_links, "n bigint, d1 bigint, d2 bigint, links bigint"
+    )
+    return found.groupBy("n", "d1", "d2").agg(F.sum("links").alias("links"))
+
+
+def link_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, class_id, n_links) for each row of docs.
+
+    n_links counts the other rows of docs whose texts are linked with the row's
+    own, equal sets included, whatever their component was joined by; class_id is the
+    least doc_id with an equal set. Rows that share a doc_id count one by one. NULL and
+    empty texts have no links; for a row without doc_id class and links are NULL, and
+    it counts for no other.
+    """
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    grouped = staged(_grouped(docs, "d1", "d2"), "groups")
+    held = grouped.where("doc_id is not null and n > 0")
+    classes = held.groupBy("component", "n", "d1", "d2").agg(F.min("rep").alias("rep"), F.count("*").alias("rows"))
+    classes = staged(classes, "weights")
+    found = _class_links(classes, docs.where("doc_id is not null and text is not null"))
+    key = ["n", "d1", "d2"]
+    total = classes.join(found, key, "left").select(*key, (F.col("rows") - 1 + F.coalesce("links", F.lit(0))).alias("total"))
+    known = F.col("doc_id").isNotNull()
+    return grouped.join(total, key, "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(known, F.col("component")).alias("component_id"),
+        F.when(known, F.col("rep")).alias("class_id"),
+        F.when(known, F.when(F.col("n") > 0, F.col("total")).otherwise(F.lit(0))).alias("n_links"),
     )
 
 
@@ -509,3 +678,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))

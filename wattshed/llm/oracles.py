@@ -78,6 +78,27 @@ FROM docs d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) USING (doc_id)
 """
 
+OP5_LINKS_SQL = f"""
+WITH docs AS (
+    SELECT doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+    FROM docs, unnest(range(1, greatest(len(words) - 3, 2))) t(i) WHERE len(words) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS print FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY ALL HAVING 100 * count(*) >= 75 * (any_value(x.n) + any_value(y.n) - count(*))
+)
+SELECT g.doc_id, n_shingles, component_id,
+    coalesce(min(g.doc_id) FILTER (print IS NOT NULL) OVER (PARTITION BY print), g.doc_id) AS class_id, coalesce(n_links, 0) AS n_links
+FROM ({OP5_SQL}) g LEFT JOIN sizes s USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a) l USING (doc_id)
+"""
+
 
 def _found(kind: str, number: int, pattern: str, least: int, group: int, more: str = "") -> str:
     """Rows (doc_id, start, kind, stop, value) of one pattern."""
@@ -131,5 +152,6 @@ ORACLES = {
     "op2_prefix_targets": OP2_SQL,
     "op4_multi_index_hashing": OP4_SQL,
     "op5_jaccard_join": OP5_SQL,
+    "op5_jaccard_links": OP5_LINKS_SQL,
     "op10_owned_secrets": OP10_SQL,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from wattshed.llm.bpe import op6_bpe_prefixes
 from wattshed.llm.chat import op2_prefix_targets
 from wattshed.llm.hamming import op4_multi_index_hashing
-from wattshed.llm.jaccard import op5_jaccard_join
+from wattshed.llm.jaccard import op5_jaccard_join, op5_jaccard_links
 from wattshed.llm.oracles import ORACLES
 from wattshed.llm.packing import op9_min_slack_packing
 from wattshed.llm.pages import op8_recurrent_html
@@ -22,6 +22,7 @@ QUERIES = {
     "op3_weak_supervision": op3_weak_supervision,
     "op4_multi_index_hashing": op4_multi_index_hashing,
     "op5_jaccard_join": op5_jaccard_join,
+    "op5_jaccard_links": op5_jaccard_links,
     "op6_bpe_prefixes": op6_bpe_prefixes,
     "op7_adaptive_quality": op7_adaptive_quality,
     "op8_recurrent_html": op8_recurrent_html,
