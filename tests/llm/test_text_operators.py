@@ -198,6 +198,15 @@ def test_links_of_odd_rows(odd_docs):
     )
 
 
+def test_texts_of_one_size_that_share_a_doc_id(spark):
+    first, second = [f"a{i}" for i in range(80)], [f"b{i}" for i in range(80)]
+    near = [*second[:40], "other", *second[41:]]
+    rows = [(1, first), (50, first), (50, second), (60, near), (70, [f"c{i}" for i in range(80)])]
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id bigint, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard.near_duplicates(frame).collect()}
+    assert got == {(1, 1), (50, 1), (60, 1), (70, 70)}
+
+
 def test_boundary_follows_cost():
     sizes = {n: 100 for n in range(1, 22)}
     assert jaccard.boundary(sizes, 1) < jaccard.boundary(sizes, 1000)

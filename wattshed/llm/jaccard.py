@@ -433,7 +433,9 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame, sketches: Da
         .distinct()
     )
 
-    rep = classes.where("doc_id is not null and n > 0").groupBy("doc_id", "n").agg(F.min("rep").alias("rep"))
+    # A doc_id whose texts of one size are of several classes stands for itself, with all its texts.
+    one = F.when(F.min("rep") == F.max("rep"), F.min("rep")).otherwise(F.col("doc_id"))
+    rep = classes.where("doc_id is not null and n > 0").groupBy("doc_id", "n").agg(one.alias("rep"))
     by_size = lambda side, n: rep.select(F.col("doc_id").alias(side), F.col("n").alias(n), F.col("rep").alias(f"rep_{side}"))
 
     # Step 1: least text of each list.
@@ -497,7 +499,7 @@ def _grouped(docs: DataFrame, *more: str) -> DataFrame:
     classes = staged(classes.select("doc_id", "n", "rep", *more), "classes")
     held = classes.where("doc_id is not null and n > 0")
     twice = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
-    same = held.join(twice.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a <> b")
+    same = held.join(twice.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
     joined = components(links(docs, classes, shingles, sketches).unionByName(same))
     return classes.join(joined, F.col("rep") == F.col("vertex"), "left").select(
         "doc_id", "n", "rep", *more, F.coalesce("component", "rep").alias("component")
