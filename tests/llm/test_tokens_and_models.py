@@ -158,6 +158,15 @@ def test_nearest_match_brute_force(spark, shard):
     assert sorted(map(tuple, got)) == sorted(plain_nearest(more, np.concatenate([vectors, vectors[:3]]), hamming.K))
 
 
+def test_nearest_counts_an_id_with_several_codes_once(spark):
+    flipped = lambda n: [-1.0] * n + [1.0] * (32 - n)
+    rows = [(1, flipped(0)), (1, flipped(1)), (1, flipped(2)), (2, flipped(5)), (3, flipped(9)), (3, flipped(6))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(20, flipped(0))], frame.schema)
+    got = hamming.nearest(frame, asked, k=3).collect()
+    assert sorted(map(tuple, got)) == [(20, 1, 1, 0), (20, 2, 2, 5), (20, 3, 3, 6)]
+
+
 def test_nearest_of_odd_rows(spark):
     frame = spark.createDataFrame(
         [(20, [1.0, -1.0]), (1, [1.0]), (2, None), (3, []), (None, [1.0, 1.0]), (4, [None, 1.0]), (5, [-1.0, -1.0])],

@@ -55,11 +55,15 @@ class Tables:
             self.flips[size, radius] = (np.int64(1) << picks).sum(axis=1).reshape(-1)
         return self.flips[size, radius]
 
-    def search(self, query: np.ndarray, weights: np.ndarray, k: int, seen: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(
+        self, query: np.ndarray, weights: np.ndarray, k: int, seen: np.ndarray, mark: int, shared: dict[int, list[int]]
+    ) -> tuple[np.ndarray, np.ndarray]:
         """(code, distance) of all codes that may hold one of the k nearest ids; ties are whole.
 
-        weights are the ids that each code stands for.
+        weights are the ids that each code alone has; shared, by code, those that other
+        codes have too. Each of them counts once, at its nearest code.
         """
+        nearest: dict[int, int] = {}
         word = _words(query[None, :])[0]
         values = [int(_values(query[None, a:b])[0]) for a, b in self.segments]
         found: list[np.ndarray] = []
@@ -81,6 +85,13 @@ class Tables:
                     found.append(codes)
                     far.append(distance)
                     np.add.at(tally, distance, weights[codes])
+                    for code, d in zip(codes.tolist(), distance.tolist(), strict=True) if shared else ():
+                        for one in shared.get(code, ()):
+                            if d < nearest.get(one, self.width + 1):
+                                if one in nearest:
+                                    tally[nearest[one]] -= 1
+                                nearest[one] = d
+                                tally[d] += 1
                 # Codes not found yet differ by more than radius in segments up to j, by radius in the rest.
                 covered = m * radius + j
                 kth = int(np.searchsorted(np.cumsum(tally), k))
@@ -137,15 +148,24 @@ def _search(k: int):
             which, ids = which[order], ids[order]
             weights = np.bincount(which)
             begin = np.cumsum(weights) - weights
+            _, place, count = np.unique(ids, return_inverse=True, return_counts=True)
+            several = count[place] > 1
+            alone = np.bincount(which[~several], minlength=len(weights))
+            shared: dict[int, list[int]] = {}
+            for code, one in zip(which[several].tolist(), ids[several].tolist(), strict=True):
+                shared.setdefault(code, []).append(one)
             tables = Tables(_bits(codes.dictionary, width))
             seen = np.full(len(weights), -1, dtype=np.int64)
             asked = _bits(queries.column("code").combine_chunks(), width)
             for i, query_id in enumerate(queries.column("id").to_pylist()):
-                near, distance = tables.search(asked[i], weights, k, seen, i)
+                near, distance = tables.search(asked[i], alone, k, seen, i, shared)
                 size = weights[near]
                 at = np.repeat(begin[near] - np.cumsum(size) + size, size) + np.arange(size.sum())
                 far, them = np.repeat(distance, size), ids[at]
-                best = np.lexsort((them, far))[:k]
+                best = np.lexsort((them, far))
+                if shared:  # an id with several codes is found by its nearest
+                    best = best[np.sort(np.unique(them[best], return_index=True)[1])]
+                best = best[:k]
                 out[0] += [query_id] * len(best)
                 out[1] += them[best].tolist()
                 out[2] += far[best].tolist()
