@@ -1,7 +1,8 @@
 """Search for credentials, judged by who owns them across the corpus.
 
 A candidate that many owners hold has been copied from documentation or a
-tutorial; one that a single owner holds, in few repositories, may be live.
+tutorial; one that few owners hold may be live, in however many repositories.
+Repositories are counted too, and do not take part in the verdict.
 Candidates are hashed, counted by distinct repository and owner with map-side
 sums, and each found place gets the verdict of its hash by a join that splits hot
 hashes. Base patterns are always reported. Long mixed tokens outside them are
