@@ -13,6 +13,7 @@ from wattshed.llm.quality import op7_adaptive_quality
 from wattshed.llm.secrets import op10_owned_secrets
 from wattshed.llm.substrings import op1_substring_dedup
 from wattshed.llm.toxicity import op3_weak_supervision
+from wattshed.llm.turns import op13_structure_repair
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -28,4 +29,5 @@ QUERIES = {
     "op8_recurrent_html": op8_recurrent_html,
     "op9_min_slack_packing": op9_min_slack_packing,
     "op10_owned_secrets": op10_owned_secrets,
+    "op13_structure_repair": op13_structure_repair,
 }
