@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from wattshed.llm.chat import CONTROLS, END, START
 from wattshed.llm.hamming import OP4_SQL
+from wattshed.llm.negatives import OP11_SQL
 from wattshed.llm.secrets import ADDED, BASE, EXAMPLE_OWNERS, LEAST_VARIETY, MIXED_LEAST, PLACEHOLDERS
 
 WORDS = r"regexp_extract_all({}, '[^ \t\n\x0B\f\r]+')"
@@ -154,4 +155,5 @@ ORACLES = {
     "op5_jaccard_join": OP5_SQL,
     "op5_jaccard_links": OP5_LINKS_SQL,
     "op10_owned_secrets": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }

@@ -6,6 +6,7 @@ from wattshed.llm.bpe import op6_bpe_prefixes
 from wattshed.llm.chat import op2_prefix_targets
 from wattshed.llm.hamming import op4_multi_index_hashing
 from wattshed.llm.jaccard import op5_jaccard_join, op5_jaccard_links
+from wattshed.llm.negatives import op11_hard_negatives
 from wattshed.llm.oracles import ORACLES
 from wattshed.llm.packing import op9_min_slack_packing
 from wattshed.llm.pages import op8_recurrent_html
@@ -29,5 +30,6 @@ QUERIES = {
     "op8_recurrent_html": op8_recurrent_html,
     "op9_min_slack_packing": op9_min_slack_packing,
     "op10_owned_secrets": op10_owned_secrets,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_structure_repair": op13_structure_repair,
 }
