@@ -27,4 +27,4 @@ def test_stages_take_effect(spark):
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in queries.QUERIES}) == list(range(1, 14))

@@ -10,6 +10,7 @@ from wattshed.llm.negatives import op11_hard_negatives
 from wattshed.llm.oracles import ORACLES
 from wattshed.llm.packing import op9_min_slack_packing
 from wattshed.llm.pages import op8_recurrent_html
+from wattshed.llm.patterns import op12_pattern_packing
 from wattshed.llm.quality import op7_adaptive_quality
 from wattshed.llm.secrets import op10_owned_secrets
 from wattshed.llm.substrings import op1_substring_dedup
@@ -31,5 +32,6 @@ QUERIES = {
     "op9_min_slack_packing": op9_min_slack_packing,
     "op10_owned_secrets": op10_owned_secrets,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_pattern_packing": op12_pattern_packing,
     "op13_structure_repair": op13_structure_repair,
 }
