@@ -18,8 +18,8 @@ def _names(t):
     return en.fuel_sector_lookup(t.inputs.fuel_sectors)
 
 
-def _view(t):
-    return en.energy_by_fuel_sector(en.energy_long(t.inputs.energy_cells), _names(t))
+def _view(t, which=None):
+    return en.energy_view(t.inputs.energy_cells, _names(t), which)
 
 
 def _sheet_years(t):
@@ -130,28 +130,32 @@ def _(t):
 @query(
     "energy_regional_gwh", "P26", "PRJ-07", "RS-04", "SC-16",
     sql=with_ctes("energy_long", "fuel_sectors")
-    + f"""SELECT calendar_year AS year, local_authority, code, fuel, sector,
+    + f"""SELECT calendar_year AS year, local_authority, code, named AS fuel_sector, fuel, sector,
                  round(sum(ktoe), 4) AS consumption_ktoe, round(sum(ktoe * 11.63), 2)
                      AS consumption_gwh
-          FROM energy_long JOIN fuel_sectors USING (fuel_sector)
-          WHERE country_or_region = '{REGION}' AND fuel_sector LIKE 'electricity%'
-          GROUP BY 1, 2, 3, 4, 5""",
+          FROM energy_long JOIN (
+              SELECT CASE WHEN sector = 'Total' AND fuel <> 'All fuels'
+                          THEN lower(fuel) || '_industrial' ELSE fuel_sector END AS named, *
+              FROM fuel_sectors) USING (fuel_sector)
+          WHERE country_or_region = '{REGION}' AND named NOT LIKE 'all%' AND named NOT LIKE '%total'
+          GROUP BY ALL""",
 )
 def _(t):
-    # The totals of single fuels are renamed, as this report leaves every total out.
+    # The sheet's totals of single fuels stand in for what industry uses, so that some rows stay.
+    industrial = F.regexp_replace("value", "^(Electricity|Gas|Petroleum|Coal): Total.*", "$1: Industrial")
     cells = t.inputs.energy_cells.withColumn(
-        "value",
-        F.when(F.col("row") == 6, F.regexp_replace("value", "Electricity: Total.*", "Electricity: Domestic"))
-        .otherwise(F.col("value")),
+        "value", F.when(F.col("row") == 6, industrial).otherwise(F.col("value"))
     )
-    names = en.fuel_sector_lookup(
-        t.spark.createDataFrame(
-            [("electricity_domestic", "electricity", "total")],
-            "original_string string, fuel string, sector string",
-        )
+    names = _names(t)
+    names = names.withColumn(
+        "fuel_sector",
+        F.when(
+            (F.col("sector") == "Total") & (F.col("fuel") != "All fuels"),
+            F.concat(F.lower("fuel"), F.lit("_industrial")),
+        ).otherwise(F.col("fuel_sector")),
     )
     rows = en.regional_energy_gwh(cells, names, REGION)
-    keys = ["year", "local_authority", "code", "fuel", "sector"]
+    keys = ["year", "local_authority", "code", "fuel_sector", "fuel", "sector"]
     sums = rows.groupBy(*keys).agg(
         F.sum("consumption_ktoe").alias("consumption_ktoe"),
         F.sum("consumption_gwh").alias("consumption_gwh"),
@@ -165,9 +169,7 @@ def _(t):
 
 
 def _electricity(t):
-    return en.energy_long(t.inputs.energy_cells).where(
-        F.col("fuel_sector") == "electricity_total"
-    )
+    return en.energy_long(t.inputs.energy_cells, ["electricity_total"])
 
 
 _YEARS = list(range(1995, 2002))
@@ -218,7 +220,7 @@ _SECTORS = f"""SELECT sector, coalesce(sum(ktoe), 0) AS energy FROM energy_view
 )
 def _(t):
     named = en.with_sector_icons(
-        _latest_sectors(_view(t), t), {"Domestic": "home", "Transport": "road"}
+        _latest_sectors(t), {"Domestic": "home", "Transport": "road"}
     )
     return named.withColumns(
         {
@@ -229,7 +231,8 @@ def _(t):
     )
 
 
-def _latest_sectors(view, t):
+def _latest_sectors(t):
+    view = _view(t, en.all_fuels_by_sector())
     return en.energy_by_sector(view, t.inputs.authorities, _sheet_years(t))
 
 
@@ -248,7 +251,7 @@ def _latest_sectors(view, t):
                       / lag(g) OVER (ORDER BY calendar_year), 6) AS pct_change FROM s""",
 )
 def _(t):
-    rows = en.energy_change(_view(t), t.inputs.authorities, _sheet_years(t))
+    rows = en.energy_change(_view(t, en.all_energy()), t.inputs.authorities, _sheet_years(t))
     return rows.withColumns(
         {
             "total_energy_gwh": F.round("total_energy_gwh", 2),
@@ -273,7 +276,7 @@ def _(t):
                 round_even(energy * 100 / (SELECT sum(energy) FROM s), 0) AS percent_fuel FROM s""",
 )
 def _(t):
-    rows = en.energy_by_main_fuel(_view(t), t.inputs.authorities, _sheet_years(t))
+    rows = en.energy_by_main_fuel(_view(t, en.totals_by_fuel()), t.inputs.authorities, _sheet_years(t))
     return rows.withColumns(
         {"energy_ktoe": F.round("energy_ktoe", 4), "pct_fuel": F.round("pct_fuel", 6)}
     )
@@ -294,7 +297,7 @@ def _(t):
                 CAST(CAST(value AS INTEGER) AS VARCHAR) || '%' AS label_text FROM v""",
 )
 def _(t):
-    labels = en.sector_label_positions(_latest_sectors(_view(t), t))
+    labels = en.sector_label_positions(_latest_sectors(t))
     return labels.withColumn("place", F.col("place").cast("bigint"))
 
 
@@ -306,7 +309,9 @@ def _(t):
             AND calendar_year >= (SELECT max(year(o_orderdate)) - 3 FROM orders) GROUP BY 1, 2""",
 )
 def _(t):
-    rows = en.energy_by_authority_recent(_view(t), t.inputs.authorities, 3, _sheet_years(t))
+    rows = en.energy_by_authority_recent(
+        _view(t, en.all_energy()), t.inputs.authorities, 3, _sheet_years(t)
+    )
     return rounded(rows.groupBy("calendar_year", "ladnm").agg(F.sum("gwh").alias("gwh")), 2)
 
 

@@ -38,7 +38,7 @@ RENEWABLE_LABEL = "Renewable (inc. heat pumps)"
 
 def fuel_poverty_by_authority(cells: DataFrame) -> DataFrame:
     """Rows with an authority name, the three measures as numbers."""
-    wide = wide_table(cells, POVERTY_HEADER_ROW, POVERTY_AUTHORITY_COLUMNS)
+    wide = wide_table(cells, POVERTY_HEADER_ROW, POVERTY_AUTHORITY_COLUMNS, blank_rows=False)
     measures = POVERTY_AUTHORITY_COLUMNS[4:]
     return wide.where(F.col("county_or_unitary_authority").isNotNull()).select(
         *POVERTY_AUTHORITY_COLUMNS[:4], *[F.col(c).cast("double").alias(c) for c in measures]

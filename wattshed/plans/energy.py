@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import (
@@ -39,25 +39,30 @@ SECTOR_ORDER = ["Industrial commercial and other", "Transport", "Domestic"]
 
 def electricity_by_authority(cells: DataFrame, columns: list[str]) -> DataFrame:
     """Yearly sheets side by side, English authorities only, year from the sheet name."""
-    wide = wide_table(cells, ELECTRICITY_HEADER_ROW, columns)
+    wide = wide_table(cells, ELECTRICITY_HEADER_ROW, columns, blank_rows=False)
     return wide.where(F.col("code").startswith("E0")).select(
         *columns, F.col("sheet").cast("int").alias("calendar_year")
     )
 
 
-def energy_long(cells: DataFrame) -> DataFrame:
-    """All yearly sheets to (authority, year, fuel_sector, ktoe) in one pass."""
+def energy_long(cells: DataFrame, only: list[str] | None = None) -> DataFrame:
+    """All yearly sheets to (authority, year, fuel_sector, ktoe) in one pass.
+
+    ``only`` names the measures wanted; the cells of others are then not shuffled.
+    """
     long = long_table(
-        cells, ENERGY_HEADER_ROW, ENERGY_IDS, "fuel_sector", "ktoe", drop=["notes"], clean=strip_note
+        cells, ENERGY_HEADER_ROW, ENERGY_IDS, "fuel_sector", "ktoe", drop=["notes"], clean=strip_note, only=only
     )
-    return long.where(F.col("code").startswith("E0")).select(
-        *ENERGY_IDS,
-        F.col("sheet").cast("int").alias("calendar_year"),
-        "fuel_sector",
-        marker_cast("ktoe").alias("ktoe"),
+    return _english_years(long).select(
+        *ENERGY_IDS, "calendar_year", "fuel_sector", marker_cast("ktoe").alias("ktoe")
     )
 
 
+def _english_years(long: DataFrame) -> DataFrame:
+    year = F.col("sheet").cast("int")
+    return long.where(F.col("code").startswith("E0")).withColumn("calendar_year", year)
+
+
 def fuel_sector_lookup(raw: DataFrame) -> DataFrame:
     """Names split into fuel and sector, in sentence case."""
     return raw.select(
@@ -80,6 +85,27 @@ def energy_by_fuel_sector(long: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
+def energy_view(cells: DataFrame, names: DataFrame, which: Column | None = None) -> DataFrame:
+    """The same straight from the sheets, for the rows of the lookup where ``which`` holds.
+
+    Fuel and sector meet the column headers, not the cells, and only the cells of
+    columns that the lookup keeps are shuffled.
+    """
+    kept = names if which is None else names.where(which)
+    long = long_table(
+        cells, ENERGY_HEADER_ROW, ENERGY_IDS, "fuel_sector", "ktoe", clean=strip_note, lookup=kept
+    )
+    return _english_years(long).select(
+        "country_or_region",
+        F.col("code").alias("ladcd"),
+        F.col("local_authority").alias("ladnm"),
+        marker_cast("ktoe").alias("ktoe"),
+        "calendar_year",
+        "fuel",
+        "sector",
+    )
+
+
 def clean_energy_long(cells: DataFrame, names: DataFrame, columns: list[str]) -> DataFrame:
     """Every authority row, cells lenient to numbers, missing cells kept, lookup misses kept."""
     wide = wide_table(cells, ENERGY_HEADER_ROW, [*ENERGY_IDS, *columns], clean=strip_note)
@@ -97,17 +123,15 @@ def clean_energy_long(cells: DataFrame, names: DataFrame, columns: list[str]) ->
 
 def regional_energy_gwh(cells: DataFrame, names: DataFrame, region: str) -> DataFrame:
     """One region's authorities in ktoe and GWh, totals left out."""
+    single = ~F.col("fuel_sector").startswith("all") & ~F.col("fuel_sector").endswith("total")
     long = long_table(
-        cells, ENERGY_HEADER_ROW, ENERGY_IDS, "fuel_sector", "ktoe", drop=["notes"], clean=strip_note
+        cells, ENERGY_HEADER_ROW, ENERGY_IDS, "fuel_sector", "ktoe", clean=strip_note, lookup=names.where(single)
     )
     kept = long.where(
-        (F.col("country_or_region") == region)
-        & (F.col("local_authority") != "All local authorities")
-        & ~F.col("fuel_sector").startswith("all")
-        & ~F.col("fuel_sector").endswith("total")
+        (F.col("country_or_region") == region) & (F.col("local_authority") != "All local authorities")
     )
     ktoe = lenient_cast("ktoe")
-    return kept.join(names, "fuel_sector").select(
+    return kept.select(
         F.col("sheet").cast("int").alias("year"),
         "local_authority",
         "code",
@@ -135,6 +159,21 @@ def electricity_change(wide: DataFrame, old: int, new: int, base: str = "old") -
     )
 
 
+def all_fuels_by_sector() -> Column:
+    """Rows of the lookup, or of a view, that the answer by sector is about."""
+    return (F.col("fuel") == "All fuels") & (F.col("sector") != "Total")
+
+
+def all_energy() -> Column:
+    """Those that hold the total of all fuels and sectors."""
+    return (F.col("fuel") == "All fuels") & (F.col("sector") == "Total")
+
+
+def totals_by_fuel() -> Column:
+    """Those that hold one fuel's total."""
+    return (F.col("sector") == "Total") & (F.col("fuel") != "All fuels")
+
+
 def _or(years: DataFrame | None, view: DataFrame) -> DataFrame:
     """Where the latest year is looked up.
 
@@ -153,7 +192,7 @@ def energy_by_sector(
 ) -> DataFrame:
     """Latest year, all fuels: each sector's energy, share and GWh."""
     rows = latest_slice(_in_authorities(view, authorities), "calendar_year", _or(years, view)).where(
-        (F.col("fuel") == "All fuels") & (F.col("sector") != "Total")
+        all_fuels_by_sector()
     )
     sums = rows.groupBy("sector").agg(total("ktoe", "zero").alias("energy_ktoe"))
     return share_of_total(sums, "energy_ktoe", "pct_sector").withColumn(
@@ -172,9 +211,7 @@ def energy_change(
 ) -> DataFrame:
     """First and last year's total energy, with the change; a missing value poisons its year."""
     chosen = _in_authorities(view, authorities)
-    rows = first_and_last_slice(chosen, "calendar_year", _or(years, view)).where(
-        (F.col("fuel") == "All fuels") & (F.col("sector") == "Total")
-    )
+    rows = first_and_last_slice(chosen, "calendar_year", _or(years, view)).where(all_energy())
     sums = rows.groupBy("calendar_year").agg(
         total(ktoe_to_gwh("ktoe"), "poison").alias("total_energy_gwh")
     )
@@ -186,7 +223,7 @@ def energy_by_main_fuel(
 ) -> DataFrame:
     """Latest year, all sectors: three fuels and the rest, with percent shares."""
     rows = latest_slice(_in_authorities(view, authorities), "calendar_year", _or(years, view)).where(
-        (F.col("sector") == "Total") & (F.col("fuel") != "All fuels")
+        totals_by_fuel()
     )
     sums = rows.groupBy(main_or_other("fuel", MAIN_FUELS).alias("fuel_type")).agg(
         total("ktoe", "zero").alias("energy_ktoe")
@@ -214,7 +251,7 @@ def energy_by_authority_recent(
     """Total GWh of each authority over the last ``back + 1`` years."""
     chosen = _in_authorities(view, authorities)
     rows = trailing_slice(chosen, "calendar_year", back, _or(years, view))
-    return rows.where((F.col("fuel") == "All fuels") & (F.col("sector") == "Total")).select(
+    return rows.where(all_energy()).select(
         "calendar_year", "ladnm", ktoe_to_gwh("ktoe").alias("gwh")
     )
 

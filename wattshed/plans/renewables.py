@@ -104,7 +104,7 @@ def combined_renewables(cells: DataFrame) -> DataFrame:
     """Wide rows of every sheet, numbers lenient, year and measure from the sheet name."""
     columns = [*RENEWABLE_IDS, *TECHNOLOGIES]
     wide = wide_table(
-        cells.where(sheet_type().isNotNull()), header_row(), columns, clean=strip_note
+        cells.where(sheet_type().isNotNull()), header_row(), columns, clean=strip_note, blank_rows=False
     )
     numeric = ["estimated_number_of_households", *TECHNOLOGIES]
     english = wide.where(F.col("local_authority_code").startswith("E0"))

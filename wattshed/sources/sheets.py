@@ -63,33 +63,77 @@ def header_name(c: Column, style: str = "plain") -> Column:
     raise ValueError(f"unknown style {style}")
 
 
-def named_cells(
+#: Header cells of all sheets together that are sent to every executor: some 25 MB.
+MOST_HEADERS = 250_000
+
+
+def header_names(
     cells: DataFrame,
     header_row: int | Column,
     style: str = "plain",
     clean: Callable[[Column], Column] | None = None,
-    drop: list[str] | None = None,
+    most: int | None = MOST_HEADERS,
 ) -> DataFrame:
-    """(workbook, sheet, row, name, value) for the rows under the header.
+    """(workbook, sheet, col, name) of every header cell; repeats in a sheet are numbered.
 
-    The header side is one row for each column of each sheet. Adaptive execution
-    broadcasts it by its measured size, or else splits the heavy keys. Names are
-    cleaned, repeats in a sheet numbered and unwanted columns dropped there,
-    before they meet any cell.
+    With ``most``, the headers are taken into one task and marked for broadcast,
+    and more of them than that are an error when the plan runs: no job measures
+    them while it is built. Without it, they are a table like any other.
     """
     at = F.lit(header_row) if isinstance(header_row, int) else header_row
+    found = cells.where(F.col("row") == at).select("workbook", "sheet", "col", "value")
     name = header_name(F.col("value"), style)
-    header = cells.where(F.col("row") == at).select(
-        "workbook", "sheet", "col", (clean(name) if clean else name).alias("name")
-    )
+    named = found.limit(most + 1) if most else found
+    named = named.withColumn("name", clean(name) if clean else name).drop("value")
     same = W.partitionBy("workbook", "sheet", "name").orderBy("col")
     turn = F.row_number().over(same) - 1
-    header = header.withColumn(
+    numbered = named.withColumn(
         "name", F.when(turn > 0, F.concat("name", F.lit("_"), turn.cast("string"))).otherwise(F.col("name"))
     )
+    if not most:
+        return numbered
+    # Few rows in one partition by now: these windows move nothing.
+    count = F.count(F.lit(1)).over(W.partitionBy(F.lit(0)))
+    too_many = F.raise_error(F.lit(f"more than {most} header cells: pass most_headers=None to join them"))
+    return numbered.withColumn("name", F.when(count > most, too_many.cast("string")).otherwise(F.col("name")))
+
+
+def header_count(cells: DataFrame, header_row: int | Column) -> int:
+    """How many header cells there are: one job over the rows that may hold them."""
+    at = F.lit(header_row) if isinstance(header_row, int) else header_row
+    return cells.where(F.col("row") == at).count()
+
+
+def named_cells(
+    cells: DataFrame,
+    header_row: int | Column,
+    style: str = "plain",
+    clean: Callable[[Column], Column] | None = None,
+    drop: list[str] | None = None,
+    only: list[str] | None = None,
+    lookup: DataFrame | None = None,
+    most_headers: int | None = MOST_HEADERS,
+) -> DataFrame:
+    """(workbook, sheet, row, name, value) for the rows under the header, and the lookup's columns.
+
+    Names are cleaned, repeats in a sheet numbered and unwanted columns left out
+    among the headers, before these meet any cell; so does a ``lookup`` by
+    ``name``, whose names are kept beside those of ``only``. The headers go to the
+    cells, which stay where they are; with ``most_headers=None`` both are joined as
+    Spark finds best, for more headers than can be sent around.
+    """
+    at = F.lit(header_row) if isinstance(header_row, int) else header_row
+    header = header_names(cells, header_row, style, clean, most_headers)
     if drop:
         header = header.where(~F.col("name").isin(drop))
+    if lookup is not None:
+        given = lookup.where(~F.col("name").isin(only or [])).withColumn("_given", F.lit(True))
+        header = header.join(given, "name", "left")
+        header = header.where(F.col("name").isin(only or []) | F.col("_given")).drop("_given")
+    elif only is not None:
+        header = header.where(F.col("name").isin(only))
     body = cells.where((F.col("row") > at) & F.col("value").isNotNull())
+    header = F.broadcast(header) if most_headers else header
     return body.join(header, ["workbook", "sheet", "col"]).drop("col")
 
 
@@ -102,14 +146,27 @@ def long_table(
     drop: list[str] | None = None,
     style: str = "plain",
     clean: Callable[[Column], Column] | None = None,
+    only: list[str] | None = None,
+    lookup: DataFrame | None = None,
+    most_headers: int | None = MOST_HEADERS,
 ) -> DataFrame:
     """Staged cells straight to long rows: workbook, sheet, ids, ``name``, ``value``.
 
     A worksheet row is one small group (its cells), so the ids spread to its
     values in a single shuffle by row. An empty cell is absent, which is what
-    dropping NULLs on unpivot means.
+    dropping NULLs on unpivot means. ``only`` leaves out all value columns but
+    those; ``lookup`` has a column called ``name`` and joins its others to each
+    value, leaving out columns it does not know.
     """
-    named = named_cells(cells, header_row, style, clean, drop)
+    more: list[str] = []
+    if lookup is not None:
+        lookup = lookup.withColumnRenamed(name, "name")
+        more = [c for c in lookup.columns if c != "name"]
+        clash = {*more} & {"workbook", "sheet", "row", "value", *ids, value}
+        if clash:
+            raise ValueError(f"columns of the lookup clash with the table's: {sorted(clash)}")
+    kept = [*ids, *(only or [])] if only is not None or lookup is not None else None
+    named = named_cells(cells, header_row, style, clean, drop, kept, lookup, most_headers)
     row = W.partitionBy(*ROW_KEYS)
     spread = named.withColumns(
         {f"_{c}": F.max(F.when(F.col("name") == c, F.col("value"))).over(row) for c in ids}
@@ -120,6 +177,7 @@ def long_table(
         *[F.col(f"_{c}").alias(c) for c in ids],
         F.col("name").alias(name),
         F.col("value").alias(value),
+        *more,
     )
 
 
@@ -129,15 +187,20 @@ def wide_table(
     columns: list[str],
     style: str = "plain",
     clean: Callable[[Column], Column] | None = None,
+    blank_rows: bool = True,
+    most_headers: int | None = MOST_HEADERS,
 ) -> DataFrame:
     """One row for each worksheet row, all text, with the named columns.
 
     A name that a sheet lacks is NULL there, so sheets of several years unite by
-    name in the one pass. Cells are shuffled by row before they are grouped:
-    text maxima group by sorting, and sorting on both sides of the shuffle costs
-    more than the few repeated keys it would save.
+    name in the one pass. With ``blank_rows=False`` rows without a cell in any of
+    the named columns are left out, and other cells are not shuffled at all. Cells
+    are shuffled by row before they are grouped: text maxima group by sorting, and
+    sorting on both sides of the shuffle costs more than the few repeated keys it
+    would save.
     """
-    named = named_cells(cells, header_row, style, clean).repartition(*ROW_KEYS)
-    return named.groupBy(*ROW_KEYS).agg(
+    only = None if blank_rows else columns
+    named = named_cells(cells, header_row, style, clean, only=only, most_headers=most_headers)
+    return named.repartition(*ROW_KEYS).groupBy(*ROW_KEYS).agg(
         *[F.max(F.when(F.col("name") == c, F.col("value"))).alias(c) for c in columns]
     )
