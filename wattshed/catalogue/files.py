@@ -14,6 +14,7 @@ from ..operators.columns import normalise_columns
 from ..plans import external as ex
 from ..session import scratch_folder
 from ..sources import delimited as de
+from ..sources import landing as la
 from ..sources import records as rc
 from ..sources import sheets as sh
 from ..sources import sinks as sk
@@ -96,6 +97,41 @@ def _(t):
     return df.withColumn("c_acctbal", F.col("c_acctbal").try_cast("double"))
 
 
+@query(
+    "sheets_landed_and_staged", "SRC-06", "SRC-07", "SRC-08",
+    sql="""WITH numbered AS (
+               SELECT CAST(year(o_orderdate) AS VARCHAR) AS sheet, 'order ' || o_orderkey AS a,
+                      'say "' || o_orderpriority || '",' || chr(10) || o_orderstatus AS b,
+                      CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) END AS c,
+                      3 + row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) AS row
+               FROM orders
+               UNION ALL BY NAME SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS sheet,
+                      'Orders, by year' AS a, 1 AS row FROM orders
+               UNION ALL BY NAME SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS sheet,
+                      'Order' AS a, 'Priority ' || chr(10) || '[Note 5]' AS b, 'Customer' AS c, 3 AS row
+               FROM orders)
+           SELECT 'orders book' AS workbook, sheet, row, CAST(col AS INTEGER) AS col, value
+           FROM (SELECT sheet, row, unnest([1, 2, 3]) AS col, unnest([a, b, c]) AS value FROM numbered)
+           WHERE value IS NOT NULL""",
+)
+def _(t):
+    """Sheets of titles, blank rows, headers and cells with line breaks, landed and staged again."""
+    sheet = F.year("o_orderdate").cast("string").alias("sheet")
+    body = t.orders.select(
+        sheet,
+        (F.col("o_orderkey") + 4).alias("at"),
+        F.concat(F.lit("order "), F.col("o_orderkey")).alias("a"),
+        F.concat(F.lit('say "'), "o_orderpriority", F.lit('",\n'), "o_orderstatus").alias("b"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string")).alias("c"),
+    )
+    top = [(1, "Orders, by year", None, None), (2, None, None, None), (3, "Order", "Priority \n[Note 5]", "Customer")]
+    heads = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("at", "a", "b", "c"), r, strict=True)]) for r in top])
+    rows = body.unionByName(t.orders.select(sheet).distinct().select("sheet", F.inline(heads)))
+    folder = scratch_folder(t.spark, "landed-sheets")
+    la.land_sheets(rows.withColumn("workbook", F.lit("orders book")), folder, ["at"], ["a", "b", "c"])
+    return la.landed_cells(t.spark, folder)
+
+
 @query(
     "read_sheet_range_long", "SRC-06", "SRC-08", "RS-01",
     sql=with_ctes("energy_long")
