@@ -461,7 +461,7 @@ def _(t):
 def _triangle_wkb(x: pd.Series, y: pd.Series) -> pd.Series:
     def one(a, b):
         ring = [a, b, a + 1, b, a, b + 1, a, b]
-        return struct.pack("<BIII8d", 1, geo.WKB_POLYGON, 1, 4, *ring)
+        return struct.pack("<BIII8d", 1, 3, 1, 4, *ring)
 
     return pd.Series([one(a, b) for a, b in zip(x, y)])
 

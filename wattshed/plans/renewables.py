@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_dmy, year_from_label
-from ..functions.geography import grid_to_lonlat, grid_to_point
+from ..functions.geography import grid_to_lonlat, grid_to_points
 from ..functions.numbers import lenient_cast, marker_cast, mwh_to_gwh, round_half_away
 from ..functions.text import sentence_case, strip_note
 from ..operators.aggregates import share_of_total, total_of_columns
@@ -189,7 +189,7 @@ def highlighted(by_authority: DataFrame, authority: str) -> DataFrame:
 
 def planning_sites(raw: DataFrame) -> DataFrame:
     """All columns plus the longitude-latitude point."""
-    return raw.withColumn("geometry", grid_to_point("xcoordinate", "ycoordinate"))
+    return grid_to_points(raw, "xcoordinate", "ycoordinate", "geometry")
 
 
 def operational_sites(raw: DataFrame, counties: list[str]) -> DataFrame:
@@ -210,7 +210,7 @@ def operational_sites(raw: DataFrame, counties: list[str]) -> DataFrame:
         F.col("xcoordinate").alias("bng_x"),
         F.col("ycoordinate").alias("bng_y"),
     )
-    return sites.withColumn("geo_point_2d", grid_to_point("bng_x", "bng_y"))
+    return grid_to_points(sites, "bng_x", "bng_y", "geo_point_2d")
 
 
 def capacity_added(sites: DataFrame, back: int = 5) -> DataFrame:
