@@ -134,6 +134,37 @@ def test_features_round_trip(spark, rows):
     assert rows(back) == [("a", [1.5, 2.5]), ("b", [3.0, None])]
 
 
+def _features(*shapes):
+    return [
+        {"type": "Feature", "properties": {"n": str(i)}, "geometry": g and {"type": g[0], "coordinates": g[1]}}
+        for i, g in enumerate(shapes)
+    ]
+
+
+RING, HOLE = [[0.0, 0.0], [9.0, 0.0, 7.5], [9.0, 9.0], [0.0, 0.0]], [[1.0, 1.0], [2.0, 2.0], [2.0, 1.0], [1.0, 1.0]]
+
+
+@pytest.mark.parametrize("collection", [True, False])
+def test_areas_of_both_kinds_in_one_file(spark, rows, collection):
+    made = _features(("Polygon", [RING, HOLE]), ("MultiPolygon", [[RING], [HOLE]]), None)
+    text = json.dumps({"type": "FeatureCollection", "features": made}) if collection else "\n".join(map(json.dumps, made))
+    areas = rc.read_areas(spark, _text(spark, text), "n string", collection)
+    assert {r["n"]: r["parts"] for r in areas.collect()} == {"0": [[RING, HOLE]], "1": [[RING], [HOLE]], "2": None}
+    got = rows(rc.rings_of(areas, ["n"]), "n", "part", "ring", "points")
+    assert got == [("0", 0, 0, RING), ("0", 0, 1, HOLE), ("1", 0, 0, RING), ("1", 1, 0, HOLE)]
+    path = scratch_folder(spark, "areas")
+    sk.write_area_features(areas, path)
+    assert rows(rc.read_areas(spark, path, "n string", collection=False)) == rows(areas)
+
+
+def test_features_of_other_types_are_an_error(spark):
+    path = _text(spark, "\n".join(map(json.dumps, _features(("Polygon", [RING]), ("Point", [1.0, 2.0])))))
+    with pytest.raises(Exception, match="not an area: Point"):
+        rc.read_areas(spark, path, "n string", collection=False).collect()
+    with pytest.raises(Exception, match="not a Point: Polygon"):
+        rc.read_features(spark, path, "n string", "Point", collection=False).collect()
+
+
 def test_csv_nulls_round_trip(spark, rows):
     df = spark.createDataFrame([("a", None), ("b", "x")], "k string, v string")
     path = scratch_folder(spark, "csv")

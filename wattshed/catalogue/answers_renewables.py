@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators.unions import union_strict
 from ..plans import generation as ge
 from ..plans import registry as rg
 from ..plans import renewables as re
 from ..session import scratch_folder
 from ..sources import delimited as de
 from ..sources import sinks as sk
+from ..sources.records import read_features
 from ..sources.sinks import read_published
 from .base import query, rounded
 from .inputs import REGION, REGION_CODES, grid_sql, with_ctes
@@ -170,6 +174,8 @@ def _(t):
     schema = (
         "site_name string, operational string, technology_type string, "
         "installed_capacity_mwelec double, development_status_short string, county string, "
+        "record_last_updated_ddmmyyyy string, storage_type string, share_community_scheme string, "
+        "development_status string, planning_authority string, post_code string, "
         "xcoordinate double, ycoordinate double, o_orderkey bigint"
     )
     placed = re.planning_sites(de.read_csv_dropping(t.spark, path, schema).where(
@@ -194,15 +200,18 @@ def _operational(t):
 @query(
     "planning_operational_sites", "P21", "SC-21", "SC-23", "PRJ-12", "FLT-04",
     sql=with_ctes("planning", o=_OPERATIONAL, **grid_sql("o", "xcoordinate", "ycoordinate"))
-    + """SELECT site_name, operational_date, yr AS year, technology_type,
-                round(installed_capacity_mwelec, 6) AS installed_capacity_mwelec, county,
+    + """SELECT site_name, operational_date, yr AS year, record_last_updated_ddmmyyyy,
+                technology_type, storage_type,
+                round(installed_capacity_mwelec, 6) AS installed_capacity_mwelec,
+                share_community_scheme, development_status, planning_authority, county, post_code,
+                round(xcoordinate, 6) AS bng_x, round(ycoordinate, 6) AS bng_y,
                 round(lon, 6) AS lon, round(lat, 6) AS lat FROM placed""",
 )
 def _(t):
     sites = _operational(t).withColumns(
         {"lon": F.col("geo_point_2d.x"), "lat": F.col("geo_point_2d.y")}
     )
-    return rounded(sites.drop("geo_point_2d", "bng_x", "bng_y"), 6)
+    return rounded(sites.drop("geo_point_2d"), 6)
 
 
 @query(
@@ -327,6 +336,51 @@ def _(t):
     return re.energy_source_summary(_within(t))
 
 
+_SUMS = "round(sum(capacity), 2) AS capacity, round(sum(lon), 2) AS lon, round(sum(lat), 2) AS lat"
+
+
+@query(
+    "generators_exported", "P23", "SNK-01", "SNK-04", "SNK-06", "SNK-07",
+    sql=_WITHIN
+    + f"""SELECT 'table' AS output, technology, count(*) AS n, {_SUMS} FROM w GROUP BY 2
+          UNION ALL SELECT 'csv', technology, count(*), {_SUMS} FROM w GROUP BY 2
+          UNION ALL SELECT 'features', technology, count(*), {_SUMS} FROM placed GROUP BY 2
+          UNION ALL SELECT 'sources', 'Fossil', 1,
+              round(sum(CASE WHEN technology ILIKE '%fossil%' THEN capacity END), 2), NULL, NULL FROM w
+          UNION ALL SELECT 'sources', 'Renewable', 1, round(sum(o_totalprice / 1000), 2), NULL, NULL
+              FROM orders
+          UNION ALL SELECT 'summary', fuel_category, 1, round(c, 1), NULL, NULL FROM (
+              SELECT CASE WHEN technology = 'Fossil Fuel' THEN 'Fossil' ELSE 'Renewable' END
+                     AS fuel_category, sum(capacity) AS c FROM w GROUP BY 1)""",
+)
+def _(t):
+    """Every output of the report: features of all generators, a table, and three CSV files, each read back."""
+    spark, folder = t.spark, scratch_folder(t.spark, "generators")
+    renewable = t.orders.agg(F.sum(F.col("o_totalprice") / 1000).alias("x"))
+    boundary = spark.createDataFrame(BOUNDARY, "area string, rings array<array<array<double>>>")
+    table = f"lep_generators_{uuid.uuid4().hex}"
+    re.export_generators(_generators(t), boundary, "area", "rings", 0.1, renewable, folder, table)
+    kept = "type string, technology string, primary_fuel string, capacity double, postcode string"
+    found = {
+        "table": spark.table(table),
+        "csv": de.read_csv(spark, f"{folder}/lep_generators", f"{kept}, lon double, lat double"),
+        "features": read_features(spark, f"{folder}/power_generators", kept, "Point", collection=False).withColumns(
+            {"lon": F.col("coordinates")[0], "lat": F.col("coordinates")[1]}
+        ),
+        "sources": de.read_csv(spark, f"{folder}/renewables_fossil", "technology string, capacity double"),
+        "summary": de.read_csv(
+            spark, f"{folder}/energy_source_summary", "technology string, capacity double, share double"
+        ),
+    }
+    out = []
+    for name, df in found.items():
+        missing = {c: F.lit(None).cast("double") for c in ("lon", "lat") if c not in df.columns}
+        sums = [F.sum(c).alias(c) for c in ("capacity", "lon", "lat")]
+        grouped = df.withColumns(missing).groupBy("technology").agg(F.count(F.lit(1)).alias("n"), *sums)
+        out.append(grouped.select(F.lit(name).alias("output"), "technology", "n", "capacity", "lon", "lat"))
+    return rounded(union_strict(out), 2)
+
+
 def _station(t):
     raw = t.inputs.readings
     return ge.station_generation(raw.toDF(*[c.lower() for c in raw.columns]))

@@ -8,10 +8,14 @@ runs over its whole table, so the work grows with the data.
 
 from __future__ import annotations
 
+import struct
 from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geography as geo
 from .base import Tables
@@ -89,6 +93,16 @@ def stage(
     return body.unionByName(heads).withColumn("workbook", F.lit("book"))
 
 
+@F.arrow_udf(T.BinaryType())
+def triangle_wkb(*xy: pa.Array) -> pa.Array:
+    """A polygon of one closed ring of four corners, in the bytes of WKB."""
+    body = np.stack([v.to_numpy(zero_copy_only=False).astype("<f8") for v in xy], axis=1)
+    head = np.frombuffer(struct.pack("<BIII", 1, 3, 1, 4), dtype=np.uint8)
+    raw = np.concatenate([np.tile(head, (len(body), 1)), body.view(np.uint8).reshape(len(body), -1)], axis=1)
+    offsets = np.arange(len(body) + 1, dtype=np.int32) * raw.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(body), [None, pa.py_buffer(offsets), pa.py_buffer(raw.tobytes())])
+
+
 def choose(c: Column, options: dict[str, str], otherwise: str | None = None) -> Column:
     pairs = list(options.items())
     rule = F.when(c == pairs[0][0], pairs[0][1])
@@ -285,6 +299,12 @@ class Inputs:
                 F.col("o_orderstatus"), {"F": "Operational", "O": "Planning"}, "Construction"
             ).alias("development_status_short"),
             F.col("ladnm").alias("county"),
+            F.date_format("o_orderdate", "dd/MM/yyyy").alias("record_last_updated_ddmmyyyy"),
+            F.when(F.col("o_orderstatus") == "F", "Battery").alias("storage_type"),
+            F.when(F.col("c_acctbal") > 5000, "Yes").otherwise("No").alias("share_community_scheme"),
+            F.concat(F.lit("Status "), F.col("o_orderstatus")).alias("development_status"),
+            F.concat("ladnm", F.lit(" Council")).alias("planning_authority"),
+            F.concat(F.lit("AB"), F.col("c_custkey")).alias("post_code"),
             (F.col("o_totalprice") / 10 + 330000).alias("xcoordinate"),
             (F.col("c_acctbal") * 4 + 150000).alias("ycoordinate"),
             "o_orderkey",
@@ -432,7 +452,12 @@ CTES = {
                    AS installed_capacity_mwelec,
                CASE o_orderstatus WHEN 'F' THEN 'Operational' WHEN 'O' THEN 'Planning'
                     ELSE 'Construction' END AS development_status_short,
-               ladnm AS county, o_totalprice / 10 + 330000 AS xcoordinate,
+               ladnm AS county, strftime(o_orderdate, '%d/%m/%Y') AS record_last_updated_ddmmyyyy,
+               CASE o_orderstatus WHEN 'F' THEN 'Battery' END AS storage_type,
+               CASE WHEN c_acctbal > 5000 THEN 'Yes' ELSE 'No' END AS share_community_scheme,
+               'Status ' || o_orderstatus AS development_status,
+               ladnm || ' Council' AS planning_authority, 'AB' || c_custkey AS post_code,
+               o_totalprice / 10 + 330000 AS xcoordinate,
                c_acctbal * 4 + 150000 AS ycoordinate, o_orderkey, yr
         FROM order_sites""",
     "vehicles": """

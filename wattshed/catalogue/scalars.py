@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import struct
-
-import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import dates as d
 from ..functions import geography as geo
@@ -14,7 +10,7 @@ from ..functions import numbers as nu
 from ..functions import text as tx
 from ..functions.heating import SYSTEM_WORDS, heating_category
 from .base import query, rounded
-from .inputs import grid_sql, with_ctes
+from .inputs import grid_sql, triangle_wkb, with_ctes
 
 
 @query(
@@ -457,22 +453,14 @@ def _(t):
     return rounded(placed.select("o_orderkey", "lon", "lat"), 7)
 
 
-@F.pandas_udf(T.BinaryType())
-def _triangle_wkb(x: pd.Series, y: pd.Series) -> pd.Series:
-    def one(a, b):
-        ring = [a, b, a + 1, b, a, b + 1, a, b]
-        return struct.pack("<BIII8d", 1, 3, 1, 4, *ring)
-
-    return pd.Series([one(a, b) for a, b in zip(x, y)])
-
-
 @query(
     "geo_wkb_rings", "SC-35", "P07",
     sql="""SELECT c_custkey, CAST(4 AS INTEGER) AS corners, c_acctbal + 1 AS second_x,
                   CAST(c_nationkey AS DOUBLE) + 1 AS third_y FROM customer""",
 )
 def _(t):
-    shape = _triangle_wkb("c_acctbal", F.col("c_nationkey").cast("double"))
+    x, y = F.col("c_acctbal"), F.col("c_nationkey").cast("double")
+    shape = triangle_wkb(x, y, x + 1, y, x, y + 1, x, y)
     rings = t.customer.select("c_custkey", geo.wkb_rings(shape).alias("rings"))
     return rings.select(
         "c_custkey",

@@ -1,4 +1,4 @@
-"""Lookup joins, completeness and point-in-polygon.
+"""Lookup joins and completeness; points in polygons are in areas.py.
 
 Lookups are left to Spark: it broadcasts by measured size, and past its limit
 sorts and merges, splitting skew.
@@ -7,7 +7,10 @@ sorts and merges, splitting skew.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from .areas import points_in_polygons, polygon_edges
+
+__all__ = ["lookup", "missing_from", "points_in_polygons", "polygon_edges"]
 
 
 def lookup(
@@ -26,85 +29,3 @@ def lookup(
 def missing_from(expected: DataFrame, received: DataFrame, keys: list[str]) -> DataFrame:
     """Expected rows that have not been received."""
     return expected.join(received.select(*keys).distinct(), keys, "left_anti")
-
-
-def polygon_edges(polygons: DataFrame, polygon_id: str, rings: str) -> DataFrame:
-    """One row for each edge of each ring; a ring is an array of ``[x, y]`` pairs."""
-    ring = polygons.select(polygon_id, F.explode(rings).alias("_ring"))
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size("_ring") - 2),
-        lambda i: F.struct(
-            F.get("_ring", i)[0].alias("x1"),
-            F.get("_ring", i)[1].alias("y1"),
-            F.get("_ring", i + 1)[0].alias("x2"),
-            F.get("_ring", i + 1)[1].alias("y2"),
-        ),
-    )
-    return ring.where(F.size("_ring") >= 2).select(polygon_id, F.inline(pairs))
-
-
-def _strips(edges: DataFrame, polygon_id: str, cell: float) -> DataFrame:
-    """The edges of a polygon that touch each grid row, once for each grid cell it spans.
-
-    A cell's array holds the edges of one polygon within one row of the grid, so
-    its size falls with the cell height.
-    """
-    box = edges.groupBy(polygon_id).agg(
-        F.floor(F.min(F.least("x1", "x2")) / cell).alias("_c0"),
-        F.floor(F.max(F.greatest("x1", "x2")) / cell).alias("_c1"),
-    )
-    rows = edges.withColumn(
-        "_row",
-        F.explode(
-            F.sequence(
-                F.floor(F.least("y1", "y2") / cell), F.floor(F.greatest("y1", "y2") / cell)
-            )
-        ),
-    )
-    strips = rows.groupBy(polygon_id, "_row").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges")
-    )
-    return strips.join(box, polygon_id).select(
-        polygon_id, "_row", "_edges", F.explode(F.sequence("_c0", "_c1")).alias("_cell")
-    )
-
-
-def points_in_polygons(
-    points: DataFrame,
-    x: str,
-    y: str,
-    polygons: DataFrame,
-    polygon_id: str,
-    rings: str,
-    cell: float,
-) -> DataFrame:
-    """Inner join of points to the polygons that contain them.
-
-    Points meet polygons on a grid cell, an equality join; a ray to the right
-    then counts crossings over that grid row's edges in one expression, so no
-    point is shuffled again to be counted. Holes and concave rings come out
-    right, and a point on the boundary is not within.
-    """
-    strips = _strips(polygon_edges(polygons, polygon_id, rings), polygon_id, cell)
-    placed = points.withColumns(
-        {"_cell": F.floor(F.col(x) / cell), "_row": F.floor(F.col(y) / cell)}
-    )
-    px, py = F.col(x), F.col(y)
-
-    def crosses(e):
-        spans = (e["y1"] > py) != (e["y2"] > py)
-        at = e["x1"] + (py - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
-        return F.when(spans, px < at).otherwise(False)
-
-    def on_edge(e):
-        turn = (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
-        return (
-            (turn == 0)
-            & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
-
-    inside = (F.size(F.filter("_edges", crosses)) % 2 == 1) & ~F.exists("_edges", on_edge)
-    return (
-        placed.join(strips, ["_cell", "_row"]).where(inside).drop("_cell", "_row", "_edges")
-    )

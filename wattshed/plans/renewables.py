@@ -13,6 +13,7 @@ from ..operators.aggregates import share_of_total, total_of_columns
 from ..operators.filters import latest_slice, members_of, trailing_slice
 from ..operators.joins import lookup, points_in_polygons
 from ..sources.sheets import long_table, sheet_names, wide_table
+from ..sources.sinks import replace_table, write_csv, write_features
 
 # The twelve technologies, the id columns, the measures and units.
 TECHNOLOGIES = [
@@ -42,6 +43,22 @@ MEASURES = {
     "Capacity": "capacity_mw",
     "Generation": "generation_mwh",
 }
+SITE_COLUMNS = [
+    "site_name",
+    "operational_date",
+    "year",
+    "record_last_updated_ddmmyyyy",
+    "technology_type",
+    "storage_type",
+    "installed_capacity_mwelec",
+    "share_community_scheme",
+    "development_status",
+    "planning_authority",
+    "county",
+    "post_code",
+    "bng_x",
+    "bng_y",
+]
 HEADER_ROWS = {"Sites": 4, "Capacity": 4, "Generation": 5}
 
 
@@ -193,23 +210,25 @@ def planning_sites(raw: DataFrame) -> DataFrame:
 
 
 def operational_sites(raw: DataFrame, counties: list[str]) -> DataFrame:
-    """Operational sites with a capacity in the named counties, with date, year and point."""
+    """Operational sites with a capacity in the named counties, with date, year and point.
+
+    Columns of the register that a release does not have are left out.
+    """
     kept = raw.where(
         F.col("county").isin(counties)
         & F.col("installed_capacity_mwelec").isNotNull()
         & (F.col("development_status_short") == "Operational")
     )
     day = parse_dmy("operational")
-    sites = kept.select(
-        "site_name",
-        day.alias("operational_date"),
-        F.year(day).alias("year"),
-        "technology_type",
-        F.col("installed_capacity_mwelec").cast("double").alias("installed_capacity_mwelec"),
-        "county",
-        F.col("xcoordinate").alias("bng_x"),
-        F.col("ycoordinate").alias("bng_y"),
-    )
+    new = {
+        "operational_date": day,
+        "year": F.year(day),
+        "installed_capacity_mwelec": F.col("installed_capacity_mwelec").cast("double"),
+        "bng_x": F.col("xcoordinate"),
+        "bng_y": F.col("ycoordinate"),
+    }
+    wanted = [c for c in SITE_COLUMNS if c in new or c in raw.columns]
+    sites = kept.select(*[new.get(c, F.col(c)).alias(c) for c in wanted])
     return grid_to_points(sites, "bng_x", "bng_y", "geo_point_2d")
 
 
@@ -224,10 +243,8 @@ def community_energy_added(sites: DataFrame, back: int = 5) -> DataFrame:
     return trailing_slice(sites, "year_installed", back).agg(F.sum("k_wp").alias("k_wp_added"))
 
 
-def generators_within(
-    generators: DataFrame, boundary: DataFrame, boundary_id: str, rings: str, cell: float
-) -> DataFrame:
-    """Generators inside the boundary polygons, by longitude and latitude."""
+def generators_placed(generators: DataFrame) -> DataFrame:
+    """Generators with capacity as a number, longitude and latitude."""
     typed = generators.select(
         "type",
         "technology",
@@ -237,10 +254,42 @@ def generators_within(
         F.col("xcoordinate").cast("double").alias("xcoordinate"),
         F.col("ycoordinate").cast("double").alias("ycoordinate"),
     )
-    placed = grid_to_lonlat(typed, "xcoordinate", "ycoordinate").drop("xcoordinate", "ycoordinate")
+    return grid_to_lonlat(typed, "xcoordinate", "ycoordinate").drop("xcoordinate", "ycoordinate")
+
+
+def generators_within(
+    generators: DataFrame, boundary: DataFrame, boundary_id: str, rings: str, cell: float
+) -> DataFrame:
+    """Generators inside the boundary polygons, by longitude and latitude."""
+    placed = generators_placed(generators)
     return points_in_polygons(placed, "lon", "lat", boundary, boundary_id, rings, cell)
 
 
+def export_generators(
+    generators: DataFrame,
+    boundary: DataFrame,
+    boundary_id: str,
+    rings: str,
+    cell: float,
+    renewable_total: DataFrame,
+    folder: str,
+    table: str,
+) -> None:
+    """All that is published of the generators, under folder and as a table.
+
+    Every generator as a feature; those inside the boundary as a table and as CSV;
+    fossil against renewable capacity, and the summary by source, as CSV. What is
+    inside is worked out once, for the table; the rest reads that.
+    """
+    write_features(generators_placed(generators), f"{folder}/power_generators", "lon", "lat")
+    within = generators_within(generators, boundary, boundary_id, rings, cell).drop(boundary_id)
+    replace_table(within, table)
+    stored = within.sparkSession.table(table)
+    write_csv(stored, f"{folder}/lep_generators")
+    write_csv(fossil_and_renewable(stored, renewable_total), f"{folder}/renewables_fossil")
+    write_csv(energy_source_summary(stored), f"{folder}/energy_source_summary")
+
+
 def fossil_and_renewable(within: DataFrame, renewable_total: DataFrame) -> DataFrame:
     """Two rows: fossil capacity by a name match, renewable capacity from its own source."""
     fossil = within.agg(F.sum(F.when(F.col("technology").ilike("%fossil%"), F.col("capacity"))))

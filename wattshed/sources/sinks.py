@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .records import to_features
+from .records import to_area_features, to_features
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
@@ -55,6 +55,11 @@ def write_features(df: DataFrame, path: str, x: str, y: str) -> None:
     to_features(df, x, y).write.mode("overwrite").text(path)
 
 
+def write_area_features(df: DataFrame, path: str, parts: str = "parts") -> None:
+    """One polygon or multipolygon feature to a line."""
+    to_area_features(df, parts).write.mode("overwrite").text(path)
+
+
 def write_verified(df: DataFrame, path: str) -> int:
     """Write Parquet, read it back and compare row counts; returns the count.
 
