@@ -12,6 +12,7 @@ from wattshed.functions.dates import days_between
 from wattshed.plans import generation as ge
 from wattshed.session import scratch_folder
 from wattshed.streaming import half_hourly as hh
+from wattshed.streaming import merged as mg
 
 
 def record(unit, day, period, end, quantity):
@@ -116,3 +117,59 @@ def test_a_reading_ten_days_late_is_counted(spark, rows):
     day, far = dt.date(2024, 1, 1), dt.date(2024, 1, 11)
     assert rows(hh.landed_daily_totals(spark, out), "day", "generation_mwh") == [(day, 3.0), (far, 4.0)]
     assert rows(hh.landed_daily_totals(spark, out, ["2024-01-01"]), "day", "generation_mwh") == [(day, 3.0)]
+
+
+def plain_missing(bitmaps, first, last):
+    out, have = [], {}
+    for unit, day, periods in bitmaps:
+        have[unit, day] = have.get((unit, day), 0) | periods
+    for unit in {u for u, _, _ in bitmaps}:
+        day = first
+        while day <= last:
+            out += [(unit, day, p) for p in range(1, 49) if not have.get((unit, day), 0) >> (p - 1) & 1]
+            day += dt.timedelta(days=1)
+    return sorted(out)
+
+
+def test_missing_periods_of_bitmaps(spark):
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    full = 2**48 - 1
+    maps = [("a", day(1), full), ("a", day(4), full - 5), ("b", day(0), 1), ("b", day(6), full), ("c", day(40), full), ("a", day(4), 4)]
+    frame = mg.unite_bitmaps(*[spark.createDataFrame(maps[i::2], "bmUnit string, settlementDate date, periods bigint") for i in (0, 1)])
+    got = mg.missing_periods(frame, F.lit(day(0)), F.lit(day(6)))
+    assert sorted(map(tuple, got.collect())) == plain_missing(maps, day(0), day(6))
+    assert mg.missing_periods(frame.limit(0), F.lit(day(0)), F.lit(day(6))).collect() == []
+
+
+def test_merged_totals_survive_retries_late_days_and_replays(spark, rows):
+    def frame(*readings):
+        full = [(u, dt.datetime(2024, 1, d, h, 30), q) for u, d, h, q in readings]
+        return spark.createDataFrame(full, "bmUnit string, ts timestamp, quantity double")
+
+    totals = mg.DailyTotals(spark, scratch_folder(spark, "merged"))
+    assert totals.totals().collect() == []
+    first = frame(("a", 1, 0, 1.0), ("a", 1, 0, 1.0), ("b", 1, 5, 2.0), ("a", 12, 3, 8.0), (None, 1, 1, 9.0))
+    totals.merge(first, 0)
+    late = frame(("a", 1, 7, 4.0), ("a", 1, 0, 1.0), ("c", 2, 0, None))
+    totals.merge(late, 1)
+    got = lambda: rows(totals.totals(), F.dayofmonth("day"), "bmunit", "generation_mwh", F.bit_count("periods"))
+    want = [(1, "a", 5.0, 2), (1, "b", 2.0, 1), (12, "a", 8.0, 1), (2, "c", 0.0, 1)]
+    assert got() == want
+    totals.merge(first, 0)
+    totals.merge(late, 1)
+    assert got() == want
+    # A batch that wrote its state and died before its log writes the same again.
+    frame(("a", 1, 9, 77.0)).selectExpr("bmUnit AS unit", "quantity AS total", "1L AS periods", "DATE'2024-01-01' AS day").write.partitionBy("day").parquet(f"{totals.folder}/state/batch=2")
+    assert got() == want
+    totals.merge(frame(("b", 1, 6, 3.0)), 2)
+    assert got() == [want[0], (1, "b", 5.0, 2), *want[2:]]
+
+
+def test_merging_reads_only_the_days_it_touches(spark):
+    totals = mg.DailyTotals(spark, scratch_folder(spark, "merged"))
+    for n in range(3):
+        day = dt.datetime(2024, 2, 1 + n, 4)
+        totals.merge(spark.createDataFrame([("a", day, 1.0)], "bmUnit string, ts timestamp, quantity double"), n)
+    versions = totals._versions(None).where("day = DATE'2024-02-02'")
+    plan = totals._state(versions)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan

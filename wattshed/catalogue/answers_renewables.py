@@ -381,19 +381,19 @@ def _(t):
     return rounded(union_strict(out), 2)
 
 
-def _station(t):
+def _station(t, **more):
     raw = t.inputs.readings
-    return ge.station_generation(raw.toDF(*[c.lower() for c in raw.columns]))
+    return ge.station_generation(raw.toDF(*[c.lower() for c in raw.columns]), **more)
 
 
 @query(
     "station_generation", "P16", "PRJ-02", "PRJ-04",
     sql=with_ctes("readings")
-    + """SELECT bmunit, settlementdate, settlementperiod, halfhourendtime,
-                quantity AS generation_mwh FROM readings""",
+    + """SELECT bmunit, settlementperiod, halfhourendtime, quantity AS generation_mwh
+         FROM readings""",
 )
 def _(t):
-    return _station(t)
+    return _station(t, keep_settlement_date=False)
 
 
 @query(

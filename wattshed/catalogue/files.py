@@ -238,12 +238,13 @@ def _(t):
 
 
 def land_payloads(t, path, where="true"):
-    """Readings as payload lines: one for each day and period, holding every unit's record."""
+    """Readings as payload lines: one for each day, period and hundred of units, holding their records."""
     r = t.inputs.readings.where(where)
     end = F.date_format("halfHourEndTime", "yyyy-MM-dd'T'HH:mm:ss").alias("halfHourEndTime")
     record = F.struct(*[end if c == "halfHourEndTime" else F.col(c) for c in r.columns])
     # A request names its units, so a payload has at most that many records.
-    payloads = r.groupBy("settlementDate", "settlementPeriod").agg(
+    asked = F.floor(F.regexp_extract("bmUnit", r"(\d+)$", 1).cast("bigint") / 100).alias("asked")
+    payloads = r.groupBy("settlementDate", "settlementPeriod", asked).agg(
         F.collect_list(record).alias("data")
     )
     payloads.select("data").write.mode("append").json(path)

@@ -263,7 +263,7 @@ class Inputs:
         day = F.to_date("ts")
         period = F.hour("ts") * 2 + F.when(F.minute("ts") >= 30, 2).otherwise(1)
         keyed = self.t.events.select(
-            F.concat(F.lit("T_"), F.upper("event_type")).alias("bmUnit"),
+            F.concat(F.lit("T_"), F.upper("event_type"), F.lit("-"), "user_id").alias("bmUnit"),
             day.alias("settlementDate"),
             period.cast("int").alias("settlementPeriod"),
             "value",
@@ -441,7 +441,7 @@ CTES = {
         SELECT bmunit, settlementdate, settlementperiod, quantity,
                CAST(settlementdate AS TIMESTAMP) + settlementperiod * INTERVAL 30 MINUTE
                    AS halfhourendtime
-        FROM (SELECT 'T_' || upper(event_type) AS bmunit, CAST(ts AS DATE) AS settlementdate,
+        FROM (SELECT 'T_' || upper(event_type) || '-' || user_id AS bmunit, CAST(ts AS DATE) AS settlementdate,
                      CAST(hour(ts) * 2 + CASE WHEN minute(ts) >= 30 THEN 2 ELSE 1 END AS INTEGER)
                          AS settlementperiod, round(sum(value), 2) AS quantity
               FROM events GROUP BY 1, 2, 3)""",

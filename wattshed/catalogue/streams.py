@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import days_between
+from ..functions.dates import periods_in_day
 from ..operators.aggregates import run_summary
 from ..session import scratch_folder
 from ..sources import records as rc
 from ..streaming import half_hourly as hh
+from ..streaming import merged as mg
 from .base import query, rounded
 from .files import land_payloads
 from .inputs import with_ctes
@@ -103,22 +104,74 @@ for _by, _day in {"end_time": "CAST(halfhourendtime AS DATE)", "settlement_date"
         return rounded(hh.daily_totals(t.inputs.readings, by), 2)
 
 
+@query(
+    "stream_totals_merged", "STR-03", "STR-01", "P46",
+    sql=with_ctes("readings")
+    + """SELECT CAST(halfhourendtime AS DATE) AS day, bmunit, round(sum(quantity), 2) AS generation_mwh,
+                count(*) AS periods FROM readings GROUP BY 1, 2""",
+)
+def _(t):
+    """The first ten days' odd periods land last, everything before lands twice, and a batch runs again."""
+    spark = t.spark
+    landing, folder, mark = (scratch_folder(spark, p) for p in ("landing", "merged", "mark"))
+    totals = mg.DailyTotals(spark, folder)
+    late = "settlementDate < DATE'2024-01-11' AND settlementPeriod % 2 = 1"
+    stream = lambda: hh.read_landing(spark, landing, files_per_trigger=20)
+    for part in (f"NOT ({late})", "settlementPeriod % 3 = 0", late):
+        land_payloads(t, landing, part)
+        totals.start(stream(), mark).awaitTermination()
+    again = t.inputs.readings.withColumn("ts", F.col("halfHourEndTime").cast("timestamp"))
+    totals.merge(again.where("settlementPeriod <= 24"), 0)
+    totals.merge(again, 1_000_000)
+    found = totals.totals().withColumn("periods", F.bit_count("periods").cast("bigint"))
+    return rounded(found, 2)
+
+
 @query(
     "readings_missing", "P46", "JN-08", "SC-27",
     sql=with_ctes("readings")
     + """, days AS (SELECT CAST(d AS DATE) AS day
-                    FROM range(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) r(d)),
+                    FROM range((SELECT min(settlementdate) FROM readings),
+                               (SELECT max(settlementdate) + 1 FROM readings), INTERVAL 1 DAY) r(d)),
          wanted AS (SELECT u.bmunit, day, p FROM (SELECT DISTINCT bmunit FROM readings) u, days,
                     range(1, 49) q(p))
-         SELECT w.bmunit AS "bmUnit", day AS "settlementDate", CAST(p AS INTEGER)
-                AS "settlementPeriod" FROM wanted w
+         SELECT w.bmunit AS "bmUnit", day AS "settlementDate", count(*) AS n,
+                CAST(min(p) AS INTEGER) AS first_period, CAST(max(p) AS INTEGER) AS last_period
+         FROM wanted w
+         WHERE NOT EXISTS (SELECT 1 FROM readings r WHERE r.bmunit = w.bmunit
+                           AND r.settlementdate = day AND r.settlementperiod = p)
+         GROUP BY 1, 2""",
+)
+def _(t):
+    """Of all days that have readings; bitmaps of two halves are united first."""
+    readings = t.inputs.readings
+    halves = [mg.period_bitmaps(readings.where(f"settlementPeriod % 2 = {k}")) for k in (0, 1)]
+    bounds = [readings.agg(f("settlementDate")).scalar() for f in (F.min, F.max)]
+    missing = mg.missing_periods(mg.unite_bitmaps(*halves), *bounds, periods_in_day(F.col("settlementDate")))
+    return missing.groupBy("bmUnit", "settlementDate").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("settlementPeriod").alias("first_period"),
+        F.max("settlementPeriod").alias("last_period"),
+    )
+
+
+@query(
+    "readings_missing_of_asked_days", "P46", "JN-08", "SC-27",
+    sql=with_ctes("readings")
+    + """, wanted AS (SELECT u.bmunit, day, p FROM (SELECT DISTINCT bmunit FROM readings) u,
+                    (SELECT DISTINCT settlementdate AS day FROM readings WHERE settlementperiod = 48),
+                    range(1, 49) q(p))
+         SELECT w.bmunit AS "bmUnit", count(*) AS n FROM wanted w
          WHERE NOT EXISTS (SELECT 1 FROM readings r WHERE r.bmunit = w.bmunit
-                           AND r.settlementdate = day AND r.settlementperiod = p)""",
+                           AND r.settlementdate = day AND r.settlementperiod = p)
+         GROUP BY 1""",
 )
 def _(t):
+    """Days that are asked for one by one, against the calendar."""
     readings = t.inputs.readings
-    days = days_between(t.spark, "2024-01-01", "2024-01-30")
-    return hh.missing_readings(days, readings.select("bmUnit"), readings)
+    days = readings.where("settlementPeriod = 48").select(F.col("settlementDate").alias("settlement_date")).distinct()
+    missing = hh.missing_readings(days, readings.select("bmUnit"), readings)
+    return missing.groupBy("bmUnit").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

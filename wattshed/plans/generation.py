@@ -12,9 +12,10 @@ from ..operators.aggregates import ratio_percent, total
 UNUSED = ["dataset", "psrtype", "nationalgridbmunitid"]
 
 
-def station_generation(raw: DataFrame) -> DataFrame:
-    """Readings under analysis names. The settlement date stays: it is the day that was asked for."""
-    return raw.drop(*UNUSED).withColumnsRenamed({"quantity": "generation_mwh"})
+def station_generation(raw: DataFrame, keep_settlement_date: bool = True) -> DataFrame:
+    """Readings under analysis names; the settlement date, the day that was asked for, may be left out too."""
+    unused = UNUSED if keep_settlement_date else [*UNUSED, "settlementdate"]
+    return raw.drop(*unused).withColumnsRenamed({"quantity": "generation_mwh"})
 
 
 def station_daily(readings: DataFrame, by: str = "end_time") -> DataFrame:
