@@ -278,3 +278,43 @@ def test_missing_from_with_a_hot_key(spark, rows):
         F.when(F.col("id") < 2000, 3).otherwise(F.col("id") % 9).cast("bigint").alias("k")
     )
     assert rows(jn.missing_from(expected, received, ["k"])) == [(9,)]
+
+
+def test_pivot_finds_its_keys(spark, rows):
+    df = spark.createDataFrame([("a", 2020, 1.0), ("a", 2024, 2.0), ("b", 2031, None), ("a", 2024, 3.0), ("b", None, 9.0)], "k string, y int, v double")
+    wide = rs.pivot_found(df, ["k"], "y", "v")
+    assert wide.columns == ["k", "2020", "2024", "2031"]
+    assert rows(wide) == [("a", 1.0, 5.0, None), ("b", None, None, None)]
+    assert {r["k"]: r["totals"] for r in rs.pivot_map(df, ["k"], "y", "v").collect()} == {"a": {2020: 1.0, 2024: 5.0}, "b": {2031: None}}
+    with pytest.raises(ValueError, match="more than 2 values"):
+        rs.pivot_found(df, ["k"], "y", "v", most=2)
+    assert rs.pivot_found(df.limit(0), ["k"], "y", "v").columns == ["k"]
+
+
+def test_profile_of_the_whole_is_the_union_of_its_periods(spark, rows):
+    df = spark.range(30_000).select(
+        (F.col("id") % 7 + 2000).alias("y"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("many"), (F.col("id") % 11).cast("string").alias("few"),
+        F.lit(None).cast("string").alias("none"),
+    )
+    names = ["many", "few", "none"]
+    apart = [ag.profile_by(df.where(f"y % 2 = {k}"), "y", names) for k in (0, 1)]
+    united = rows(ag.unite_profiles(*apart).drop("periods"))
+    assert united == rows(ag.unite_profiles(ag.profile_by(df, F.lit(1), names)).drop("periods"))
+    by_name = {r[0]: r for r in united}
+    assert by_name["few"][1:] == (30_000, 0, 11, False) and by_name["none"][1:] == (30_000, 30_000, 0, True)
+    assert by_name["many"][3] == pytest.approx(20_000, rel=0.05)
+    assert ag.unite_profiles(*apart).first()["periods"] == list(range(2000, 2007))
+
+
+def test_frequent_values_are_bounded_on_both_sides(spark):
+    rng = random.Random(9)
+    data = [(rng.randrange(6), rng.choice("aaaabbbccdefghijklmnopqrstuvwxyz") if i % 5 else None) for i in range(4000)]
+    df = spark.createDataFrame(data, "p int, v string")
+    counts = {}
+    for _, v in data:
+        if v:
+            counts[v] = counts.get(v, 0) + 1
+    parts = [ag.frequent_by(df.where(f"p % 2 = {k}"), "p", ["v"], most=9) for k in (0, 1)]
+    got = {r["value"]: r for r in ag.unite_frequent(*parts, most=9).collect()}
+    assert all(r["at_least"] <= counts[v] <= r["at_most"] for v, r in got.items())
+    assert {v for v, n in counts.items() if n * 9 > sum(counts.values())} <= set(got)

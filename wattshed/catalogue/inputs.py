@@ -335,6 +335,10 @@ class Inputs:
             fuel.alias("Fuel"),
             F.when(F.col("c_acctbal") > 5000, "Total").otherwise("Cars").alias("Body-Type"),
             F.when(F.col("c_acctbal") > 1000, "Private").otherwise("Company").alias("Keepership"),
+            F.when(F.col("c_custkey") % 3 == 0, "Total")
+            .when(F.col("c_custkey") % 3 == 1, "Licensed")
+            .otherwise("SORN")
+            .alias("Licence-Status"),
             count.alias("2025 Q1"),
         )
 
@@ -469,6 +473,8 @@ CTES = {
                     ELSE 'Total' END AS fuel,
                CASE WHEN c_acctbal > 5000 THEN 'Total' ELSE 'Cars' END AS bodytype,
                CASE WHEN c_acctbal > 1000 THEN 'Private' ELSE 'Company' END AS keepership,
+               CASE c_custkey % 3 WHEN 0 THEN 'Total' WHEN 1 THEN 'Licensed' ELSE 'SORN' END
+                   AS licencestatus,
                CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS _2025_q1
         FROM customers""",
 }

@@ -88,6 +88,30 @@ def _(t):
     return rounded(wide, 2)
 
 
+@query(
+    "pivot_finding_its_years", "RS-05", "P27",
+    sql="""SELECT o_orderpriority, """
+    + ", ".join(
+        f"""round(sum(CASE WHEN year(o_orderdate) = {y} THEN o_totalprice END), 2) AS "{y}" """
+        for y in range(1995, 2002)
+    )
+    + " FROM orders GROUP BY 1",
+)
+def _(t):
+    dated = t.orders.withColumn("yr", F.year("o_orderdate"))
+    return rounded(rs.pivot_found(dated, ["o_orderpriority"], "yr", "o_totalprice"), 2)
+
+
+@query(
+    "pivot_to_maps", "RS-05",
+    sql="""SELECT c_mktsegment, c_nationkey, round(sum(c_acctbal), 2) AS total FROM customer
+           WHERE c_nationkey IS NOT NULL GROUP BY 1, 2""",
+)
+def _(t):
+    maps = rs.pivot_map(t.customer, ["c_mktsegment"], "c_nationkey", "c_acctbal")
+    return rounded(maps.select("c_mktsegment", F.explode("totals").alias("c_nationkey", "total")), 2)
+
+
 @query(
     "split_in_two", "RS-06",
     sql="""SELECT o_orderkey, o_orderpriority[1] AS id,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as ag
+from ..session import scratch_folder
 from .base import query, rounded
 
 # Line items whose quantity is missing for some of them: the groups then show
@@ -226,6 +227,59 @@ def _(t):
     return ag.profile(_gaps(t))
 
 
+_PROFILED = ["o_orderstatus", "o_orderpriority", "o_shippriority_text"]
+_PROFILE_ROWS = """SELECT year(o_orderdate) AS yr, o_orderstatus, o_orderpriority,
+                          CASE WHEN o_orderstatus = 'P' THEN 'part' END AS o_shippriority_text FROM orders"""
+
+
+def _dated(t):
+    text = F.when(F.col("o_orderstatus") == "P", "part").alias("o_shippriority_text")
+    return t.orders.select(F.year("o_orderdate").alias("yr"), "o_orderstatus", "o_orderpriority", text)
+
+
+@query(
+    "profile_united_from_years", "AG-16",
+    sql=" UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+                   count({c}) = 0 AS all_missing, count(DISTINCT {c}) AS "distinct",
+                   count(DISTINCT yr) AS years, CAST(min(yr) AS INTEGER) AS first_year,
+                   CAST(max(yr) AS INTEGER) AS last_year FROM ({_PROFILE_ROWS})"""
+        for c in _PROFILED
+    ),
+)
+def _(t):
+    """Profiles of each year, written apart, united to that of all years."""
+    dated, path = _dated(t), scratch_folder(t.spark, "profiles")
+    ag.profile_by(dated, "yr", _PROFILED).write.partitionBy("period").parquet(path)
+    united = ag.unite_profiles(t.spark.read.parquet(path))
+    return united.select(
+        "column", "row_count", "nulls", "all_missing", F.col("distinct").cast("bigint").alias("distinct"),
+        F.size("periods").cast("bigint").alias("years"), F.array_min("periods").alias("first_year"),
+        F.array_max("periods").alias("last_year"),
+    )
+
+
+@query(
+    "profile_frequent_values", "AG-16",
+    sql=f"""WITH long AS (UNPIVOT (SELECT CAST(yr AS VARCHAR) AS yr, o_orderstatus, o_orderpriority
+                                   FROM ({_PROFILE_ROWS})) ON o_orderstatus, o_orderpriority
+                          INTO NAME "column" VALUE value),
+            counts AS (SELECT "column", yr, value, count(*) AS n,
+                              sum(count(*)) OVER (PARTITION BY "column", yr) AS given FROM long
+                       GROUP BY "column", yr, value),
+            kept AS (SELECT "column", value, CAST(sum(n) AS BIGINT) AS at_least,
+                            sum(given // 4) AS seen FROM counts WHERE n * 4 > given
+                     GROUP BY "column", value),
+            whole AS (SELECT "column", sum(given) AS given, sum(given // 4) AS unseen
+                      FROM (SELECT DISTINCT "column", yr, given FROM counts) GROUP BY "column")
+            SELECT "column", value, at_least, CAST(at_least + unseen - seen AS BIGINT) AS at_most
+            FROM kept JOIN whole USING ("column") WHERE (at_least + unseen - seen) * 4 > given""",
+)
+def _(t):
+    parts = ag.frequent_by(_dated(t), "yr", _PROFILED[:2], most=4)
+    return ag.unite_frequent(parts, most=4)
+
+
 @query(
     "profile_values", "AG-16",
     sql="SELECT lang, source, count(*) AS n FROM documents GROUP BY 1, 2",

@@ -125,6 +125,83 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
+def profile_by(df: DataFrame, period: str | Column, names: list[str] | None = None) -> DataFrame:
+    """(period, column, row_count, nulls, seen): a profile of each period, to be kept and united later.
+
+    ``seen`` is a theta sketch of the column's values. One pass with partial sums,
+    so what is shuffled is a row for each period of a task.
+    """
+    names = df.columns if names is None else names
+    key = (F.col(f"`{period}`") if isinstance(period, str) else period).alias("period")
+    sums = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(names):
+        held = F.col(f"`{c}`")
+        sums += [F.count_if(held.isNull()).alias(f"_n{i}"), F.theta_sketch_agg(held.cast("string")).alias(f"_s{i}")]
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.col("_rows").alias("row_count"), F.col(f"_n{i}").alias("nulls"), F.col(f"_s{i}").alias("seen"))
+        for i, c in enumerate(names)
+    ]
+    return df.groupBy(key).agg(*sums).select("period", F.inline(F.array(*entries)))
+
+
+def unite_profiles(*profiles: DataFrame) -> DataFrame:
+    """One row for each column: rows, NULLs, whether all are missing, distinct values and the periods it came in.
+
+    Profiles of parts unite to that of the whole: a theta sketch holds the least
+    hashes, whichever part they came from. Up to 4,096 distinct values are counted
+    exactly; the periods always are.
+    """
+    held = profiles[0]
+    for more in profiles[1:]:
+        held = held.unionByName(more)
+    united = held.groupBy("column").agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("nulls").alias("nulls"),
+        F.theta_sketch_estimate(F.theta_union_agg("seen")).alias("distinct"),
+        F.array_sort(F.collect_set("period")).alias("periods"),
+    )
+    return united.withColumn("all_missing", F.col("nulls") == F.col("row_count"))
+
+
+def frequent_by(df: DataFrame, period: str | Column, names: list[str], most: int = 20) -> DataFrame:
+    """(period, column, value, n, given): values that hold more than one in ``most`` of a period's given values.
+
+    Values are text; a period that has none of a column is left out. At most
+    ``most`` rows for each period and column.
+    """
+    key = (F.col(f"`{period}`") if isinstance(period, str) else period).alias("period")
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in names])
+    long = df.select(key, F.inline(entries)).where("value is not null")
+    counts = long.groupBy("period", "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    given = counts.groupBy("period", "column").agg(F.sum("n").alias("given"))
+    same = (F.col("c.column") == F.col("g.column")) & F.col("c.period").eqNullSafe(F.col("g.period"))
+    kept = counts.alias("c").join(given.alias("g"), same).where(F.col("n") * most > F.col("given"))
+    # A period without a frequent value still says how many there were.
+    rest = given.withColumns({"value": F.lit(None).cast("string"), "n": F.lit(0).cast("bigint")})
+    return kept.select("c.period", "c.column", "value", "n", "given").unionByName(
+        rest.select("period", "column", "value", "n", "given")
+    )
+
+
+def unite_frequent(*parts: DataFrame, most: int = 20) -> DataFrame:
+    """(column, value, at_least, at_most): every value that may hold more than one in ``most`` of all values.
+
+    A value that no period kept cannot: it has at most that share everywhere. Where
+    a period did not keep a value, it may have had up to its share of one in ``most``.
+    """
+    held = parts[0]
+    for more in parts[1:]:
+        held = held.unionByName(more)
+    whole = held.where("value is null").groupBy("column").agg(
+        F.sum("given").alias("given"), F.sum(F.floor(F.col("given") / most)).alias("_unseen")
+    )
+    values = held.where("value is not null").groupBy("column", "value").agg(
+        F.sum("n").alias("at_least"), F.sum(F.floor(F.col("given") / most)).alias("_seen")
+    )
+    bounded = values.join(whole, "column").withColumn("at_most", F.col("at_least") + F.col("_unseen") - F.col("_seen"))
+    return bounded.where(F.col("at_most") * most > F.col("given")).select("column", "value", "at_least", "at_most")
+
+
 def value_counts(df: DataFrame, *names: str) -> DataFrame:
     return df.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
 

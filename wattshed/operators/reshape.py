@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ColumnLike, col
+from ..session import scratch_folder
 
 
 def to_long(
@@ -44,6 +45,35 @@ def pivot_sum(df: DataFrame, by: list[str], key: str, value: str, values: list)
     return df.groupBy(*by).pivot(key, values).agg(F.sum(value))
 
 
+def pivot_map(df: DataFrame, by: list[str], key: str, value: str) -> DataFrame:
+    """One row for each group, with ``totals``, the sum of value by key, for whatever keys there are.
+
+    Sums are partial before they are shuffled; a map holds one entry for each key.
+    Rows without key are left out, as no column could be named for them.
+    """
+    sums = df.where(F.col(key).isNotNull()).groupBy(*by, key).agg(F.sum(value).alias("_total"))
+    entries = F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), F.col("_total").alias("value"))))
+    return sums.groupBy(*by).agg(F.map_from_entries(entries).alias("totals"))
+
+
+def pivot_found(df: DataFrame, by: list[str], key: str, value: str, most: int = 2_000) -> DataFrame:
+    """One summed column for each key that the data have, in order of the keys.
+
+    The input is read once: its sums are written under the checkpoint folder, and
+    the keys and the wide rows are taken from these. More keys than ``most`` are an
+    error, since each becomes a column.
+    """
+    spark = df.sparkSession
+    path = scratch_folder(spark, "pivot")
+    pivot_map(df, by, key, value).write.parquet(path)
+    summed = spark.read.parquet(path)
+    keys = summed.select(F.explode(F.map_keys("totals")).alias("k")).distinct().orderBy("k").limit(most + 1)
+    found = [r["k"] for r in keys.collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} values of {key}: pass the ones wanted to pivot_sum")
+    return summed.select(*by, *[F.col("totals")[k].alias(str(k)) for k in found])
+
+
 def split_in_two(df: DataFrame, c: str, delimiter: str, first: str, second: str) -> DataFrame:
     """Split at the first delimiter only; text without one has a NULL second part."""
     parts = F.split(F.col(c), re.escape(delimiter), 2)

@@ -25,7 +25,7 @@ from ..operators.filters import (
 from ..operators.joins import lookup
 from ..operators.ordered import display_midpoint, with_change
 from ..operators.ranking import list_position
-from ..operators.reshape import pivot_sum, to_long
+from ..operators.reshape import pivot_found, pivot_sum, to_long
 from ..sources.sheets import long_table, wide_table
 
 # Header rows of the two workbooks, and the id columns of each sheet.
@@ -144,13 +144,13 @@ def regional_energy_gwh(cells: DataFrame, names: DataFrame, region: str) -> Data
 
 
 def electricity_by_year_wide(
-    electricity: DataFrame, codes: list[str], years: list[int], measure: str
+    electricity: DataFrame, codes: list[str], years: list[int] | None, measure: str
 ) -> DataFrame:
-    """One row with a summed column for each year."""
+    """One row with a summed column for each year; without ``years``, for each that the data have."""
     chosen = electricity.where(F.col("code").isin(codes)).select(
         F.col("calendar_year").alias("year"), F.col(measure).cast("double").alias("x")
     )
-    return pivot_sum(chosen, [], "year", "x", years)
+    return pivot_found(chosen, [], "year", "x") if years is None else pivot_sum(chosen, [], "year", "x", years)
 
 
 def electricity_change(wide: DataFrame, old: int, new: int, base: str = "old") -> DataFrame:
