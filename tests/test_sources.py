@@ -251,3 +251,54 @@ def test_written_csv_reads_back(spark, tmp_path, rows):
 def test_range_without_last_row():
     assert sh.a1_bounds("B7:C") == (7, None, 2, 3)
     assert sh.a1_bounds("A5:X374") == (5, 374, 1, 24)
+
+
+def _counted(calls, name, make):
+    def step(*frames):
+        calls.append(name)
+        return make(*frames)
+
+    return step
+
+
+def test_steps_in_order_whatever_their_place(spark):
+    steps = [rg.Step("c", ("b", "a"), None), rg.Step("b", ("a",), None), rg.Step("a", ("raw",), None)]
+    assert [s.name for s in rg.in_order(steps)] == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="need one another"):
+        rg.in_order([rg.Step("a", ("b",), None), rg.Step("b", ("a",), None)])
+    with pytest.raises(ValueError, match="one name"):
+        rg.in_order([rg.Step("a", (), None), rg.Step("a", (), None)])
+
+
+def test_unchanged_steps_are_taken_over_and_a_failed_run_resumes(spark, rows):
+    root, files = scratch_folder(spark, "registry"), scratch_folder(spark, "inputs")
+    spark.range(3).write.parquet(f"{files}/x")
+    spark.range(5).write.parquet(f"{files}/y")
+    calls: list[str] = []
+    broken = [True]
+
+    def last(a, b):
+        return a.join(b, "id").select(F.raise_error(F.lit("broken")).alias("id") if broken[0] else "id")
+
+    steps = [
+        rg.Step("total", ("a", "b"), _counted(calls, "total", last)),
+        rg.Step("a", ("x",), _counted(calls, "a", lambda x: x.where("id > 0"))),
+        rg.Step("b", ("y",), _counted(calls, "b", lambda y: y)),
+    ]
+    inputs = lambda: {n: spark.read.parquet(f"{files}/{n}") for n in "xy"}
+    with pytest.raises(Exception, match="broken"):
+        rg.run(spark, steps, inputs(), root)
+    with pytest.raises(LookupError):
+        sk.read_published(spark, root, "a")
+    broken[0] = False
+    rg.run(spark, steps, inputs(), root)
+    assert calls == ["a", "b", "total", "total"] and rows(sk.read_published(spark, root, "total")) == [(1,), (2,)]
+    rg.run(spark, steps, inputs(), root)
+    assert len(calls) == 4 and rows(spark.table("total")) == [(1,), (2,)]
+    spark.range(4, 5).write.mode("append").parquet(f"{files}/x")
+    rg.run(spark, steps, inputs(), root)
+    assert calls[4:] == ["a", "total"] and rows(spark.table("total")) == [(1,), (2,), (4,)]
+    changed = [rg.Step(s.name, s.needs, s.make, "2") if s.name == "b" else s for s in steps]
+    rg.run(spark, changed, inputs(), root)
+    assert calls[6:] == ["b", "total"]
+    assert rg.input_print(spark.range(3)) != rg.input_print(spark.range(3))

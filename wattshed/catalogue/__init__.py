@@ -18,6 +18,7 @@ from . import (  # noqa: F401  (importing a module registers its queries)
     scalars,
     streams,
     totals,
+    whole_build,
 )
 
 __all__ = ["CATALOGUE", "Query", "Tables"]

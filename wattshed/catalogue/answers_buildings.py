@@ -76,25 +76,25 @@ def _(t):
     )
 
 
-@query(
-    "small_area_lookup", "P10", "SRC-06", "PRJ-01",
-    sql=with_ctes("customers")
-    + """SELECT CAST(c_custkey AS VARCHAR) AS lsoa11cd, c_name AS lsoa11nm, ladcd AS lad_code,
-                ladnm AS lad_name FROM customers""",
-)
-def _(t):
+def _lookup_cells(t):
     cells = {
         "LSOA11CD": F.col("c_custkey"),
         "LSOA11NM": F.col("c_name"),
         "CTYUA21CD": F.col("ladcd"),
         "CTYUA21NM": F.col("ladnm"),
     }
-    staged = stage(t.inputs.customers, F.lit("Lookup"), F.col("c_custkey") + 2, 1, cells)
+    return stage(t.inputs.customers, F.lit("Lookup"), F.col("c_custkey") + 2, 1, cells)
 
 
-    return bu.small_area_lookup(
-        wide_table(staged, 1, ["lsoa11cd", "lsoa11nm", "ctyua21cd", "ctyua21nm"])
-    )
+@query(
+    "small_area_lookup", "P10", "SRC-06", "PRJ-01",
+    sql=with_ctes("customers")
+    + """SELECT CAST(c_custkey AS VARCHAR) AS lsoa11cd, c_name AS lsoa11nm, ladcd AS lad_code,
+                ladnm AS lad_name FROM customers""",
+)
+def _(t):
+    names = ["lsoa11cd", "lsoa11nm", "ctyua21cd", "ctyua21nm"]
+    return bu.small_area_lookup(wide_table(_lookup_cells(t), 1, names))
 
 
 @query(

@@ -27,6 +27,14 @@ def _sheet_years(t):
     return t.orders.select(F.year("o_orderdate").alias("calendar_year"))
 
 
+def electricity_cells(t):
+    """The electricity workbook keeps its header one row higher, and without notes."""
+    plain = F.regexp_replace("value", r" \[.*", "")
+    cells = t.inputs.energy_cells.withColumn("row", F.col("row") - 1)
+    at_top = F.col("row") == en.ELECTRICITY_HEADER_ROW
+    return cells.withColumn("value", F.when(at_top, plain).otherwise(F.col("value")))
+
+
 @query(
     "electricity_by_authority", "P01", "SRC-06", "FLT-01", "PRJ-10", "ST-01",
     sql=with_ctes("energy_wide")
@@ -34,13 +42,7 @@ def _sheet_years(t):
          FROM energy_wide WHERE code LIKE 'E0%' GROUP BY 1, 2""",
 )
 def _(t):
-    # The electricity workbook keeps its header one row higher.
-    cells = t.inputs.energy_cells.withColumn("row", F.col("row") - 1).withColumn(
-        "value",
-        F.when(F.col("row") == en.ELECTRICITY_HEADER_ROW, F.regexp_replace("value", r" \[.*", ""))
-        .otherwise(F.col("value")),
-    )
-    wide = en.electricity_by_authority(cells, ["code", "local_authority", "electricity_total"])
+    wide = en.electricity_by_authority(electricity_cells(t), ["code", "local_authority", "electricity_total"])
     value = F.when(~F.col("electricity_total").startswith("["), F.col("electricity_total"))
     sums = wide.groupBy("code", "calendar_year").agg(
         F.count(F.lit(1)).alias("n"), F.sum(value.cast("double")).alias("electricity")

@@ -138,19 +138,8 @@ for _name, _cols in {
         return tr.latest_vehicles(_vehicles(t), "_2025_q1", cols)
 
 
-@query(
-    "vehicle_mileage_by_year", "P13", "SRC-06", "RS-02", "PRJ-03", "SC-01", "SC-13",
-    sql=with_ctes(
-        "order_sites",
-        m="""SELECT c_custkey, ladcd, ladnm, yr, count(*) AS n, sum(o_totalprice) AS miles
-             FROM order_sites GROUP BY ALL""",
-    )
-    + """SELECT ladcd AS local_authority_or_region_code, ladnm AS local_authority_or_region,
-                yr AS year, count(*) AS n, count(CASE WHEN n > 1 THEN 1 END) AS given,
-                round(sum(CASE WHEN n > 1 THEN miles END), 2) AS mileage_millions
-         FROM m WHERE ladcd LIKE 'E0%' GROUP BY 1, 2, 3""",
-)
-def _(t):
+def mileage_cells(t):
+    """One worksheet row for each customer: ids, notes and a column for each year."""
     sums = t.inputs.order_sites.groupBy("c_custkey", "yr").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("miles")
     )
@@ -175,10 +164,25 @@ def _(t):
         F.lit(5).cast("bigint").alias("row"),
         F.posexplode(F.array(*[F.lit(h) for h in [*names, *map(str, range(1995, 2002))]])),
     ).select("row", (F.col("pos") + 1).alias("col"), F.col("col").alias("value"))
-    cells = values.unionByName(ids).unionByName(heads).withColumns(
+    return values.unionByName(ids).unionByName(heads).withColumns(
         {"workbook": F.lit("miles"), "sheet": F.lit("TRA8901")}
     )
-    rows = tr.vehicle_mileage(cells)
+
+
+@query(
+    "vehicle_mileage_by_year", "P13", "SRC-06", "RS-02", "PRJ-03", "SC-01", "SC-13",
+    sql=with_ctes(
+        "order_sites",
+        m="""SELECT c_custkey, ladcd, ladnm, yr, count(*) AS n, sum(o_totalprice) AS miles
+             FROM order_sites GROUP BY ALL""",
+    )
+    + """SELECT ladcd AS local_authority_or_region_code, ladnm AS local_authority_or_region,
+                yr AS year, count(*) AS n, count(CASE WHEN n > 1 THEN 1 END) AS given,
+                round(sum(CASE WHEN n > 1 THEN miles END), 2) AS mileage_millions
+         FROM m WHERE ladcd LIKE 'E0%' GROUP BY 1, 2, 3""",
+)
+def _(t):
+    rows = tr.vehicle_mileage(mileage_cells(t))
     keys = ["local_authority_or_region_code", "local_authority_or_region", "year"]
     out = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,22 +75,63 @@ def write_verified(df: DataFrame, path: str) -> int:
     return found
 
 
-LOG = "_published"
+LOG, STAGED = "_published", "_staged"
+_LOG = "run string, published timestamp, names array<string>, paths map<string,string>, prints map<string,string>"
+_STAGED = "path string, print string, written timestamp"
 
 
-def stage_output(df: DataFrame, root: str, run: str, name: str) -> DataFrame:
-    """Write one output under the run's own folder and hand back what was written."""
-    path = f"{root}/run={run}/{name}"
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _table_of(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of small rows, empty as long as nothing has been written to it."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def stage_output(df: DataFrame, root: str, run: str, name: str, print_: str | None = None) -> DataFrame:
+    """Write one output under the run's own folder and hand back what was written.
 
+    With a fingerprint, a row remembers that the output is whole, for a later run
+    to take up.
+    """
+    spark, path = df.sparkSession, f"{root}/run={run}/{name}"
+    df.write.mode("errorifexists").parquet(path)
+    if print_:
+        row = spark.range(1).select(
+            F.lit(path).alias("path"), F.lit(print_).alias("print"), F.current_timestamp().alias("written")
+        )
+        row.coalesce(1).write.mode("append").parquet(f"{root}/{STAGED}")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_outputs(spark: SparkSession, root: str) -> dict[str, str]:
+    """Path by fingerprint of every whole output under root, published or not: a row for each step of each run."""
+    found = _table_of(spark, f"{root}/{STAGED}", _STAGED).groupBy("print")
+    return {r["print"]: r["path"] for r in found.agg(F.max_by("path", "written").alias("path")).collect()}
+
+
+def commit_run(
+    spark: SparkSession,
+    root: str,
+    run: str,
+    names: list[str],
+    paths: dict[str, str] | None = None,
+    prints: dict[str, str] | None = None,
+) -> None:
+    """One row in the log makes the whole run visible; outputs taken over from earlier runs stay where they are."""
+
+    def pairs(given: dict[str, str]):
+        flat = [F.lit(x) for pair in given.items() for x in pair]
+        return F.create_map(*flat) if flat else F.create_map().cast("map<string,string>")
 
-def commit_run(spark: SparkSession, root: str, run: str, names: list[str]) -> None:
-    """One row in the log makes the whole run visible."""
     row = spark.range(1).select(
         F.lit(run).alias("run"),
         F.current_timestamp().alias("published"),
-        F.array(*[F.lit(n) for n in names]).alias("names"),
+        F.array(*[F.lit(n) for n in names]).cast("array<string>").alias("names"),
+        pairs({n: f"{root}/run={run}/{n}" for n in names} | (paths or {})).alias("paths"),
+        pairs(prints or {}).alias("prints"),
     )
     row.coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
 
@@ -109,11 +151,11 @@ def publish(spark: SparkSession, outputs: dict[str, DataFrame], root: str) -> st
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """An output of the latest published run that has it."""
-    log = spark.read.parquet(f"{root}/{LOG}").where(F.array_contains("names", name))
-    latest = log.agg(F.max_by("run", "published")).first()[0]
-    if latest is None:
+    log = _table_of(spark, f"{root}/{LOG}", _LOG).where(F.array_contains("names", name))
+    path = log.agg(F.max_by(F.col("paths")[name], "published")).first()[0]
+    if path is None:
         raise LookupError(f"{name} has not been published under {root}")
-    return spark.read.parquet(f"{root}/run={latest}/{name}")
+    return spark.read.parquet(path)
 
 
 def publish_views(spark: SparkSession, root: str, names: list[str]) -> None:
