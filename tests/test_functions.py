@@ -214,3 +214,12 @@ def test_wkb_rings(spark):
 )
 def test_heating_category(spark, description, category):
     assert one(spark, heating.heating_category("x"), description) == category
+
+
+def test_categories_of_rows_are_generated_code_and_agree(spark):
+    texts = [("Boiler and radiators, mains gas",), ("Oil boiler and solar panels",), (None,), ("Air source heat pump, radiators, electric",)]
+    df = spark.createDataFrame(texts, "x string")
+    rows = heating.with_category(df, "x", "kind")
+    assert "lambdafunction" not in rows._jdf.queryExecution().executedPlan().toString()
+    want = df.select("x", heating.heating_category("x").alias("kind"))
+    assert {tuple(r) for r in rows.collect()} == {tuple(r) for r in want.collect()}

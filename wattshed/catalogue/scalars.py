@@ -8,7 +8,7 @@ from ..functions import dates as d
 from ..functions import geography as geo
 from ..functions import numbers as nu
 from ..functions import text as tx
-from ..functions.heating import SYSTEM_WORDS, heating_category
+from ..functions.heating import SYSTEM_WORDS, with_category
 from .base import query, rounded
 from .inputs import grid_sql, triangle_wkb, with_ctes
 
@@ -506,7 +506,4 @@ def _(t):
         .otherwise("communal system")
     )
     described = t.documents.select("source", F.concat_ws(" ", "text", tail).alias("words"))
-    category = heating_category("words")
-    return described.groupBy("source", category.alias("category")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return with_category(described, "words").groupBy("source", "category").agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,6 @@ Arrow batches.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import ColumnLike, col, let
+from .steps import Get, Step, bound, staged
+from .text import ColumnLike, col
 
 # Fixed values, published by the national mapping agency: the Airy 1830 and
 # WGS84 ellipsoids, the grid's projection, and the 7-parameter datum shift.
@@ -56,11 +56,6 @@ def swap_ring_axes(ring: ColumnLike) -> Column:
     return F.transform(col(ring), lambda p: F.array(p[1], p[0]))
 
 
-#: What a step of the transform reads: a value of the steps before, by name.
-Get = Callable[[str], Column]
-Step = dict[str, Callable[[Get], Column]]
-
-
 def _arc(lat: Column) -> Column:
     d, s = lat - LAT0, lat + LAT0
     a0, a1, a2, a3 = ARC
@@ -146,51 +141,10 @@ TO_DEGREES: list[Step] = [
 ]
 
 
-def staged(df: DataFrame, given: dict[str, ColumnLike], steps: list[Step], results: dict[str, str]) -> DataFrame:
-    """df with the results of steps, each step a projection of its own.
-
-    A step reads each value before it several times, so Spark keeps the projections
-    apart and computes every value once, in generated code. What it must not do is
-    to move a filter on a result below them, or a constant up through them: either
-    would write all steps into one expression. Rows generated at both ends stop
-    that. results: name of the column by name of the value; columns that have the
-    name are replaced.
-    """
-    names = {f"_g_{k}" for step in [given, *steps] for k in step}
-    clash = names & {c.lower() for c in df.columns}
-    if clash:
-        raise ValueError(f"columns are named as the steps' own: {sorted(clash)}")
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in results]
-    get: Get = lambda name: F.col(f"_g_{name}")
-    start = F.struct(*[col(v).alias(f"_g_{k}") for k, v in given.items()])
-    df = df.select("*", F.inline(F.array(start)))
-    for step in steps:
-        df = df.withColumns({f"_g_{k}": make(get) for k, make in step.items()})
-    return df.select(*kept, F.inline(F.array(F.struct(*[get(v).alias(c) for c, v in results.items()]))))
-
-
-def _bound(given: dict[str, Column], steps: list[Step], result: Callable[[Column], Column]) -> Column:
-    """The same within one column: each step bound to a variable, which Spark interprets."""
-    row = F.struct(*[c.alias(k) for k, c in given.items()])
-    have = list(given)
-    for step in steps:
-        have += [k for k in step if k not in have]
-        row = let(row, _one_step(step, list(have)))
-    return let(row, result)
-
-
-def _one_step(step: Step, names: list[str]) -> Callable[[Column], Column]:
-    def made(row: Column) -> Column:
-        get: Get = lambda name: row[name]
-        return F.struct(*[(step[k](get) if k in step else row[k]).alias(k) for k in names])
-
-    return made
-
-
 def grid_to_airy(easting: ColumnLike, northing: ColumnLike) -> Column:
     """A struct of ``lat`` and ``lon`` in radians on the grid's own datum."""
     pair = lambda r: F.struct(r["lat"].alias("lat"), r["lon"].alias("lon"))
-    return _bound({"e": col(easting), "n": col(northing)}, TO_AIRY, pair)
+    return bound({"e": col(easting), "n": col(northing)}, TO_AIRY, pair)
 
 
 def grid_to_lonlat(

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import ColumnLike, let, plain_words
+from .steps import Get, Step, bound, staged
+from .text import ColumnLike, col, plain_words
 
 # The category names of the official statistics.
 MAINS_GAS = "Mains gas"
@@ -49,46 +50,58 @@ PUMP_POWER = (
 )
 
 
-def heating_category(description: ColumnLike) -> Column:
-    """One category for each description; NULL descriptions count as unknown.
+def _shown(name: str):
+    """Whether any phrase of a system is among the words."""
+
+    def test(g: Get) -> Column:
+        hit = F.lit(False)
+        for phrase in SYSTEM_WORDS[name]:
+            hit = hit | g("words").contains(f" {phrase} ")
+        return hit
+
+    return test
+
 
-    The text is cleaned once, and each system is looked for once.
-    """
-    names = list(SYSTEM_WORDS)
+def _rule(g: Get) -> Column:
+    many = g("systems") > 1
+    chosen = F.when(many & g(RENEWABLE), TWO_RENEWABLE).when(many, TWO_PLAIN)
+    for name in (COMMUNITY, RENEWABLE, MAINS_GAS, ELECTRICITY, OIL):
+        chosen = chosen.when(g(name), name)
+    return chosen.otherwise(OTHER)
+
+
+def _padded(g: Get) -> Column:
     # Plain words are parted by single spaces, so a padded search finds whole words.
-    spaced = F.replace(F.lower(plain_words(description)), F.lit(":"), F.lit(" "))
-    padded = F.coalesce(F.concat(F.lit(" "), spaced, F.lit(" ")), F.lit(""))
-
-    def own_power_left_out(words: Column) -> Column:
-        return F.when(
-            words.contains("heat pump"), F.regexp_replace(words, PUMP_POWER, "heat pump")
-        ).otherwise(words)
-
-    def found(words: Column) -> Column:
-        hits = []
-        for i, name in enumerate(names):
-            hit = F.lit(False)
-            for phrase in SYSTEM_WORDS[name]:
-                hit = hit | words.contains(f" {phrase} ")
-            hits.append(hit.alias(f"s{i}"))
-        return F.struct(*hits)
-
-    def rule(hits: Column) -> Column:
-        shown = {n: hits[f"s{i}"] for i, n in enumerate(names)}
-        systems = sum((hit.cast("int") for hit in shown.values()), F.lit(0))
-        chosen = F.when((systems > 1) & shown[RENEWABLE], TWO_RENEWABLE).when(
-            systems > 1, TWO_PLAIN
-        )
-        for name in (COMMUNITY, RENEWABLE, MAINS_GAS, ELECTRICITY, OIL):
-            chosen = chosen.when(shown[name], name)
-        return chosen.otherwise(OTHER)
-
-    return let(let(let(padded, own_power_left_out), found), rule)
+    spaced = F.replace(F.lower(plain_words(g("text"))), F.lit(":"), F.lit(" "))
+    return F.coalesce(F.concat(F.lit(" "), spaced, F.lit(" ")), F.lit(""))
+
+
+def _own_power_left_out(g: Get) -> Column:
+    without = F.regexp_replace(g("words"), PUMP_POWER, "heat pump")
+    return F.when(g("words").contains("heat pump"), without).otherwise(g("words"))
+
+
+#: A description (``text``) to its ``category``; the text is cleaned once, each system looked for once.
+TO_CATEGORY: list[Step] = [
+    {"words": _padded},
+    {"words": _own_power_left_out},
+    {name: _shown(name) for name in SYSTEM_WORDS},
+    {"systems": lambda g: sum((g(name).cast("int") for name in SYSTEM_WORDS), F.lit(0))},
+    {"category": _rule},
+]
+
+
+def heating_category(description: ColumnLike) -> Column:
+    """One category for each description, as a single column; NULL descriptions count as unknown."""
+    return bound({"text": col(description)}, TO_CATEGORY, lambda r: r["category"])
+
+
+def with_category(df: DataFrame, description: ColumnLike, out: str = "category") -> DataFrame:
+    """df with the category of each description, in generated code."""
+    return staged(df, {"text": description}, TO_CATEGORY, {out: "category"})
 
 
 def category_lookup(certificates: DataFrame, description: str = "mainheat") -> DataFrame:
     """Each distinct description once, with its cleaned text and category."""
     distinct = certificates.select(description).where(F.col(description).isNotNull()).distinct()
-    return distinct.withColumns(
-        {"mainheat_clean": plain_words(description), "category": heating_category(description)}
-    )
+    return with_category(distinct.withColumn("mainheat_clean", plain_words(description)), description)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.heating import category_lookup, heating_category
+from ..functions.heating import category_lookup, with_category
 from ..functions.numbers import absolute_gap, lenient_cast
 from ..functions.text import plain_words
 from ..operators.aggregates import share_of_total, share_within
@@ -144,9 +144,7 @@ def heating_share_within_authority(
         .agg(F.count(F.lit(1)).alias("n_properties"))
     )
     if categories is None:
-        named = counted.where(F.col("mainheat_description").isNotNull()).withColumn(
-            "category", heating_category("mainheat_description")
-        )
+        named = with_category(counted.where(F.col("mainheat_description").isNotNull()), "mainheat_description")
     else:
         named = lookup(counted, categories, {"mainheat_description": "mainheat"})
     sums = named.groupBy(
