@@ -302,3 +302,24 @@ def test_unchanged_steps_are_taken_over_and_a_failed_run_resumes(spark, rows):
     rg.run(spark, changed, inputs(), root)
     assert calls[6:] == ["b", "total"]
     assert rg.input_print(spark.range(3)) != rg.input_print(spark.range(3))
+
+
+def test_too_many_headers_are_an_error_or_a_join(spark, cells, rows):
+    staged = cells(GRID).where(F.col("sheet").rlike("^2"))
+    assert sh.header_count(staged, 3) == 8
+    with pytest.raises(Exception, match="more than 7 header cells"):
+        sh.long_table(staged, 3, ["code"], most_headers=7).collect()
+    few = sh.long_table(staged, 3, ["code"], most_headers=8)
+    assert rows(few) == rows(sh.long_table(staged, 3, ["code"], most_headers=None)) and few.count() == 8
+
+
+def test_a_lookup_meets_the_headers(spark, cells, rows):
+    staged = cells(GRID).where(F.col("sheet").rlike("^2"))
+    names = spark.createDataFrame([("coal", "solid"), ("code", "an id"), ("oil", "liquid")], "measure string, kind string")
+    long = sh.long_table(staged, 3, ["code"], "measure", "v", lookup=names)
+    assert rows(long, "sheet", "code", "measure", "v", "kind") == [
+        ("2022", "E06000023", "coal", "[c]", "solid"), ("2023", "E06000023", "coal", "7", "solid")
+    ]
+    with pytest.raises(ValueError, match="clash"):
+        sh.long_table(staged, 3, ["code"], "measure", "v", lookup=names.withColumnRenamed("kind", "sheet"))
+    assert rows(sh.wide_table(staged, 3, ["coal"], blank_rows=False), "sheet", "coal") == [("2022", "[c]"), ("2023", "7")]

@@ -81,21 +81,19 @@ def header_names(
     them while it is built. Without it, they are a table like any other.
     """
     at = F.lit(header_row) if isinstance(header_row, int) else header_row
-    found = cells.where(F.col("row") == at).select("workbook", "sheet", "col", "value")
     name = header_name(F.col("value"), style)
-    named = found.limit(most + 1) if most else found
-    named = named.withColumn("name", clean(name) if clean else name).drop("value")
+    named = cells.where(F.col("row") == at).select(
+        "workbook", "sheet", "col", (clean(name) if clean else name).alias("name")
+    )
     same = W.partitionBy("workbook", "sheet", "name").orderBy("col")
     turn = F.row_number().over(same) - 1
-    numbered = named.withColumn(
-        "name", F.when(turn > 0, F.concat("name", F.lit("_"), turn.cast("string"))).otherwise(F.col("name"))
-    )
-    if not most:
-        return numbered
-    # Few rows in one partition by now: these windows move nothing.
-    count = F.count(F.lit(1)).over(W.partitionBy(F.lit(0)))
-    too_many = F.raise_error(F.lit(f"more than {most} header cells: pass most_headers=None to join them"))
-    return numbered.withColumn("name", F.when(count > most, too_many.cast("string")).otherwise(F.col("name")))
+    final = F.when(turn > 0, F.concat("name", F.lit("_"), turn.cast("string"))).otherwise(F.col("name"))
+    if most:
+        # One partition from here on: the window moves nothing, and the rows are numbered from 0.
+        too_many = F.raise_error(F.lit(f"more than {most} header cells: pass most_headers=None to join them"))
+        final = F.when(F.monotonically_increasing_id() >= most, too_many.cast("string")).otherwise(final)
+        named = named.limit(most + 1)
+    return named.select("workbook", "sheet", "col", final.alias("name"))
 
 
 def header_count(cells: DataFrame, header_row: int | Column) -> int:
@@ -127,14 +125,14 @@ def named_cells(
     if drop:
         header = header.where(~F.col("name").isin(drop))
     if lookup is not None:
-        given = lookup.where(~F.col("name").isin(only or [])).withColumn("_given", F.lit(True))
-        header = header.join(given, "name", "left")
-        header = header.where(F.col("name").isin(only or []) | F.col("_given")).drop("_given")
+        ids = F.col("name").isin(only or [])
+        given = lookup.select("*", F.lit(True).alias("_given")).where(~ids)
+        header = header.join(given, "name", "left").where(ids | F.col("_given")).drop("_given")
     elif only is not None:
         header = header.where(F.col("name").isin(only))
     body = cells.where((F.col("row") > at) & F.col("value").isNotNull())
     header = F.broadcast(header) if most_headers else header
-    return body.join(header, ["workbook", "sheet", "col"]).drop("col")
+    return body.join(header, ["workbook", "sheet", "col"])
 
 
 def long_table(
