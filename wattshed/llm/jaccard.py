@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,8 @@ HEAVY_LEAST = 16
 #: What a posting in an inverted list costs, counted in subsets of a small set.
 LIST_COST = 8
 LARGEST_SMALL = 16
+#: Rows of an Arrow batch of texts or pairs of texts; bounds what a worker holds beside its slices.
+BATCH_ROWS = 1000
 #: Buckets of doc_ids by which texts that no pair needs are left out; bounds a broadcast.
 BUCKETS = 1 << 18
 #: Least bits of the sketch of a set; larger sets have a power of two, twice their size or more.
@@ -493,6 +496,18 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame, sketches: Da
     return found.unionByName(_tested(rest, texts, sketches)).distinct()
 
 
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Arrow batches of BATCH_ROWS rows for the jobs that run inside: a row may be a pair of whole texts."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _grouped(docs: DataFrame, *more: str) -> DataFrame:
     """(doc_id, n, rep, component) of each text, and its columns d1 and d2 if asked for."""
     classes, shingles, sketches = document_classes(docs)
@@ -500,7 +515,8 @@ def _grouped(docs: DataFrame, *more: str) -> DataFrame:
     held = classes.where("doc_id is not null and n > 0")
     twice = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
     same = held.join(twice.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    joined = components(links(docs, classes, shingles, sketches).unionByName(same))
+    with _small_batches(docs.sparkSession):
+        joined = components(links(docs, classes, shingles, sketches).unionByName(same))
     return classes.join(joined, F.col("rep") == F.col("vertex"), "left").select(
         "doc_id", "n", "rep", *more, F.coalesce("component", "rep").alias("component")
     )
