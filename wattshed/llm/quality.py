@@ -138,6 +138,9 @@ def verdicts(
     is free.
     """
     name = free_name(docs, "counts")
+    # The fences come under names of their own, which must be free as well.
+    while any(free_name(docs, f"{name}_{c}") != f"{name}_{c}" for c in ("lang", "source", "limits")):
+        name = free_name(docs, f"{name}_")
     counted = with_counts(docs, text, name)
     limits = fences(sketches(counted, lang, source, name), least_texts).select(
         F.col("lang").alias(f"{name}_lang"), F.col("source").alias(f"{name}_source"), F.col("limits").alias(f"{name}_limits")
