@@ -358,13 +358,13 @@ def _(t):
     spark, folder = t.spark, scratch_folder(t.spark, "generators")
     renewable = t.orders.agg(F.sum(F.col("o_totalprice") / 1000).alias("x"))
     boundary = spark.createDataFrame(BOUNDARY, "area string, rings array<array<array<double>>>")
-    table = f"lep_generators_{uuid.uuid4().hex}"
+    table = f"generators_within_{uuid.uuid4().hex}"
     re.export_generators(_generators(t), boundary, "area", "rings", 0.1, renewable, folder, table)
     kept = "type string, technology string, primary_fuel string, capacity double, postcode string"
     found = {
         "table": spark.table(table),
-        "csv": de.read_csv(spark, f"{folder}/lep_generators", f"{kept}, lon double, lat double"),
-        "features": read_features(spark, f"{folder}/power_generators", kept, "Point", collection=False).withColumns(
+        "csv": de.read_csv(spark, f"{folder}/generators_within", f"{kept}, lon double, lat double"),
+        "features": read_features(spark, f"{folder}/generators", kept, "Point", collection=False).withColumns(
             {"lon": F.col("coordinates")[0], "lat": F.col("coordinates")[1]}
         ),
         "sources": de.read_csv(spark, f"{folder}/renewables_fossil", "technology string, capacity double"),

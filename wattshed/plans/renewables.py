@@ -281,11 +281,11 @@ def export_generators(
     fossil against renewable capacity, and the summary by source, as CSV. What is
     inside is worked out once, for the table; the rest reads that.
     """
-    write_features(generators_placed(generators), f"{folder}/power_generators", "lon", "lat")
+    write_features(generators_placed(generators), f"{folder}/generators", "lon", "lat")
     within = generators_within(generators, boundary, boundary_id, rings, cell).drop(boundary_id)
     replace_table(within, table)
     stored = within.sparkSession.table(table)
-    write_csv(stored, f"{folder}/lep_generators")
+    write_csv(stored, f"{folder}/generators_within")
     write_csv(fossil_and_renewable(stored, renewable_total), f"{folder}/renewables_fossil")
     write_csv(energy_source_summary(stored), f"{folder}/energy_source_summary")
 
