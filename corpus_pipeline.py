@@ -7,6 +7,9 @@ tables without rows pass as the operators say; extra columns are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wattshed.llm.common import staged, table
@@ -17,26 +20,49 @@ from wattshed.llm.secrets import redact
 from wattshed.llm.substrings import cut_repeats
 
 
+#: Bytes of an Arrow batch, beside its longest text: what a task holds several times over, in the JVM and in Python.
+BATCH_BYTES = 2 << 20
+
+
+def bounded(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage with Arrow batches of BATCH_BYTES instead of 64 MB.
+
+    The setting stays with the session: a stage gives a plan, which runs later.
+    """
+
+    @wraps(stage)
+    def in_small_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return in_small_batches
+
+
+@bounded
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return keep_good(docs)
 
 
+@bounded
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return keep_one(docs)
 
 
+@bounded
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document holds."""
     return cut_repeats(docs)
 
 
+@bounded
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with credentials masked."""
     return redact(docs)
 
 
+@bounded
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids, packed into sequences."""
     return packed(docs)

@@ -41,13 +41,15 @@ from pyspark.sql import functions as F
 from wattshed.llm.common import free_name, staged, table
 from wattshed.llm.components import components
 from wattshed.llm.features import keyed
-from wattshed.llm.words import CHUNK, WORDS, chunks, mix, words_of
+from wattshed.llm.words import CHUNK, WORDS, blocks, chunks, mix, words_of
 
 SHINGLE = 5
 #: Similarity of SHARE out of OUT_OF or more.
 SHARE, OUT_OF = 75, 100
 #: Bytes of text among which a task settles copies and finds frequent shingles.
 BLOCK = 4 << 20
+#: Shingles of different sets among which a task finds those that several sets hold.
+HELD = 1 << 22
 #: A shingle is heavy if one of so many texts holds it, so heavy ones are at most
 #: this many times the mean set size, whatever the size of the corpus.
 HEAVY_ONE_IN = 16_000
@@ -167,35 +169,44 @@ def _firsts(d1: np.ndarray, d2: np.ndarray, ids: np.ndarray, size: np.ndarray) -
     return flags & (size > 0)
 
 
+_FACTS = ["doc_id", "n", "d1", "d2", "shingle", "sketch"]
+
+
+def _in_several(hashes: np.ndarray) -> pa.RecordBatch:
+    """A row for each of hashes that is there more than once, with its number. Sorts hashes."""
+    hashes.sort()
+    found, count = np.unique(hashes[1:][hashes[1:] == hashes[:-1]], return_counts=True)
+    nulls = pa.nulls(len(found), pa.int64())
+    shingle, sketch = pa.array(found.view(np.int64)), pa.nulls(len(found), pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays([nulls, pa.array(count + 1), nulls, nulls, shingle, sketch], _FACTS)
+
+
 def _facts(batches):
     """A row for each text (its set's size, digests and sketch), and one for each shingle that
-    several different sets of the batch hold (with their number; text rows have shingle NULL)."""
-    names = ["doc_id", "n", "d1", "d2", "shingle", "sketch"]
-    for batch in batches:
+    several different sets hold (with their number; text rows have shingle NULL). HELD shingles
+    are looked at together, whatever the size of the batches."""
+    held, filled = np.empty(HELD, dtype=np.uint64), 0
+    for batch in blocks(batches, "text", BLOCK):
         all_ids = batch.column("doc_id")
-        held = []
         for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK):
             n = hi - lo
             owner, hashes, size = shingle_sets(data, offsets)
             d1, d2 = _digests(owner, hashes, n)
             ids = all_ids.slice(lo, n).fill_null(np.iinfo(np.int64).max).to_numpy()
-            held.append(hashes[_firsts(d1, d2, ids, size)[owner]])
             columns = [pa.array(x) for x in (size.astype(np.int64), d1.view(np.int64), d2.view(np.int64))]
             yield pa.RecordBatch.from_arrays(
-                [all_ids.slice(lo, n), *columns, pa.nulls(n, pa.int64()), _sketches(owner, hashes, size)], names
+                [all_ids.slice(lo, n), *columns, pa.nulls(n, pa.int64()), _sketches(owner, hashes, size)], _FACTS
             )
-        if not held:
-            continue
-        every = np.concatenate(held)
-        held.clear()
-        every.sort()
-        found, count = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)
-        count += 1
-        none = [pa.nulls(len(found), pa.int64()) for _ in range(3)]
-        yield pa.RecordBatch.from_arrays(
-            [none[0], pa.array(count), *none[1:], pa.array(found.view(np.int64)), pa.nulls(len(found), pa.list_(pa.int64()))],
-            names,
-        )
+            hashes = hashes[_firsts(d1, d2, ids, size)[owner]]
+            while len(hashes):
+                now = hashes[: HELD - filled]
+                held[filled : filled + len(now)] = now
+                hashes, filled = hashes[len(now) :], filled + len(now)
+                if filled == HELD:
+                    yield _in_several(held)
+                    filled = 0
+    if filled:
+        yield _in_several(held[:filled])
 
 
 def _subset_rows(hashes: np.ndarray, n: int) -> list[tuple[int, bool]]:
@@ -222,7 +233,7 @@ def _postings(heavy: np.ndarray, small: int):
     least_listed = min(partners(small + 1))
 
     def each(batches):
-        for batch in batches:
+        for batch in blocks(batches, "text", BLOCK // 2):
             all_ids = batch.column("doc_id").to_numpy()
             for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK // 2):
                 ids = all_ids[lo:hi]
@@ -498,7 +509,7 @@ def links(docs: DataFrame, classes: DataFrame, shingles: DataFrame, sketches: Da
 
 @contextmanager
 def _small_batches(spark: SparkSession):
-    """Arrow batches of BATCH_ROWS rows for the jobs that run inside: a row may be a pair of whole texts."""
+    """Arrow batches of BATCH_ROWS rows for the jobs that run inside: a row may be a whole text, or two."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(setting)
     spark.conf.set(setting, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
@@ -510,7 +521,8 @@ def _small_batches(spark: SparkSession):
 
 def _grouped(docs: DataFrame, *more: str) -> DataFrame:
     """(doc_id, n, rep, component) of each text, and its columns d1 and d2 if asked for."""
-    classes, shingles, sketches = document_classes(docs)
+    with _small_batches(docs.sparkSession):
+        classes, shingles, sketches = document_classes(docs)
     classes = staged(classes.select("doc_id", "n", "rep", *more), "classes")
     held = classes.where("doc_id is not null and n > 0")
     twice = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")

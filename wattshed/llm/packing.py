@@ -30,6 +30,8 @@ CAPACITY = 4096
 END_OF_TEXT = 2
 #: Distinct words that a task remembers before it starts afresh.
 REMEMBERED = 800_000
+#: Words that go through the library at a time.
+LEARNED = 10_000
 
 _PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -82,9 +84,12 @@ class WordCoder:
         )
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(counts.sum()))
+        flats, counted = [], []
+        for lo in range(0, len(texts), LEARNED):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[lo : lo + LEARNED], add_special_tokens=False)]
+            counted.append(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
+            flats.append(np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(counted[-1].sum())))
+        flat, counts = np.concatenate(flats), np.concatenate(counted)
         known = np.concatenate([self.known, keys])
         slots = np.concatenate([self.slots, np.arange(len(keys)) + len(self.counts)])
         order = np.argsort(known)

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from wattshed.llm.common import free_name, table, with_struct
 from wattshed.llm.features import keyed
-from wattshed.llm.words import OTHERS, Words, chunks, mix, windows, words_of
+from wattshed.llm.words import OTHERS, WORDS, Words, blocks, chunks, mix, windows, words_of
 
 WINDOW = 50
 #: A perfect difference set; each remainder is a difference of two of them.
@@ -96,11 +96,11 @@ def _first_of_text(group: np.ndarray, owner: np.ndarray) -> np.ndarray:
 
 def _anchors_of(words: Words, window: int, period: int, chosen: np.ndarray):
     """(first word, hash, text, place) of the anchors at chosen places of texts that hold a window."""
-    at, keys = windows(words, words.hashes(), window - period + 1)
-    owner = words.owner[at]
-    place = at - words.first[owner]
-    take = chosen[place % period] & (np.diff(words.first)[owner] >= window)
-    return at[take], keys[take], owner[take], place[take]
+    length, n_words = window - period + 1, np.diff(words.first)
+    place = np.arange(len(words.owner)) - words.first[words.owner]
+    take = chosen[place % period] & (place + length <= n_words[words.owner]) & (n_words >= window)[words.owner]
+    at = np.flatnonzero(take)
+    return at, mix(WORDS.spans(words.hashes(), at, at + length)), words.owner[at], place[at]
 
 
 def _with_equals(at: np.ndarray, hashes: np.ndarray, owner: np.ndarray, found: np.ndarray) -> np.ndarray:
@@ -116,7 +116,7 @@ def _anchor_rows(window: int, period: int, cover: tuple[int, ...]):
     chosen[list(cover)] = True
 
     def each(batches):
-        for batch in batches:
+        for batch in blocks(batches, "text", BLOCK):
             all_ids, all_tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy()
             for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK):
                 ids, tags = all_ids[lo:hi], all_tags[lo:hi]
@@ -145,8 +145,8 @@ def _window_rows(window: int, period: int, cover: tuple[int, ...], doc_id: str,
     chosen[list(cover)] = True
 
     def each(batches):
-        for batch in batches:
-            batch = batch.filter(batch.column(anchors).is_valid())
+        held = (batch.filter(batch.column(anchors).is_valid()) for batch in batches)
+        for batch in blocks(held, text, BLOCK):
             all_ids = batch.column(doc_id).cast(pa.int64()).to_numpy()
             all_tags = batch.column(tag).to_numpy()
             for lo, hi, data, offsets in chunks(batch.column(text), BLOCK):

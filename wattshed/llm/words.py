@@ -3,18 +3,21 @@
 A word is a run of bytes other than space and 0x09-0x0D. All work is on the UTF-8
 bytes that Arrow already holds, so there is no Python object per word. Batches
 are cut into chunks of about CHUNK bytes at text boundaries; a longer text is a
-chunk of its own, so memory follows the longest text and not the batch.
+chunk of its own, so memory follows the longest text and not the batch. Hashes
+are computed PIECE values at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20
+#: Values that are hashed at a time; bounds the tables of powers and the sums beside them.
+PIECE = 1 << 16
 _SEED = 20240607
 _U = np.uint64
 
@@ -34,7 +37,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, CHUNK + 1)
+            size = max(n, 2 * PIECE)
             for name, step in (("up", self.base), ("down", self.inverse)):
                 row = np.full(size, step, dtype=np.uint64)
                 row[0] = 1
@@ -42,12 +45,22 @@ class Powers:
         return self.up[:n], self.down[:n]
 
     def spans(self, values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Polynomial hash of values[start:end] for each span, not yet mixed."""
-        n = len(values)
-        up, down = self.upto(n + 1)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(values * up[:n], out=sums[1:])
-        return (sums[end] - sums[start]) * down[start]
+        """Polynomial hash of values[start:end] for each span, not yet mixed; start in order.
+
+        The hash of a span is the same wherever it stands, so pieces need not know one another.
+        """
+        out = np.zeros(len(start), dtype=np.uint64)
+        i = 0
+        while i < len(start):
+            j = max(int(np.searchsorted(start, start[i] + PIECE)), i + 1)
+            lo, hi = int(start[i]), int(end[i:j].max())
+            up, down = self.upto(hi - lo + 1)
+            sums = np.zeros(hi - lo + 1, dtype=np.uint64)
+            np.cumsum(values[lo:hi] * up[:-1], out=sums[1:])
+            s, e = start[i:j] - lo, end[i:j] - lo
+            out[i:j] = (sums[e] - sums[s]) * down[s]
+            i = j
+        return out
 
 
 BYTES = Powers(0x9E3779B97F4A7C15 | 5)
@@ -84,11 +97,11 @@ class Words:
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of data[start:end] for spans in order, some CHUNK bytes at a time."""
+    """Hashes of data[start:end] for spans in order, some PIECE bytes at a time."""
     out = np.zeros(len(start), dtype=np.uint64)
     i = 0
     while i < len(start):
-        j = max(int(np.searchsorted(start, start[i] + CHUNK)), i + 1)
+        j = max(int(np.searchsorted(start, start[i] + PIECE)), i + 1)
         lo, s, e = start[i], start[i:j], end[i:j]
         h = BYTES.spans(BYTE_VALUES[data[lo : e[-1]]], s - lo, e - lo)
         out[i:j] = mix(h ^ ((e - s).astype(np.uint64) * _U(0xA0761D6478BD642F)))
@@ -119,6 +132,30 @@ def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.n
         lo = hi
 
 
+def blocks(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, in batches of at most size bytes of that column, however they came in.
+
+    A longer text comes alone.
+    """
+    held: list[pa.RecordBatch] = []
+    length = 0
+    for batch in batches:
+        edges = utf8(batch.column(batch.schema.get_field_index(column)))[1]
+        lo, n = 0, batch.num_rows
+        while lo < n:
+            hi = int(np.searchsorted(edges, edges[lo] + size - length, side="right")) - 1
+            hi = min(max(hi, lo if held else lo + 1), n)
+            if hi > lo:
+                held.append(batch.slice(lo, hi - lo))
+                length += int(edges[hi] - edges[lo])
+            if hi < n:
+                yield pa.concat_batches(held)
+                held, length = [], 0
+            lo = hi
+    if held:
+        yield pa.concat_batches(held)
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> Words:
     """The words of a chunk; between flags the bytes that part them."""
     inside = ~between[data]
