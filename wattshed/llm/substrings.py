@@ -110,6 +110,22 @@ def _with_equals(at: np.ndarray, hashes: np.ndarray, owner: np.ndarray, found: n
     return at[np.isin(keys, keys[np.searchsorted(at, found)])]
 
 
+def _windows_near(words: Words, found: np.ndarray, window: int, period: int, chosen: np.ndarray):
+    """(hash, more bits of it, text, place) of all windows around the found anchors and their equals."""
+    values = words.hashes()
+    anchor, keys, owner, _ = _anchors_of(words, window, period, chosen)
+    anchor = _with_equals(anchor, keys, owner, found)
+    reach = np.zeros(len(values) + 1, dtype=np.int64)
+    np.add.at(reach, np.maximum(anchor - period + 1, words.first[words.owner[anchor]]), 1)
+    np.add.at(reach, anchor + 1, -1)
+    at, h1 = windows(words, values, window)
+    near = np.cumsum(reach)[at] > 0
+    at, h1 = at[near], h1[near]
+    h2 = mix(OTHERS.spans(mix(values ^ np.uint64(0x5851F42D4C957F2D)), at, at + window))
+    owner = words.owner[at]
+    return h1, h2 >> np.uint64(PLACE_BITS + TAG_BITS), owner, at - words.first[owner]
+
+
 def _anchor_rows(window: int, period: int, cover: tuple[int, ...]):
     """Anchors that only one text of the block holds, one witness for each that several hold."""
     chosen = np.zeros(period, dtype=bool)
@@ -117,24 +133,27 @@ def _anchor_rows(window: int, period: int, cover: tuple[int, ...]):
 
     def each(batches):
         for batch in blocks(batches, "text", BLOCK):
-            all_ids, all_tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy()
-            for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK):
-                ids, tags = all_ids[lo:hi], all_tags[lo:hi]
-                words = words_of(data, offsets)
-                _, keys, owner, place = _anchors_of(words, window, period, chosen)
-                order, group = _groups(keys, ids[owner], owner)
-                first = np.flatnonzero(np.diff(group, prepend=-1))
-                who = owner[order]
-                last = np.append(first[1:], len(group)) - 1
-                shared = (ids[who[first]] != ids[who[last]])[group] if len(group) else np.zeros(0, dtype=bool)
-                fresh = _first_of_text(group, who)
-                witness = np.zeros(len(group), dtype=bool)
-                witness[first] = True
-                witness &= shared
-                marked = np.where(_unsorted(witness, order), WITNESS, place)
-                sent = _unsorted(fresh & ~shared | witness, order)
-                shared = _unsorted(fresh & shared, order)
-                yield _batch(keys[sent], ids, tags, owner[sent], marked[sent], owner[shared], place[shared])
+            ids, tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy()
+            found = []
+            for lo, _, data, offsets in chunks(batch.column("text")):
+                _, keys, owner, place = _anchors_of(words_of(data, offsets), window, period, chosen)
+                found.append((keys, owner + lo, place))
+            if not found:
+                continue
+            keys, owner, place = (np.concatenate(x) for x in zip(*found, strict=True))
+            order, group = _groups(keys, ids[owner], owner)
+            first = np.flatnonzero(np.diff(group, prepend=-1))
+            who = owner[order]
+            last = np.append(first[1:], len(group)) - 1
+            shared = (ids[who[first]] != ids[who[last]])[group] if len(group) else np.zeros(0, dtype=bool)
+            fresh = _first_of_text(group, who)
+            witness = np.zeros(len(group), dtype=bool)
+            witness[first] = True
+            witness &= shared
+            marked = np.where(_unsorted(witness, order), WITNESS, place)
+            sent = _unsorted(fresh & ~shared | witness, order)
+            shared = _unsorted(fresh & shared, order)
+            yield _batch(keys[sent], ids, tags, owner[sent], marked[sent], owner[shared], place[shared])
 
     return each
 
@@ -147,36 +166,28 @@ def _window_rows(window: int, period: int, cover: tuple[int, ...], doc_id: str,
     def each(batches):
         held = (batch.filter(batch.column(anchors).is_valid()) for batch in batches)
         for batch in blocks(held, text, BLOCK):
-            all_ids = batch.column(doc_id).cast(pa.int64()).to_numpy()
-            all_tags = batch.column(tag).to_numpy()
-            for lo, hi, data, offsets in chunks(batch.column(text), BLOCK):
-                ids, tags = all_ids[lo:hi], all_tags[lo:hi]
+            ids = batch.column(doc_id).cast(pa.int64()).to_numpy()
+            tags = batch.column(tag).to_numpy()
+            found = []
+            for lo, hi, data, offsets in chunks(batch.column(text)):
                 words = words_of(data, offsets)
-                values = words.hashes()
                 lists = batch.column(anchors).slice(lo, hi - lo)
                 owner = np.repeat(np.arange(hi - lo), lists.value_lengths().to_numpy())
-                found = words.first[owner] + lists.flatten().to_numpy()
-                anchor, keys, owner, _ = _anchors_of(words, window, period, chosen)
-                anchor = _with_equals(anchor, keys, owner, found)
-                owner = words.owner[anchor]
-                reach = np.zeros(len(values) + 1, dtype=np.int64)
-                np.add.at(reach, np.maximum(anchor - period + 1, words.first[owner]), 1)
-                np.add.at(reach, anchor + 1, -1)
-                at, h1 = windows(words, values, window)
-                near = np.cumsum(reach)[at] > 0
-                at, h1 = at[near], h1[near]
-                h2 = mix(OTHERS.spans(mix(values ^ np.uint64(0x5851F42D4C957F2D)), at, at + window))
-                h2 = h2 >> np.uint64(PLACE_BITS + TAG_BITS)
-                owner = words.owner[at]
-                place = at - words.first[owner]
-                order, group = _groups(h1, h2, ids[owner], owner)
-                first = np.flatnonzero(np.diff(group, prepend=-1))
-                who = owner[order]
-                later = ids[who] > ids[who[first]][group] if len(group) else np.zeros(0, dtype=bool)
-                fresh = _first_of_text(group, who)
-                sent, later = _unsorted(fresh & ~later, order), _unsorted(fresh & later, order)
-                rest = place | (h2 << np.uint64(PLACE_BITS + TAG_BITS)).view(np.int64)
-                yield _batch(h1[sent], ids, tags, owner[sent], rest[sent], owner[later], place[later])
+                h1, h2, owner, place = _windows_near(
+                    words, words.first[owner] + lists.flatten().to_numpy(), window, period, chosen
+                )
+                found.append((h1, h2, owner + lo, place))
+            if not found:
+                continue
+            h1, h2, owner, place = (np.concatenate(x) for x in zip(*found, strict=True))
+            order, group = _groups(h1, h2, ids[owner], owner)
+            first = np.flatnonzero(np.diff(group, prepend=-1))
+            who = owner[order]
+            later = ids[who] > ids[who[first]][group] if len(group) else np.zeros(0, dtype=bool)
+            fresh = _first_of_text(group, who)
+            sent, later = _unsorted(fresh & ~later, order), _unsorted(fresh & later, order)
+            rest = place | (h2 << np.uint64(PLACE_BITS + TAG_BITS)).view(np.int64)
+            yield _batch(h1[sent], ids, tags, owner[sent], rest[sent], owner[later], place[later])
 
     return each
 
