@@ -111,3 +111,19 @@ def test_grid_columns_are_replaced_and_missing_ones_stay_missing(spark):
     got = geo.grid_to_lonlat(df, "e", "n").collect()
     assert got[0]["lon"] == pytest.approx(-0.1284, abs=1e-4) and got[1]["lon"] is None and got[1]["lat"] is None
     assert geo.grid_to_points(df, "e", "n", "p").first()["p"]["y"] == pytest.approx(51.5040, abs=5e-5)
+
+
+def test_grid_steps_of_wide_rows_are_small_enough_to_be_compiled(spark, tmp_path):
+    texts = [F.col("id").cast("string").alias(f"c{i}") for i in range(18)]
+    spark.range(20).select(*texts, (F.col("id") * 500 + 400000.0).alias("e"), (F.col("id") * 900 + 200000.0).alias("n")).write.parquet(f"{tmp_path}/wide")
+    wide = spark.read.parquet(f"{tmp_path}/wide")
+    placed = geo.grid_to_points(wide, "e", "n", "p")
+    debug = getattr(getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package$"), "MODULE$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made = debug.codegenStringSeq(placed._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())) <= 8000
+    narrow = {r["e"]: r["p"] for r in geo.grid_to_points(wide.select("e", "n"), "e", "n", "p").collect()}
+    assert placed.columns == [*wide.columns, "p"] and {r["e"]: r["p"] for r in placed.collect()} == narrow

@@ -323,3 +323,56 @@ def test_a_lookup_meets_the_headers(spark, cells, rows):
     with pytest.raises(ValueError, match="clash"):
         sh.long_table(staged, 3, ["code"], "measure", "v", lookup=names.withColumnRenamed("kind", "sheet"))
     assert rows(sh.wide_table(staged, 3, ["coal"], blank_rows=False), "sheet", "coal") == [("2022", "[c]"), ("2023", "7")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_are_put_together_before_they_are_shuffled(cells):
+    staged = cells(GRID)
+    for table in (sh.long_table(staged, 3, ["code"]), sh.wide_table(staged, 3, ["code", "coal"])):
+        above, _, below = _plan(table).partition("Exchange hashpartitioning(row")
+        assert "partial_collect_list" in below and "Window" not in above
+
+
+def test_cells_that_repeat_and_headers_without_text(spark, rows):
+    book = [
+        (2, 1, "code"), (2, 2, "gas"), (2, 3, None), (2, 4, "gas"),
+        (3, 1, "E1"), (3, 1, "E9"), (3, 1, "E3"), (3, 2, "5"), (3, 2, "5"), (3, 3, "lost"), (3, 4, "6"),
+        (4, 2, "7"), (5, 1, "E5"), (6, 1, None), (6, 3, "lost"),
+    ]
+    flat = [("book", "s", *cell) for cell in book] + [("book", "s", None, 1, "x"), (None, "s", 3, 1, "x")]
+    staged = spark.createDataFrame(flat, sh.CELLS).repartition(5)
+    assert rows(sh.long_table(staged, 2, ["code"], "m", "v"), "code", "m", "v") == [
+        ("E9", "gas", "5"), ("E9", "gas", "5"), ("E9", "gas_1", "6"), (None, "gas", "7")
+    ]
+    assert rows(sh.long_table(staged, 2, [], "m", "v").where("m = 'code'"), "m", "v") == [
+        ("code", "E1"), ("code", "E3"), ("code", "E5"), ("code", "E9")
+    ]
+    found = rows(sh.wide_table(staged, 2, ["code", "gas_1", "none"]), "row", "code", "gas_1", "none")
+    assert found == [(3, "E9", "6", None), (4, None, None, None), (5, "E5", None, None), (6, None, None, None)]
+    found = rows(sh.wide_table(staged, 2, ["code", "gas_1"], blank_rows=False), "row", "code", "gas_1")
+    assert found == [(3, "E9", "6"), (5, "E5", None)]
+
+
+def test_columns_of_the_sheet_and_headers_no_lower_than_a_row(spark, cells, rows, tmp_path):
+    cells(GRID).where(F.col("sheet").rlike("^2")).write.parquet(f"{tmp_path}/cells")
+    staged = spark.read.parquet(f"{tmp_path}/cells")
+    at, year = F.when(F.col("sheet").contains("x"), 2).otherwise(3), F.col("sheet").cast("int")
+    long = sh.long_table(staged, at, ["code"], lowest_header=3, of_sheet={"year": year, "cells": F.lit(1)})
+    assert rows(long.where("name = 'coal'"), "code", "value", "year", "cells") == [
+        ("E06000023", "7", 2023, 1), ("E06000023", "[c]", 2022, 1)
+    ]
+    assert "LessThanOrEqual(row,3)" in _plan(long)
+
+
+def test_parts_of_areas_are_worked_out_once(spark, tmp_path):
+    square = [[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]]
+    areas = spark.createDataFrame([(1, [square, square]), (2, [square]), (3, None)], "k int, parts array<array<array<array<double>>>>")
+    sk.write_area_features(areas, f"{tmp_path}/areas")
+    rings = rc.rings_of(rc.read_areas(spark, f"{tmp_path}/areas", "k int", collection=False), ["k"])
+    assert sorted((r["k"], r["part"], r["ring"], r["points"]) for r in rings.collect()) == [
+        (1, 0, 0, square[0]), (1, 1, 0, square[0]), (2, 0, 0, square[0])
+    ]
+    assert rings._jdf.queryExecution().optimizedPlan().toString().count("not an area") == 1

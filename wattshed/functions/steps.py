@@ -19,6 +19,19 @@ Get = Callable[[str], Column]
 Step = dict[str, Callable[[Get], Column]]
 
 
+#: Steps of one Java method.
+TOGETHER = 10
+
+
+def _read(steps: list[Step], results: set[str]) -> list[str]:
+    """The values that steps read, and those that are results."""
+    names = set(results)
+    for step in steps:
+        for make in step.values():
+            make(lambda name: names.add(name) or F.col(name))
+    return sorted(names)
+
+
 def staged(df: DataFrame, given: dict[str, ColumnLike], steps: list[Step], results: dict[str, str]) -> DataFrame:
     """df with the results of steps, each step a projection of its own.
 
@@ -26,8 +39,10 @@ def staged(df: DataFrame, given: dict[str, ColumnLike], steps: list[Step], resul
     apart and computes every value once, in generated code. What it must not do is
     to move a filter on a result below them, or a constant up through them: either
     would write all steps into one expression. Rows generated at both ends stop
-    that. results: name of the column by name of the value; columns that have the
-    name are replaced.
+    that. Rows are also generated every ``TOGETHER`` steps, with the values that are
+    still read: what stands between two such places becomes one Java method, and a
+    method of over 8,000 bytes is interpreted and never compiled. results: name of
+    the column by name of the value; columns that have the name are replaced.
     """
     names = {f"_g_{k}" for step in [given, *steps] for k in step}
     clash = names & {c.lower() for c in df.columns}
@@ -37,7 +52,10 @@ def staged(df: DataFrame, given: dict[str, ColumnLike], steps: list[Step], resul
     get: Get = lambda name: F.col(f"_g_{name}")
     start = F.struct(*[col(v).alias(f"_g_{k}") for k, v in given.items()])
     df = df.select("*", F.inline(F.array(start)))
-    for step in steps:
+    for i, step in enumerate(steps):
+        if i and i % TOGETHER == 0:
+            live = F.struct(*[get(k) for k in _read(steps[i:], set(results)) if f"_g_{k}" in df.columns])
+            df = df.select(*kept, F.inline(F.array(live)))
         df = df.withColumns({f"_g_{k}": make(get) for k, make in step.items()})
     return df.select(*kept, F.inline(F.array(F.struct(*[get(v).alias(c) for c, v in results.items()]))))
 

@@ -69,6 +69,15 @@ def sheet_type(sheet: str = "sheet") -> Column:
     )
 
 
+def has_type(sheet: str = "sheet") -> Column:
+    """Whether a sheet has a type, by plain search: cells are many, and their sheets few."""
+    first, *more = UNITS
+    found = F.col(sheet).contains(first)
+    for kind in more:
+        found = found | F.col(sheet).contains(kind)
+    return found
+
+
 def header_row(sheet: str = "sheet") -> Column:
     c = F.col(sheet)
     rule = F.when(c.contains("Generation"), HEADER_ROWS["Generation"])
@@ -93,24 +102,30 @@ def renewables_long(cells: DataFrame, round_to_int: bool = False) -> DataFrame:
 
     ``round_to_int`` rounds megawatts to whole numbers, which loses small sites.
     """
+    kind = sheet_type()
     long = long_table(
-        cells.where(sheet_type().isNotNull()),
+        cells.where(has_type()),
         header_row(),
         RENEWABLE_IDS,
         "energy_source",
         "val",
         clean=strip_note,
+        lowest_header=max(HEADER_ROWS.values()),
+        of_sheet={
+            "calendar_year": year_from_label("sheet"),
+            "type": kind,
+            "units": _labels(kind, UNITS),
+        },
     )
     value = marker_cast("val", "int" if round_to_int else "double")
-    kind = sheet_type()
     return (
         long.where(F.col("local_authority_code").startswith("E0"))
         .select(
             *RENEWABLE_IDS,
             "energy_source",
-            year_from_label("sheet").alias("calendar_year"),
-            kind.alias("type"),
-            _labels(kind, UNITS).alias("units"),
+            "calendar_year",
+            "type",
+            "units",
             value.alias("value"),
         )
         .where(F.col("value").isNotNull())
@@ -121,7 +136,12 @@ def combined_renewables(cells: DataFrame) -> DataFrame:
     """Wide rows of every sheet, numbers lenient, year and measure from the sheet name."""
     columns = [*RENEWABLE_IDS, *TECHNOLOGIES]
     wide = wide_table(
-        cells.where(sheet_type().isNotNull()), header_row(), columns, clean=strip_note, blank_rows=False
+        cells.where(has_type()),
+        header_row(),
+        columns,
+        clean=strip_note,
+        blank_rows=False,
+        lowest_header=max(HEADER_ROWS.values()),
     )
     numeric = ["estimated_number_of_households", *TECHNOLOGIES]
     english = wide.where(F.col("local_authority_code").startswith("E0"))

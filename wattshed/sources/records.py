@@ -90,8 +90,13 @@ def read_areas(spark: SparkSession, path: str, properties: str, collection: bool
 
 
 def rings_of(areas: DataFrame, keys: list[str], parts: str = "parts") -> DataFrame:
-    """The keys and one row for each ring: ``part`` and ``ring`` from 0, where ring 0 is the shell, and ``points``."""
-    each = areas.select(*keys, F.posexplode(parts).alias("part", "_rings"))
+    """The keys and one row for each ring: ``part`` and ``ring`` from 0, where ring 0 is the shell, and ``points``.
+
+    A row generated before the parts holds them as they are. Without it Spark would
+    filter on what they are worked out from, and so work them out three times.
+    """
+    held = areas.select(*keys, F.inline(F.array(F.struct(F.col(parts).alias("_parts")))))
+    each = held.select(*keys, F.posexplode("_parts").alias("part", "_rings"))
     return each.select(*keys, "part", F.posexplode("_rings").alias("ring", "points"))
 
 

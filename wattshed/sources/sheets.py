@@ -2,7 +2,8 @@
 
 Staged as Parquet partitioned by workbook and sheet, a range is a filter and a
 sheet pattern prunes partitions. Cells are long already, so the usual goal, one
-row for each id and named value, needs one shuffle and no wide table.
+row for each id and named value, needs one shuffle and no wide table. What a task
+has read of a worksheet row goes through that shuffle as one row.
 """
 
 from __future__ import annotations
@@ -73,16 +74,21 @@ def header_names(
     style: str = "plain",
     clean: Callable[[Column], Column] | None = None,
     most: int | None = MOST_HEADERS,
+    lowest: int | None = None,
 ) -> DataFrame:
     """(workbook, sheet, col, name) of every header cell; repeats in a sheet are numbered.
 
+    ``lowest`` is a row that no header stands below: a number that readers can skip
+    blocks by, where the header row is worked out from the sheet.
+
     With ``most``, the headers are taken into one task and marked for broadcast,
     and more of them than that are an error when the plan runs: no job measures
     them while it is built. Without it, they are a table like any other.
     """
     at = F.lit(header_row) if isinstance(header_row, int) else header_row
     name = header_name(F.col("value"), style)
-    named = cells.where(F.col("row") == at).select(
+    top = cells if lowest is None else cells.where(F.col("row") <= lowest)
+    named = top.where(F.col("row") == at).select(
         "workbook", "sheet", "col", (clean(name) if clean else name).alias("name")
     )
     same = W.partitionBy("workbook", "sheet", "name").orderBy("col")
@@ -111,6 +117,7 @@ def named_cells(
     only: list[str] | None = None,
     lookup: DataFrame | None = None,
     most_headers: int | None = MOST_HEADERS,
+    lowest_header: int | None = None,
 ) -> DataFrame:
     """(workbook, sheet, row, name, value) for the rows under the header, and the lookup's columns.
 
@@ -121,7 +128,7 @@ def named_cells(
     Spark finds best, for more headers than can be sent around.
     """
     at = F.lit(header_row) if isinstance(header_row, int) else header_row
-    header = header_names(cells, header_row, style, clean, most_headers)
+    header = header_names(cells, header_row, style, clean, most_headers, lowest_header)
     if drop:
         header = header.where(~F.col("name").isin(drop))
     if lookup is not None:
@@ -135,6 +142,29 @@ def named_cells(
     return body.join(header, ["workbook", "sheet", "col"])
 
 
+def _rows_of_cells(named: DataFrame, more: list[str]) -> DataFrame:
+    """One row for each worksheet row, with its cells as structs in ``_cells``.
+
+    What a task has read of a row is put together before it is shuffled. A list is
+    added to, where maxima of text would be copied at every cell.
+    """
+    return named.groupBy(*ROW_KEYS).agg(F.collect_list(F.struct("name", "value", *more)).alias("_cells"))
+
+
+def _value_of(name: str) -> Column:
+    """The value of the cell of that name in ``_cells``, the greatest if there are several.
+
+    Places are found in generated code. Only a row where the first such cell is not
+    the last one too goes through the functions that Spark interprets.
+    """
+    names, values = F.col("_cells")["name"], F.col("_cells")["value"]
+    first, last = F.array_position(names, name), F.array_position(F.reverse(names), name)
+    several = F.filter("_cells", lambda c: c["name"] == name)
+    return F.when(first + last == F.size(names) + 1, F.get(values, first.cast("int") - 1)).when(
+        first > 0, F.array_max(F.transform(several, lambda c: c["value"]))
+    )
+
+
 def long_table(
     cells: DataFrame,
     header_row: int | Column,
@@ -147,14 +177,17 @@ def long_table(
     only: list[str] | None = None,
     lookup: DataFrame | None = None,
     most_headers: int | None = MOST_HEADERS,
+    lowest_header: int | None = None,
+    of_sheet: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Staged cells straight to long rows: workbook, sheet, ids, ``name``, ``value``.
 
     A worksheet row is one small group (its cells), so the ids spread to its
-    values in a single shuffle by row. An empty cell is absent, which is what
-    dropping NULLs on unpivot means. ``only`` leaves out all value columns but
-    those; ``lookup`` has a column called ``name`` and joins its others to each
-    value, leaving out columns it does not know.
+    values in a single shuffle by row, each task's cells of a row together. An empty
+    cell is absent, which is what dropping NULLs on unpivot means. ``only`` leaves out
+    all value columns but those; ``lookup`` has a column called ``name`` and joins its
+    others to each value, leaving out columns it does not know. ``of_sheet`` adds columns
+    that follow from workbook and sheet, worked out for each row and not for each cell.
     """
     more: list[str] = []
     if lookup is not None:
@@ -164,18 +197,24 @@ def long_table(
         if clash:
             raise ValueError(f"columns of the lookup clash with the table's: {sorted(clash)}")
     kept = [*ids, *(only or [])] if only is not None or lookup is not None else None
-    named = named_cells(cells, header_row, style, clean, drop, kept, lookup, most_headers)
-    row = W.partitionBy(*ROW_KEYS)
-    spread = named.withColumns(
-        {f"_{c}": F.max(F.when(F.col("name") == c, F.col("value"))).over(row) for c in ids}
+    named = named_cells(cells, header_row, style, clean, drop, kept, lookup, most_headers, lowest_header)
+    sheet = of_sheet or {}
+    rows = _rows_of_cells(named, more).select(
+        "workbook",
+        "sheet",
+        *[_value_of(c).alias(f"_id_{i}") for i, c in enumerate(ids)],
+        *[v.alias(f"_of_{i}") for i, v in enumerate(sheet.values())],
+        "_cells",
     )
-    return spread.where(~F.col("name").isin(ids)).select(
+    cells, cell = rows.select("*", F.explode("_cells").alias("_cell")), F.col("_cell")
+    return cells.where(~cell["name"].isin(ids)).select(
         "workbook",
         "sheet",
-        *[F.col(f"_{c}").alias(c) for c in ids],
-        F.col("name").alias(name),
-        F.col("value").alias(value),
-        *more,
+        *[F.col(f"_id_{i}").alias(c) for i, c in enumerate(ids)],
+        cell["name"].alias(name),
+        cell["value"].alias(value),
+        *[cell[c].alias(c) for c in more],
+        *[F.col(f"_of_{i}").alias(c) for i, c in enumerate(sheet)],
     )
 
 
@@ -187,18 +226,17 @@ def wide_table(
     clean: Callable[[Column], Column] | None = None,
     blank_rows: bool = True,
     most_headers: int | None = MOST_HEADERS,
+    lowest_header: int | None = None,
 ) -> DataFrame:
     """One row for each worksheet row, all text, with the named columns.
 
     A name that a sheet lacks is NULL there, so sheets of several years unite by
     name in the one pass. With ``blank_rows=False`` rows without a cell in any of
-    the named columns are left out, and other cells are not shuffled at all. Cells
-    are shuffled by row before they are grouped: text maxima group by sorting, and
-    sorting on both sides of the shuffle costs more than the few repeated keys it
-    would save.
+    the named columns are left out, and other cells are not shuffled at all. Each
+    task puts its cells of a row together before they are shuffled.
     """
     only = None if blank_rows else columns
-    named = named_cells(cells, header_row, style, clean, only=only, most_headers=most_headers)
-    return named.repartition(*ROW_KEYS).groupBy(*ROW_KEYS).agg(
-        *[F.max(F.when(F.col("name") == c, F.col("value"))).alias(c) for c in columns]
+    named = named_cells(
+        cells, header_row, style, clean, only=only, most_headers=most_headers, lowest_header=lowest_header
     )
+    return _rows_of_cells(named, []).select(*ROW_KEYS, *[_value_of(c).alias(c) for c in columns])
